@@ -1,4 +1,4 @@
-"""Time expressions. All of them assume a UTC session."""
+"""Time expressions as SQL text or columns. All of them assume a UTC session."""
 
 from datetime import datetime, timezone
 
@@ -8,19 +8,19 @@ from pyspark.sql import functions as F
 ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 
-def parsed(column) -> Column:
+def parsed(text: str) -> str:
     """ISO-8601 text to a timestamp; text that is no time raises."""
-    return F.col(column).cast("timestamp")
+    return f"CAST({text} AS TIMESTAMP)"
 
 
-def parsed_or_null(column) -> Column:
+def parsed_or_null(text: str) -> str:
     """ISO-8601 text to a timestamp; text that is no time becomes null."""
-    return F.col(column).try_cast("timestamp")
+    return f"try_cast({text} AS TIMESTAMP)"
 
 
-def iso_text(column) -> Column:
+def iso_text(time: str) -> str:
     """A timestamp as ISO-8601 text with microseconds and ``Z``."""
-    return F.date_format(column, ISO_MICROS)
+    return f'date_format({time}, "{ISO_MICROS}")'
 
 
 def event_date(column="event_time") -> Column:

@@ -1,103 +1,83 @@
 """Look back along an order within a key, also when one key holds much of the table.
 
-A window over a key puts all rows of the key into one task. Here a key with more than ``hot_rows``
-rows is cut into chunks along the order: first by date, then at boundary rows picked by a hash of
-the order columns, about one per ``hot_rows`` rows. Each chunk is a window partition of its own, and
-what the rows before it amount to is worked out from one summary row per chunk.
-
-Nothing is approximate: boundaries only decide where chunks begin, and they follow from the rows
-themselves, so a task that runs again cuts at the same places.
+A window over a key puts all rows of the key into one task. Keys with more than ``hot_rows`` rows are
+therefore cut: their rows are range-partitioned by key and order, every partition is one chunk and a
+window of its own, and one summary row per chunk carries what came before into the next chunk. The
+cut rows are written out once, because both the rows and the summaries need the same chunks.
 """
 
+from math import ceil
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from billtide.operators.dedup import broadcast_if_small
-from billtide.session import cut_lineage
+from billtide.session import cut_lineage, written
 
-HOT_ROWS = 5_000_000
-_CHUNK = ["_cell", "_slice"]
+HOT_ROWS = 1_000_000
+# more chunks than this are no help to a cluster; beyond it chunks grow instead
+MOST_CHUNKS = 20_000
 
 
-def with_previous(df: DataFrame, key: str, order: list[str], columns: list[str], hot_rows=HOT_ROWS):
+def with_previous(
+    df: DataFrame, key: str, order: list[str], columns: list[str], hot_rows: int = HOT_ROWS
+) -> DataFrame:
     """Adds ``previous``, a struct of ``columns`` of the row before; null on the first row of a key."""
-    chunked, cut = _chunks(df, key, order, hot_rows)
     row = F.struct(*columns)
-    if not cut:
-        return chunked.withColumn(
-            "previous", F.lag(row).over(Window.partitionBy(key).orderBy(*order))
-        )
-    inside = chunked.withColumn(
-        "_inside", F.lag(row).over(Window.partitionBy(key, *_CHUNK).orderBy(*order))
-    )
-    last = F.max(F.struct(*[F.col(c).alias(f"_{c}") for c in order], row.alias("row")))
-    ends = chunked.where("_hot").groupBy(key, *_CHUNK).agg(last.alias("last"))
-    carried = ends.select(
-        key,
-        *_CHUNK,
-        F.lag("last.row").over(Window.partitionBy(key).orderBy(*_CHUNK)).alias("_carried"),
-    )
-    return (
-        inside.join(carried, [key, *_CHUNK], "left")
-        .withColumn("previous", F.coalesce("_inside", "_carried"))
-        .drop("_inside", "_carried", "_hot", *_CHUNK)
+    cold, hot = _split(df, key, order, hot_rows)
+    whole = cold.withColumn("previous", F.lag(row).over(Window.partitionBy(key).orderBy(*order)))
+    if hot is None:
+        return whole
+    ends = hot.groupBy(key, "chunk").agg(F.max_by(row, F.struct(*order)).alias("end"))
+    chunks = Window.partitionBy(key).orderBy("chunk")
+    carried = ends.select(key, "chunk", F.lag("end").over(chunks).alias("carried"))
+    in_chunk = F.lag(row).over(Window.partitionBy(key, "chunk").orderBy(*order))
+    cut = (
+        hot.withColumn("previous", in_chunk)
+        .join(carried, [key, "chunk"], "left")
+        .withColumn("previous", F.coalesce("previous", "carried"))
     )
+    return whole.unionByName(cut.drop("chunk", "carried"))
 
 
-def with_max_before(df: DataFrame, key: str, order: list[str], value: str, hot_rows=HOT_ROWS):
+def with_max_before(
+    df: DataFrame, key: str, order: list[str], value: str, hot_rows: int = HOT_ROWS
+) -> DataFrame:
     """Adds ``max_before``, the largest ``value`` of all rows before; null on the first row of a key."""
-    chunked, cut = _chunks(df, key, order, hot_rows)
-    if not cut:
-        before = (
-            Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-        )
-        return chunked.withColumn("max_before", F.max(value).over(before))
-    before = (
-        Window.partitionBy(key, *_CHUNK)
-        .orderBy(*order)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    inside = chunked.withColumn("_inside", F.max(value).over(before))
-    tops = chunked.where("_hot").groupBy(key, *_CHUNK).agg(F.max(value).alias("top"))
-    earlier = (
-        Window.partitionBy(key).orderBy(*_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    )
-    carried = tops.select(key, *_CHUNK, F.max("top").over(earlier).alias("_carried"))
-    return (
-        inside.join(carried, [key, *_CHUNK], "left")
-        .withColumn("max_before", F.greatest("_inside", "_carried"))
-        .drop("_inside", "_carried", "_hot", *_CHUNK)
-    )
 
+    def before(*keys, by):
+        window = Window.partitionBy(*keys).orderBy(*by)
+        return window.rowsBetween(Window.unboundedPreceding, -1)
 
-def _chunks(df, key, order, hot_rows):
-    """``df`` with chunk columns and True, or ``df`` as it is and False when no key is hot."""
-    position = F.struct(*order)
-    cell = F.coalesce(F.to_date(order[0]), F.to_date(F.lit("0001-01-01")))
-    # a key above the limit; there are at most (rows / hot_rows) of them
-    hot = cut_lineage(df.groupBy(key).count().where(F.col("count") > hot_rows).select(key))
-    if hot.isEmpty():
-        return df, False
-
-    boundary = F.pmod(F.xxhash64(*order), F.lit(hot_rows)) == 0
-    hot_rows_only = df.join(broadcast_if_small(hot), key, "left_semi")
-    per_cell = (
-        hot_rows_only.where(boundary)
-        .groupBy(key, cell.alias("cell"))
-        .agg(F.sort_array(F.collect_set(position)).alias("starts"))
+    cold, hot = _split(df, key, order, hot_rows)
+    whole = cold.withColumn("max_before", F.max(value).over(before(key, by=order)))
+    if hot is None:
+        return whole
+    tops = hot.groupBy(key, "chunk").agg(F.max(value).alias("top"))
+    carried = tops.select(
+        key, "chunk", F.max("top").over(before(key, by=["chunk"])).alias("carried")
     )
-    starts = per_cell.groupBy(key).agg(
-        F.map_from_entries(F.collect_list(F.struct("cell", "starts"))).alias("_starts")
+    cut = (
+        hot.withColumn("max_before", F.max(value).over(before(key, "chunk", by=order)))
+        .join(carried, [key, "chunk"], "left")
+        .withColumn("max_before", F.greatest("max_before", "carried"))
     )
-    lookup = hot.withColumn("_hot", F.lit(True)).join(starts, key, "left")
-    lookup = broadcast_if_small(cut_lineage(lookup))
+    return whole.unionByName(cut.drop("chunk", "carried"))
+
 
-    found = df.join(lookup, key, "left").withColumn("_hot", F.coalesce("_hot", F.lit(False)))
-    in_cell = F.element_at("_starts", cell)
-    passed = F.size(F.filter(in_cell, lambda start: start <= position))
-    return (
-        found.withColumn("_slice", F.when(in_cell.isNotNull(), passed).otherwise(0))
-        .withColumn("_cell", F.when(F.col("_hot"), cell))
-        .drop("_starts"),
-        True,
+def _split(df, key, order, hot_rows):
+    """Rows of ordinary keys, and rows of hot keys with their ``chunk`` (None when there are none)."""
+    counts = df.groupBy(key).count().where(F.col("count") > hot_rows)
+    # at most (rows / hot_rows) keys
+    hot_keys = cut_lineage(counts)
+    hot_count = hot_keys.agg(F.sum("count")).first()[0]
+    if not hot_count:
+        return df, None
+    keys = broadcast_if_small(hot_keys.select(key))
+    pieces = min(ceil(hot_count / hot_rows), MOST_CHUNKS)
+    ranged = (
+        df.join(keys, key, "left_semi")
+        .repartitionByRange(pieces, key, *order)
+        .withColumn("chunk", F.spark_partition_id())
     )
+    return df.join(keys, key, "left_anti"), written(ranged, "chunks")

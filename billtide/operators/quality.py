@@ -1,28 +1,30 @@
 """Data-quality checks.
 
 A check is one row (layer, dataset, check_name, passed, violation_count, details). Everything that
-can be counted row by row is counted in a single aggregate over the table, so a suite reads its
-table once; key uniqueness adds one grouped count beside it. Details hold counts; the offending
-values and rows themselves come from the listing functions, which stay distributed.
+can be judged row by row is counted in a single aggregate over the table, so a suite reads its table
+once; key uniqueness adds one grouped count beside it. Details hold counts; the offending values and
+rows themselves come from the listing functions, which stay distributed.
 """
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from billtide import schema
 from billtide.functions.catalog import with_catalog, with_expected_status
 from billtide.functions.times import parsed_or_null
 
+MISSING = "-1"
+
 
 @dataclass(frozen=True)
 class Check:
-    """``counts`` are named aggregates. ``violations`` names those that add up to the violation
+    """``counts`` are named SQL aggregates. ``violations`` names those that add up to the violation
     count, by default all. The check passes when that is zero and every count in ``needed`` is not."""
 
     name: str
-    counts: dict[str, Column]
+    counts: dict[str, str]
     violations: tuple[str, ...] | None = None
     needed: tuple[str, ...] = ()
 
@@ -31,114 +33,109 @@ class Check:
 
 
 def not_empty() -> Check:
-    return Check("not_empty", {"row_count": F.count(F.lit(1))}, (), ("row_count",))
+    return Check("not_empty", {"row_count": "count(1)"}, (), ("row_count",))
 
 
 def required_columns(df: DataFrame, columns) -> Check:
     missing = [c for c in columns if c not in df.columns]
-    return Check("required_columns", {"missing_columns": F.lit(len(missing))})
+    return Check("required_columns", {"missing_columns": str(len(missing))})
 
 
 def non_null(df: DataFrame, columns) -> Check:
     """No nulls; a column that is not there counts as -1 and fails."""
-    counts = {
-        f"nulls_{c}": _or_missing(df, c, lambda c=c: F.count_if(F.col(c).isNull()))
-        for c in columns
-    }
+    counts = {f"nulls_{c}": _count(df, [c], f"{c} IS NULL") for c in columns}
     return Check("non_null_columns", counts)
 
 
 def datetime_parseable(df: DataFrame, columns) -> Check:
     """Every value is a time; null counts as bad."""
-    counts = {
-        f"invalid_{c}": _or_missing(df, c, lambda c=c: F.count_if(parsed_or_null(c).isNull()))
-        for c in columns
-    }
+    counts = {f"invalid_{c}": _count(df, [c], f"{parsed_or_null(c)} IS NULL") for c in columns}
     return Check("datetime_parseable", counts)
 
 
 def allowed_values(df: DataFrame, column, allowed) -> Check:
     """Only the allowed values; nulls pass."""
-    count = _or_missing(df, column, lambda: F.count_if(~F.col(column).isin(allowed)))
-    return Check(f"{column}_allowed_values", {"invalid_rows": count})
+    return Check(
+        f"{column}_allowed_values",
+        {"invalid_rows": _count(df, [column], _outside(column, allowed))},
+    )
 
 
 def not_after(df: DataFrame, left, right, name=None) -> Check:
     """``left`` is no later than ``right`` wherever both are times."""
-    count = _or_missing(
-        df, (left, right), lambda: F.count_if(parsed_or_null(left) > parsed_or_null(right))
+    later = f"{parsed_or_null(left)} > {parsed_or_null(right)}"
+    return Check(
+        name or f"{left}_le_{right}", {"failed_rows": _count(df, [left, right], later)}
     )
-    return Check(name or f"{left}_le_{right}", {"failed_rows": count})
 
 
 def non_negative(df: DataFrame, column, name=None) -> Check:
     """Numbers of at least zero; nulls pass, text that is no number does not."""
-    number = F.col(column).try_cast("double")
+    number = f"try_cast({column} AS DOUBLE)"
     counts = {
-        "not_numeric": _or_missing(
-            df, column, lambda: F.count_if(F.col(column).isNotNull() & number.isNull())
-        ),
-        "negative": _or_missing(df, column, lambda: F.count_if(number < 0)),
+        "not_numeric": _count(df, [column], f"{column} IS NOT NULL AND {number} IS NULL"),
+        "negative": _count(df, [column], f"{number} < 0"),
     }
     return Check(name or f"{column}_non_negative", counts)
 
 
 def schema_version_expected(df: DataFrame) -> Check:
     """The only version present is the expected one, and it is present."""
-    version = F.col("schema_version")
-    expected = version == schema.EVENT_SCHEMA_VERSION
+    expected = f"'{schema.EVENT_SCHEMA_VERSION}'"
     counts = {
-        "expected_rows": _or_missing(df, "schema_version", lambda: F.count_if(expected)),
-        "other_rows": _or_missing(df, "schema_version", lambda: F.count_if(~expected)),
+        "expected_rows": _count(df, ["schema_version"], f"schema_version = {expected}"),
+        "other_rows": _count(df, ["schema_version"], f"schema_version <> {expected}"),
     }
     return Check("schema_version_expected", counts, ("other_rows",), ("expected_rows",))
 
 
 def plan_in_catalog(df: DataFrame) -> Check:
     known = [plan for plan, *_ in schema.PLANS]
-    count = _or_missing(df, "plan_id", lambda: F.count_if(~F.col("plan_id").isin(known)))
-    return Check("plan_id_exists_in_catalog", {"invalid_rows": count})
+    return Check(
+        "plan_id_exists_in_catalog",
+        {"invalid_rows": _count(df, ["plan_id"], _outside("plan_id", known))},
+    )
 
 
 def plan_attributes_match(df: DataFrame) -> Check:
     """Price and cycle equal the catalog's; null is a mismatch, an unknown plan is skipped."""
-    count = _or_missing(
-        df, ("plan_id", "price", "billing_cycle"), lambda: F.count_if(_attributes_differ())
+    needs = ["plan_id", "price", "billing_cycle"]
+    return Check(
+        "plan_attributes_match_catalog", {"invalid_rows": _count(df, needs, ATTRIBUTES_DIFFER)}
     )
-    return Check("plan_attributes_match_catalog", {"invalid_rows": count})
 
 
 def status_matches_event_type(df: DataFrame) -> Check:
     """The status is the one the event type leads to; null is a mismatch, unknown types pass."""
-    count = _or_missing(df, ("event_type", "status"), lambda: F.count_if(_status_differs()))
-    return Check("event_type_status_consistency", {"invalid_rows": count})
+    return Check(
+        "event_type_status_consistency",
+        {"invalid_rows": _count(df, ["event_type", "status"], STATUS_DIFFERS)},
+    )
+
 
+# needs ``with_catalog``; prices are compared as numbers whatever type the table keeps them in
+ATTRIBUTES_DIFFER = """expected_price IS NOT NULL
+    AND NOT (try_cast(price AS DOUBLE) <=> CAST(expected_price AS DOUBLE)
+             AND billing_cycle <=> expected_billing_cycle)"""
 
-def _or_missing(df, columns, count):
-    columns = (columns,) if isinstance(columns, str) else columns
-    return count() if set(columns) <= set(df.columns) else F.lit(-1)
+# needs ``with_expected_status``
+STATUS_DIFFERS = "expected_status IS NOT NULL AND NOT (status <=> expected_status)"
 
 
-def _attributes_differ():
-    """Needs ``with_catalog``. Prices are compared as numbers whatever type the table keeps them in."""
-    known = F.col("expected_price").isNotNull()
-    price = F.col("price").try_cast("double").eqNullSafe(F.col("expected_price").cast("double"))
-    cycle = F.col("billing_cycle").eqNullSafe(F.col("expected_billing_cycle"))
-    return known & ~(price & cycle)
+def _count(df, needs, condition):
+    return f"count_if({condition})" if set(needs) <= set(df.columns) else MISSING
 
 
-def _status_differs():
-    """Needs ``with_expected_status``."""
-    expected = F.col("expected_status")
-    return expected.isNotNull() & ~F.col("status").eqNullSafe(expected)
+def _outside(column, allowed):
+    return f"{column} NOT IN ({', '.join(repr(v) for v in allowed)})"
 
 
 def key_unique(df: DataFrame, columns, name: str, layer: str, dataset: str) -> DataFrame:
     """Rows beyond the first of each key; null equals null."""
     if not set(columns) <= set(df.columns):
-        return run_checks(df, [Check(name, {"duplicate_count": F.lit(-1)})], layer, dataset)
+        return run_checks(df, [Check(name, {"duplicate_count": MISSING})], layer, dataset)
     per_key = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("copies"))
-    duplicates = F.coalesce(F.sum(F.col("copies") - 1), F.lit(0))
+    duplicates = "coalesce(sum(copies - 1), 0)"
     return run_checks(per_key, [Check(name, {"duplicate_count": duplicates})], layer, dataset)
 
 
@@ -147,30 +144,19 @@ def key_unique(df: DataFrame, columns, name: str, layer: str, dataset: str) -> D
 
 def run_checks(df: DataFrame, checks: list[Check], layer: str, dataset: str) -> DataFrame:
     """All ``checks`` in one aggregate over ``df``, one result row per check."""
-    aggregates, rows = [], []
+    counts, rows = [], []
     for i, check in enumerate(checks):
-        named = {name: F.col(f"_{i}_{name}") for name in check.counts}
-        aggregates += [
-            count.cast("bigint").alias(f"_{i}_{name}") for name, count in check.counts.items()
-        ]
-        summed = check.violations if check.violations is not None else tuple(named)
-        violations = sum((F.abs(named[name]) for name in summed), F.lit(0).cast("bigint"))
-        passed = violations == 0
-        for name in check.needed:
-            passed = passed & (named[name] > 0)
-        details = [x for name, c in named.items() for x in (F.lit(name), c.cast("string"))]
+        counts += [f"CAST({sql} AS BIGINT) AS `{i}_{name}`" for name, sql in check.counts.items()]
+        summed = check.counts if check.violations is None else check.violations
+        violations = " + ".join([f"abs(`{i}_{name}`)" for name in summed]) or "0L"
+        passed = " AND ".join([f"{violations} = 0", *[f"`{i}_{n}` > 0" for n in check.needed]])
+        details = ", ".join(f"'{name}', CAST(`{i}_{name}` AS STRING)" for name in check.counts)
         rows.append(
-            F.struct(
-                F.lit(check.name).alias("check_name"),
-                passed.alias("passed"),
-                violations.alias("violation_count"),
-                F.create_map(*details).alias("details"),
-            )
+            f"struct('{check.name}' AS check_name, {passed} AS passed, "
+            f"{violations} AS violation_count, map({details}) AS details)"
         )
-    return (
-        df.agg(*aggregates)
-        .select(F.explode(F.array(*rows)).alias("r"))
-        .select(F.lit(layer).alias("layer"), F.lit(dataset).alias("dataset"), "r.*")
+    return df.selectExpr(*counts).selectExpr(
+        f"'{layer}' AS layer", f"'{dataset}' AS dataset", f"inline(array({', '.join(rows)}))"
     )
 
 
@@ -255,12 +241,12 @@ def check_kpis(kpis: DataFrame) -> DataFrame:
 
 def verdict(checks: DataFrame) -> DataFrame:
     """One row per dataset: whether all checks passed and the names of those that did not."""
-    failed = F.array_sort(F.collect_list(F.when(~F.col("passed"), F.col("check_name"))))
+    failed = "array_sort(collect_list(if(passed, NULL, check_name)))"
     return checks.groupBy("layer", "dataset").agg(
         F.bool_and("passed").alias("passed"),
         F.count(F.lit(1)).alias("check_count"),
-        F.count_if(~F.col("passed")).alias("failed_check_count"),
-        F.array_join(failed, ",").alias("failed_checks"),
+        F.expr("count_if(NOT passed)").alias("failed_check_count"),
+        F.expr(f"array_join({failed}, ',')").alias("failed_checks"),
     )
 
 
@@ -283,23 +269,19 @@ def raise_if_failed(checks: DataFrame) -> list:
 
 def null_counts(df: DataFrame, columns) -> DataFrame:
     """(column_name, null_count) for each column."""
-    return _counts_per_column(df, {c: F.count_if(F.col(c).isNull()) for c in columns}, "null_count")
+    return _per_column(df, {c: {"null_count": f"count_if({c} IS NULL)"} for c in columns})
 
 
 def unparseable_times(df: DataFrame, columns) -> DataFrame:
     """(column_name, invalid_count): values that are null or no time."""
-    counts = {c: F.count_if(parsed_or_null(c).isNull()) for c in columns}
-    return _counts_per_column(df, counts, "invalid_count")
+    return _per_column(
+        df, {c: {"invalid_count": f"count_if({parsed_or_null(c)} IS NULL)"} for c in columns}
+    )
 
 
 def number_problems(df: DataFrame, columns) -> DataFrame:
     """(column_name, not_numeric, negative) for each column."""
-    checks = [non_negative(df, c, name=c) for c in columns]
-    return run_checks(df, checks, "", "").select(
-        F.col("check_name").alias("column_name"),
-        F.col("details")["not_numeric"].cast("bigint").alias("not_numeric"),
-        F.col("details")["negative"].cast("bigint").alias("negative"),
-    )
+    return _per_column(df, {c: non_negative(df, c).counts for c in columns})
 
 
 def duplicate_keys(df: DataFrame, columns) -> DataFrame:
@@ -309,25 +291,20 @@ def duplicate_keys(df: DataFrame, columns) -> DataFrame:
 
 def invalid_values(df: DataFrame, allowed: dict[str, list]) -> DataFrame:
     """(column_name, value, row_count) of every value outside its column's domain."""
-    outside = F.array(
-        *[
-            F.when(
-                ~F.col(c).isin(values),
-                F.struct(F.lit(c).alias("column_name"), F.col(c).alias("value")),
-            )
-            for c, values in allowed.items()
-        ]
+    outside = ", ".join(
+        f"if({_outside(c, values)}, named_struct('column_name', '{c}', 'value', {c}), NULL)"
+        for c, values in allowed.items()
     )
     return (
-        df.select(F.explode(F.array_compact(outside)).alias("v"))
-        .groupBy("v.column_name", "v.value")
+        df.selectExpr(f"inline(array_compact(array({outside})))")
+        .groupBy("column_name", "value")
         .agg(F.count(F.lit(1)).alias("row_count"))
     )
 
 
 def events_after_ingest(df: DataFrame) -> DataFrame:
     """Rows whose event time is later than their ingestion."""
-    return df.where(parsed_or_null("event_time") > parsed_or_null("ingested_at"))
+    return df.where(f"{parsed_or_null('event_time')} > {parsed_or_null('ingested_at')}")
 
 
 def unknown_plans(df: DataFrame) -> DataFrame:
@@ -343,23 +320,28 @@ def unknown_plans(df: DataFrame) -> DataFrame:
 
 def plan_mismatches(df: DataFrame) -> DataFrame:
     """Rows of known plans whose price or cycle is not the catalog's."""
-    return with_catalog(df).where(_attributes_differ()).drop("tier")
+    return with_catalog(df).where(ATTRIBUTES_DIFFER).drop("tier")
 
 
 def status_mismatch_pairs(df: DataFrame) -> DataFrame:
     """(event_type, status, row_count) of every combination that should not occur."""
     return (
         with_expected_status(df)
-        .where(_status_differs())
+        .where(STATUS_DIFFERS)
         .groupBy("event_type", "status")
         .agg(F.count(F.lit(1)).alias("row_count"))
     )
 
 
-def _counts_per_column(df, counts, name):
-    entries = [
-        F.struct(F.lit(c).alias("column_name"), F.col(f"_{i}").alias(name))
-        for i, c in enumerate(counts)
+def _per_column(df, counts):
+    """One aggregate over ``df``, turned into a row per column."""
+    flat = [
+        f"{sql} AS `{c}_{name}`" for c, named in counts.items() for name, sql in named.items()
     ]
-    counted = df.agg(*[count.alias(f"_{i}") for i, count in enumerate(counts.values())])
-    return counted.select(F.inline(F.array(*entries)))
+    rows = ", ".join(
+        f"struct('{c}' AS column_name, "
+        + ", ".join(f"`{c}_{name}` AS {name}" for name in named)
+        + ")"
+        for c, named in counts.items()
+    )
+    return df.selectExpr(*flat).selectExpr(f"inline(array({rows}))")

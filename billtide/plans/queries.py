@@ -27,15 +27,15 @@ RUN = datetime(2024, 3, 1, tzinfo=timezone.utc)
 def shown(df: DataFrame) -> DataFrame:
     columns = []
     for field in df.schema:
-        column = F.col(field.name)
+        column = field.name
         if isinstance(field.dataType, T.TimestampType):
             column = iso_text(column)
         elif isinstance(field.dataType, T.DateType):
-            column = column.cast("string")
+            column = f"CAST({column} AS STRING)"
         elif isinstance(field.dataType, T.DecimalType):
-            column = column.cast("double")
-        columns.append(column.alias(field.name))
-    return df.select(*columns)
+            column = f"CAST({column} AS DOUBLE)"
+        columns.append(f"{column} AS {field.name}")
+    return df.selectExpr(*columns)
 
 
 # ---- inputs ----
@@ -69,8 +69,8 @@ def stored_before(spark, sf):
 def dirty_history(spark, sf):
     """The dirty events after a lenient parse: bad times and prices become nulls."""
     text = adapter.dirty_events(spark, sf)
-    parsed = text.select(
-        *[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.EVENT]
+    parsed = text.selectExpr(
+        *[f"try_cast({f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in schema.EVENT]
     )
     return dedup.dedup_events(parsed)
 
@@ -111,10 +111,12 @@ def bronze_partitions(spark, sf):
 
 def _as_text(events):
     """Typed events as a producer would send them."""
-    return events.select(
+    return events.selectExpr(
         *[
-            (iso_text(c) if c in ("event_time", "ingested_at") else F.col(c).cast("string")).alias(c)
-            for c in schema.EVENT_COLUMNS
+            f"{iso_text(f.name)} AS {f.name}"
+            if isinstance(f.dataType, T.TimestampType)
+            else f"CAST({f.name} AS STRING) AS {f.name}"
+            for f in schema.EVENT
         ]
     )
 
@@ -168,12 +170,12 @@ def watermark_roundtrip(spark, sf):
 
 def parse_event_times(spark, sf):
     text = adapter.dirty_events(spark, sf)
-    return text.select(
+    return text.selectExpr(
         "event_id",
-        F.col("event_time").alias("event_time_text"),
-        parsed_or_null("event_time").alias("event_time"),
-        F.to_date(parsed_or_null("event_time")).alias("event_date"),
-        parsed_or_null("ingested_at").alias("ingested_at"),
+        "event_time AS event_time_text",
+        f"{parsed_or_null('event_time')} AS event_time",
+        f"to_date({parsed_or_null('event_time')}) AS event_date",
+        f"{parsed_or_null('ingested_at')} AS ingested_at",
     )
 
 

@@ -39,3 +39,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint()
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as a table below the shared folder and read it from there.
+
+    Unlike a checkpoint the table is columnar, so its readers open only the columns they need.
+    """
+    path = fresh_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -6,116 +6,92 @@ acknowledgement.
 """
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from billtide import schema
 from billtide.functions.times import iso_text
 from billtide.session import utc
 
 # fixed values: source event -> subscription event; an error is one of two, by parity of the id
-KIND = {
-    "signup": "subscription_created",
-    "purchase": "subscription_renewed",
-    "click": "subscription_upgraded",
-    "view": "subscription_downgraded",
-}
+KIND = """CASE event_type
+    WHEN 'signup' THEN 'subscription_created'
+    WHEN 'purchase' THEN 'subscription_renewed'
+    WHEN 'click' THEN 'subscription_upgraded'
+    WHEN 'view' THEN 'subscription_downgraded'
+    WHEN 'error' THEN if(n % 2 = 0, 'payment_failed', 'subscription_cancelled') END"""
 LATEST_ARRIVAL_MINUTES = 4320
 
 
 def subscription_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First deliveries and redeliveries in the event contract, from one scan of the table."""
-    raw = utc(spark).read.parquet(f"{sf_dir}/events.parquet")
-    n = F.col("event_id")
-    kind = F.when(
-        F.col("event_type") == "error",
-        F.when(n % 2 == 0, "payment_failed").otherwise("subscription_cancelled"),
-    )
-    for source_kind, name in KIND.items():
-        kind = kind.when(F.col("event_type") == source_kind, name)
-    time = F.col("ts").cast("timestamp")
-    delay = ((n * 37) % LATEST_ARRIVAL_MINUTES).cast("int")
-    arrival = time + F.make_interval(mins=delay)
-    web_or_other = F.when(n % 4 == 0, "web").when(n % 4 == 1, "mobile").otherwise("system")
-    deliveries = F.when(n % 20 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    again = F.col("delivery") == 1
-    plan = F.create_map(
-        *[x for name, tier, _, _ in schema.PLANS for x in (F.lit(tier), F.lit(name))]
-    )
-    price = F.create_map(
-        *[
-            x
-            for _, tier, _, amount in schema.PLANS
-            for x in (F.lit(tier), F.lit(amount).cast(schema.MONEY))
-        ]
-    )
-    status = F.create_map(*[F.lit(x) for pair in schema.STATUS_AFTER.items() for x in pair])
-    tier = (n % 3).cast("int")
+    plans = ", ".join(f"'{plan}'" for plan, *_ in schema.PLANS)
+    prices = ", ".join(f"CAST('{price}' AS DECIMAL(10,2))" for *_, price in schema.PLANS)
+    statuses = " ".join(f"WHEN '{e}' THEN '{s}'" for e, s in schema.STATUS_AFTER.items())
     return (
-        raw.withColumn("delivery", F.explode(deliveries))
-        .withColumn("kind", kind)
-        .select(
-            _padded("evt_", n, 9).alias("event_id"),
-            time.alias("event_time"),
-            F.col("kind").alias("event_type"),
-            F.lit(schema.EVENT_SCHEMA_VERSION).alias("schema_version"),
-            _padded("user_", F.col("user_id"), 5).alias("user_id"),
-            _padded("sub_", F.col("user_id"), 5).alias("subscription_id"),
-            plan[tier].alias("plan_id"),
-            F.lit("monthly").alias("billing_cycle"),
-            price[tier].alias("price"),
-            F.lit("USD").alias("currency"),
-            status[F.col("kind")].alias("status"),
-            F.when(again, "mobile").otherwise(web_or_other).alias("source"),
-            F.when(again, arrival + F.make_interval(days=F.lit(1)))
-            .otherwise(arrival)
-            .alias("ingested_at"),
+        utc(spark)
+        .read.parquet(f"{sf_dir}/events.parquet")
+        .withColumnRenamed("event_id", "n")
+        .selectExpr(
+            "n", "ts", "user_id", f"{KIND} AS kind",
+            f"make_interval(0, 0, 0, 0, 0, CAST((n * 37) % {LATEST_ARRIVAL_MINUTES} AS INT)) AS delay",
+            "explode(if(n % 20 = 0, array(false, true), array(false))) AS again",
+        )
+        .selectExpr(
+            f"{padded('evt_', 'n', 9)} AS event_id",
+            "CAST(ts AS TIMESTAMP) AS event_time",
+            "kind AS event_type",
+            f"'{schema.EVENT_SCHEMA_VERSION}' AS schema_version",
+            f"{padded('user_', 'user_id', 5)} AS user_id",
+            f"{padded('sub_', 'user_id', 5)} AS subscription_id",
+            f"array({plans})[CAST(n % 3 AS INT)] AS plan_id",
+            "'monthly' AS billing_cycle",
+            f"array({prices})[CAST(n % 3 AS INT)] AS price",
+            "'USD' AS currency",
+            f"CASE kind {statuses} END AS status",
+            "CASE WHEN again THEN 'mobile' WHEN n % 4 = 0 THEN 'web' WHEN n % 4 = 1 THEN 'mobile' "
+            "ELSE 'system' END AS source",
+            "CAST(ts AS TIMESTAMP) + delay + if(again, INTERVAL '1' DAY, INTERVAL '0' DAY) "
+            "AS ingested_at",
         )
     )
 
 
 def dirty_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same events as text, with a share of bad values in most columns, for the checks."""
-    clean = subscription_events(spark, sf_dir)
-    n = F.substring("event_id", 5, 20).cast("bigint")
-
-    def every(m):
-        return n % m == 0
-
-    late = iso_text(F.col("ingested_at") + F.make_interval(hours=F.lit(1)))
-    swapped = F.when(F.col("status") == "active", "cancelled").otherwise("active")
     changed = {
-        "event_time": F.when(every(127), "not-a-time")
-        .when(every(103), late)
-        .otherwise(iso_text("event_time")),
-        "schema_version": F.when(every(113), "0.9").otherwise(F.col("schema_version")),
-        "user_id": F.when(~every(107), F.col("user_id")),
-        "plan_id": F.when(every(131), "gold_monthly").otherwise(F.col("plan_id")),
-        "price": F.when(every(139), "abc")
-        .when(every(137), "-9.99")
-        .when(every(101), "1.00")
-        .otherwise(F.col("price").cast("string")),
-        "currency": F.when(every(109), "EUR").otherwise(F.col("currency")),
-        "status": F.when(every(97), swapped).otherwise(F.col("status")),
+        "event_time": "CASE WHEN n % 127 = 0 THEN 'not-a-time' WHEN n % 103 = 0 THEN "
+        f"{iso_text('ingested_at + INTERVAL 1 HOUR')} ELSE {iso_text('event_time')} END",
+        "schema_version": "if(n % 113 = 0, '0.9', schema_version)",
+        "user_id": "if(n % 107 = 0, NULL, user_id)",
+        "plan_id": "if(n % 131 = 0, 'gold_monthly', plan_id)",
+        "price": "CASE WHEN n % 139 = 0 THEN 'abc' WHEN n % 137 = 0 THEN '-9.99' "
+        "WHEN n % 101 = 0 THEN '1.00' ELSE CAST(price AS STRING) END",
+        "currency": "if(n % 109 = 0, 'EUR', currency)",
+        "status": "CASE WHEN n % 97 = 0 THEN if(status = 'active', 'cancelled', 'active') "
+        "ELSE status END",
         "ingested_at": iso_text("ingested_at"),
     }
-    return clean.select(*[changed.get(c, F.col(c)).alias(c) for c in schema.EVENT_COLUMNS])
+    numbered = subscription_events(spark, sf_dir).selectExpr(
+        "*", "CAST(substring(event_id, 5) AS BIGINT) AS n"
+    )
+    return numbered.selectExpr(*[f"{changed.get(c, c)} AS {c}" for c in schema.EVENT_COLUMNS])
 
 
 def tampered_snapshot(current: DataFrame) -> DataFrame:
     """A snapshot with missing, changed and invented subscriptions, for the reconciliation."""
-    last_digit = F.substring("subscription_id", -1, 1)
-    kept = current.where(last_digit != "0").withColumn(
-        "current_price",
-        F.when(last_digit == "1", F.col("current_price") + 1)
-        .otherwise(F.col("current_price"))
-        .cast(schema.MONEY),
+    kept = current.where("right(subscription_id, 1) <> '0'").selectExpr(
+        *[
+            "CAST(if(right(subscription_id, 1) = '1', current_price + 1, current_price) "
+            "AS DECIMAL(10,2)) AS current_price"
+            if c == "current_price"
+            else c
+            for c in current.columns
+        ]
     )
-    invented = current.sparkSession.range(1).select(F.lit("sub_99999").alias("subscription_id"))
+    invented = current.sparkSession.sql("SELECT 'sub_99999' AS subscription_id")
     return kept.unionByName(invented, allowMissingColumns=True)
 
 
-def _padded(prefix, number, width):
+def padded(prefix, number, width):
     """At least ``width`` digits; a longer number stays whole."""
-    digits = number.cast("string")
-    padded = F.lpad(digits, F.greatest(F.length(digits), F.lit(width)), F.lit("0"))
-    return F.concat(F.lit(prefix), padded)
+    digits = f"CAST({number} AS STRING)"
+    return f"concat('{prefix}', lpad({digits}, greatest(length({digits}), {width}), '0'))"

@@ -80,8 +80,8 @@ def read_landing(spark: SparkSession, path: str) -> DataFrame:
 
 def parse_landing(events: DataFrame) -> DataFrame:
     """Checked text to typed columns; a value that does not parse raises."""
-    return events.select(
-        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.EVENT]
+    return events.selectExpr(
+        *[f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in schema.EVENT]
     )
 
 
