@@ -60,7 +60,8 @@ def apply_to_silver(
     now = now or utc_now()
     batch = new_events.drop("dt").persist()
     try:
-        if batch.isEmpty():
+        row_count, new_mark = batch.agg(F.count(F.lit(1)), F.max("ingested_at")).first()
+        if row_count == 0:
             return None
         history = tables.read_history(spark, lake.history)
         # settled before the history is overwritten, since it is read from there
@@ -71,7 +72,6 @@ def apply_to_silver(
         touched = _dates(dedup.affected_dates(batch).union(redelivered.select("dt")))
         _merge_history(spark, lake, history, batch, touched)
         checks = _renew_current(spark, lake, changed, now)
-        new_mark = incremental.next_mark(batch).first()[0]
     finally:
         batch.unpersist()
     control.save_mark(
