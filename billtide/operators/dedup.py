@@ -47,18 +47,29 @@ def affected_dates(new_events: DataFrame) -> DataFrame:
     return new_events.select(event_date().alias("dt")).where("dt IS NOT NULL").distinct()
 
 
-def moved_events(history: DataFrame, new_events: DataFrame) -> DataFrame:
-    """Stored rows whose event was delivered again: (event_id, subscription_id, dt).
+def redelivered_dates(history: DataFrame, new_events: DataFrame) -> DataFrame:
+    """The event dates on which the history holds an event of the batch, one row each.
 
-    Reads only these columns of the history. Needed because a new delivery may carry another
-    event date than the stored one, and the old copy lies in a partition the batch does not name.
+    A new delivery may carry another event date than the stored one; the old copy then lies on a
+    date the batch does not name. Of a stored history only the ids are read, and the date is the
+    partition's.
     """
+    date = F.col("dt") if "dt" in history.columns else event_date()
     ids = new_events.select("event_id").distinct()
-    return history.select("event_id", "subscription_id", event_date().alias("dt")).join(
-        broadcast_if_small(ids), "event_id", "left_semi"
+    return (
+        history.select("event_id", date.alias("dt"))
+        .join(broadcast_if_small(ids), "event_id", "left_semi")
+        .select("dt")
+        .distinct()
     )
 
 
+def arrived_versions(merged: DataFrame, new_events: DataFrame) -> DataFrame:
+    """The rows that merging has left for the events of the batch."""
+    ids = new_events.select("event_id").distinct()
+    return merged.join(broadcast_if_small(ids), "event_id", "left_semi")
+
+
 def restrict_to_dates(history: DataFrame, dates: list) -> DataFrame:
     """Only the named event dates. With a ``dt`` partition column no other folder is opened."""
     column = F.col("dt") if "dt" in history.columns else event_date()

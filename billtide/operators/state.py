@@ -7,6 +7,7 @@ from billtide import schema
 from billtide.functions.ordering import EVENT_ORDER
 from billtide.functions.times import event_date, moment
 from billtide.operators.dedup import broadcast_if_small, last_per_key
+from billtide.session import cut_lineage
 
 STATE_COLUMNS = [
     "subscription_id",
@@ -19,6 +20,8 @@ STATE_COLUMNS = [
     "event_type",
     "event_time",
 ]
+# what decides between events of equal time
+TIES = ["ingested_at", "event_id"]
 
 
 def last_events(history: DataFrame, columns=STATE_COLUMNS) -> DataFrame:
@@ -35,26 +38,73 @@ def current_state(history: DataFrame, snapshot_time) -> DataFrame:
     return _as_snapshot(last_events(history), snapshot_time)
 
 
+def current_with_order(history: DataFrame, snapshot_time) -> DataFrame:
+    """The snapshot with the two columns that say how late its last event is in the event order."""
+    return _as_snapshot(last_events(history, [*STATE_COLUMNS, *TIES]), snapshot_time)
+
+
+def advance_current(old: DataFrame, arrived: DataFrame, snapshot_time) -> DataFrame:
+    """The snapshot (with order) after events have arrived, without a look at the history.
+
+    ``arrived`` holds the rows that the history now has for the events of the batch. Each
+    subscription's last event is the later of the old one and the last that arrived. That is right
+    for all subscriptions but those in ``withdrawn``.
+    """
+    source = {name: column for name, column in zip(_snapshot_names(), [*STATE_COLUMNS, *TIES])}
+    before = old.select(*[F.col(name).alias(column) for name, column in source.items()])
+    both = before.unionByName(arrived.select(*source.values()))
+    return _as_snapshot(last_events(both, [*STATE_COLUMNS, *TIES]), snapshot_time)
+
+
+def withdrawn(old: DataFrame, arrived: DataFrame) -> DataFrame:
+    """Subscriptions whose last event was delivered again with an earlier time or for another one.
+
+    What came before that event is not in the snapshot, so their state must be found in the history.
+    """
+    again = arrived.selectExpr(
+        "event_id AS last_event_id",
+        "event_time AS new_time",
+        "subscription_id AS new_subscription",
+    )
+    gone = "new_time < last_event_time OR NOT (new_subscription <=> subscription_id)"
+    return (
+        old.select("subscription_id", "last_event_id", "last_event_time")
+        .join(again, "last_event_id")
+        .where(gone)
+        .select("subscription_id")
+        .distinct()
+    )
+
+
 def refresh_current(
-    old: DataFrame, history: DataFrame, changed: DataFrame, snapshot_time
+    old: DataFrame, arrived: DataFrame, history: DataFrame, snapshot_time
 ) -> DataFrame:
-    """The snapshot again, working out only the subscriptions in ``changed``.
+    """The snapshot (with order) brought up to date at the cost of what arrived.
 
-    ``changed`` (one column, ``subscription_id``) must have been checked to be small: both joins
-    broadcast it, so neither the history nor the old snapshot is shuffled to find its rows.
+    The history is read only when there are withdrawn subscriptions, and only for these.
     """
-    changed = F.broadcast(changed)
-    redone = current_state(history.join(changed, "subscription_id", "left_semi"), snapshot_time)
-    kept = old.join(changed, "subscription_id", "left_anti").withColumn(
-        "snapshot_time", moment(snapshot_time)
+    advanced = advance_current(old, arrived, snapshot_time)
+    undecided = cut_lineage(withdrawn(old, arrived))
+    if undecided.isEmpty():
+        return advanced
+    undecided = broadcast_if_small(undecided)
+    again = current_with_order(
+        history.join(undecided, "subscription_id", "left_semi"), snapshot_time
     )
-    return kept.select(*schema.CURRENT.fieldNames()).unionByName(redone)
+    # subscriptions that the withdrawn events now belong to are among those that have advanced
+    return advanced.join(undecided, "subscription_id", "left_anti").unionByName(again)
 
 
-def _as_snapshot(last: DataFrame, snapshot_time) -> DataFrame:
+def _snapshot_names():
     renamed = {source: name for name, source in schema.CURRENT_FROM_HISTORY.items()}
+    renamed |= {"ingested_at": "last_ingested_at", "event_id": "last_event_id"}
+    return [renamed.get(c, c) for c in [*STATE_COLUMNS, *TIES]]
+
+
+def _as_snapshot(last: DataFrame, snapshot_time) -> DataFrame:
+    names = dict(zip([*STATE_COLUMNS, *TIES], _snapshot_names()))
     return last.select(
-        *[F.col(c).alias(renamed.get(c, c)) for c in STATE_COLUMNS],
+        *[F.col(c).alias(names[c]) for c in last.columns],
         moment(snapshot_time).alias("snapshot_time"),
     )
 

@@ -10,10 +10,11 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from billtide import schema
 from billtide.functions.times import event_date, utc_now
 from billtide.operators import dedup, incremental, quality, reconcile, state
 from billtide.operators.kpi import kpi_daily
-from billtide.session import cut_lineage, utc
+from billtide.session import utc, written
 from billtide.sources import control, files, tables
 from billtide.sources.tables import Lake
 
@@ -35,26 +36,38 @@ def ingest(events: DataFrame, lake: Lake) -> list:
 
 
 def update_silver(
-    spark: SparkSession, lake: Lake, now: datetime | None = None, refresh: bool = False
+    spark: SparkSession, lake: Lake, now: datetime | None = None, from_start: bool = False, **how
 ) -> dict | None:
-    """Processes the bronze rows that are newer than the silver mark."""
+    """Processes the bronze rows that are newer than the silver mark.
+
+    ``from_start`` ignores the mark and takes all of bronze, to repair or fill the tables behind it.
+    """
     utc(spark)
-    mark = control.load_mark(spark, lake.control, SILVER)
+    mark = None if from_start else control.load_mark(spark, lake.control, SILVER)
     bronze = tables.read_bronze(spark, lake.bronze)
     new_events = incremental.newer_than(
         bronze, mark["last_processed_ingested_at"] if mark else None, ingest_date="dt"
     )
-    return apply_to_silver(new_events, lake, now, refresh)
+    return apply_to_silver(new_events, lake, now, **how)
 
 
 def apply_to_silver(
-    new_events: DataFrame, lake: Lake, now: datetime | None = None, refresh: bool = False
+    new_events: DataFrame,
+    lake: Lake,
+    now: datetime | None = None,
+    refresh: bool = False,
+    find_moved: bool = True,
+    reconcile_all: bool = True,
 ) -> dict | None:
     """Merges a batch into the history, renews the current snapshot and moves the mark.
 
-    Returns None, with nothing changed, when the batch is empty. With ``refresh`` only the
-    subscriptions that the batch concerns are worked out again, provided they are few enough to be
-    broadcast; otherwise the snapshot is rebuilt from the history.
+    Returns None, with nothing changed, when the batch is empty. The defaults rebuild and check
+    everything on every run. On a large history three things can be had for the cost of the batch:
+
+    * ``refresh``: advance the stored snapshot instead of rebuilding it from the history;
+    * ``find_moved=False``: do not look through all stored ids for events that now carry another
+      date, if the producer never sends those;
+    * ``reconcile_all=False``: leave the comparison of snapshot and whole history to other runs.
     """
     spark = utc(new_events.sparkSession)
     now = now or utc_now()
@@ -64,61 +77,61 @@ def apply_to_silver(
         if row_count == 0:
             return None
         history = tables.read_history(spark, lake.history)
-        # settled before the history is overwritten, since it is read from there
-        redelivered = cut_lineage(dedup.moved_events(history, batch))
-        changed = (
-            _changed_subscriptions(batch, redelivered, spark, lake) if refresh else None
-        )
-        touched = _dates(dedup.affected_dates(batch).union(redelivered.select("dt")))
-        _merge_history(spark, lake, history, batch, touched)
-        checks = _renew_current(spark, lake, changed, now)
+        dates = dedup.affected_dates(batch)
+        if find_moved:
+            dates = dates.union(dedup.redelivered_dates(history, batch))
+        touched = _dates(dates)
+        arrived = _merge_history(lake, history, batch, touched, refresh)
     finally:
         batch.unpersist()
+    checks = _renew_current(spark, lake, arrived, now, reconcile_all)
     control.save_mark(
         spark, lake.control, SILVER, new_mark, committed_at=now, affected_start=min(touched)
     )
     return {"mark": new_mark, "dates": touched, "checks": checks}
 
 
-def _merge_history(spark, lake, history, batch, touched):
+def _merge_history(lake, history, batch, touched, keep_arrived):
+    """Rewrites the touched dates. Returns what arrived, if asked, on storage of its own."""
     existing = dedup.restrict_to_dates(history, touched)
     merged = dedup.merge_events(existing, batch).persist()
+    arrived = None
     try:
         quality.raise_if_failed(quality.check_history(merged))
         remaining = _dates(merged.select(event_date().alias("dt")))
+        if keep_arrived:
+            arrived = written(
+                dedup.arrived_versions(merged, batch).select(
+                    *state.STATE_COLUMNS, *state.TIES
+                ),
+                "arrived",
+            )
         tables.overwrite_history(merged, lake.history)
     finally:
         merged.unpersist()
-    tables.drop_dates(spark, lake.history, set(touched) - set(remaining))
-
-
-def _changed_subscriptions(batch, redelivered, spark, lake):
-    """Subscriptions in the batch or in the stored copies it replaces; None to ask for a rebuild."""
-    if tables.read_current(spark, lake.current).isEmpty():
-        return None
-    both = batch.select("subscription_id").union(redelivered.select("subscription_id"))
-    changed = cut_lineage(both.where("subscription_id IS NOT NULL").distinct())
-    return changed if dedup.small_enough(changed, dedup.BROADCAST_ROWS) else None
+    tables.drop_dates(
+        history.sparkSession, lake.history, set(touched) - set(remaining)
+    )
+    return arrived
 
 
-def _renew_current(spark, lake, changed, now):
+def _renew_current(spark, lake, arrived, now, reconcile_all):
     history = tables.read_history(spark, lake.history)
-    if changed is None:
-        current = state.current_state(history, now)
+    old = tables.read_current(spark, lake.current, schema.STORED_CURRENT)
+    if arrived is None or old.isEmpty():
+        current = state.current_with_order(history, now)
     else:
-        old = tables.read_current(spark, lake.current)
-        current = state.refresh_current(old, history, changed, now)
-    current = current.persist()
+        current = state.refresh_current(old, arrived, history, now)
+    current = current.select(*schema.STORED_CURRENT.fieldNames()).persist()
     try:
-        checks = quality.raise_if_failed(
-            quality.check_current(current).unionByName(
-                reconcile.check_current_vs_history(current, history)
-            )
-        )
+        checks = quality.check_current(current)
+        if reconcile_all:
+            checks = checks.unionByName(reconcile.check_current_vs_history(current, history))
+        results = quality.raise_if_failed(checks)
         tables.overwrite_current(current, lake.current)
     finally:
         current.unpersist()
-    return checks
+    return results
 
 
 def update_gold(spark: SparkSession, lake: Lake, now: datetime | None = None) -> dict | None:

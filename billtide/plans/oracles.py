@@ -444,9 +444,9 @@ ORACLES = {
     "history_incremental": with_tables(
         ["history"], f"SELECT {EVENT_TEXT} FROM history WHERE ingested_at > {MARK}"
     ),
-    "moved_events": with_tables(
+    "redelivered_dates": with_tables(
         ["stored", "batch"],
-        f"""SELECT event_id, subscription_id, {day('event_time', 'dt')} FROM stored
+        f"""SELECT DISTINCT {day('event_time', 'dt')} FROM stored
         WHERE event_id IN (SELECT event_id FROM batch)""",
     ),
     "affected_partitions": with_tables(["touched"], f"SELECT {day('dt')} FROM touched"),

@@ -109,7 +109,7 @@ def bronze_partitions(spark, sf):
     return spark.createDataFrame([(d,) for d in dates], "dt string")
 
 
-def _as_text(events):
+def as_text(events: DataFrame) -> DataFrame:
     """Typed events as a producer would send them."""
     return events.selectExpr(
         *[
@@ -124,8 +124,8 @@ def _as_text(events):
 def bronze_append(spark, sf):
     """The ingest job run twice, for the events before and after the mark."""
     lake = tables.Lake(fresh_dir(spark, "lake"))
-    jobs.ingest(_as_text(before_mark(spark, sf)), lake)
-    jobs.ingest(_as_text(increment(spark, sf)), lake)
+    jobs.ingest(as_text(before_mark(spark, sf)), lake)
+    jobs.ingest(as_text(increment(spark, sf)), lake)
     return (
         tables.read_bronze(spark, lake.bronze)
         .groupBy("dt")
@@ -195,8 +195,8 @@ def history_affected_scan(spark, sf):
     return dedup.restrict_to_affected(stored_before(spark, sf), increment(spark, sf))
 
 
-def moved_events(spark, sf):
-    return dedup.moved_events(stored_before(spark, sf), increment(spark, sf))
+def redelivered_dates(spark, sf):
+    return dedup.redelivered_dates(stored_before(spark, sf), increment(spark, sf))
 
 
 def affected_partitions(spark, sf):
@@ -209,13 +209,12 @@ def state_as_of(spark, sf):
 
 
 def refresh_current(spark, sf):
-    """The snapshot at the mark, brought up to date for the subscriptions in the increment."""
-    old = state.current_state(stored_before(spark, sf), SNAPSHOT)
-    changed = increment(spark, sf).select("subscription_id").distinct()
-    if not dedup.small_enough(changed, dedup.BROADCAST_ROWS):
-        return _without_stamp(current(spark, sf))
-    return _without_stamp(
-        state.refresh_current(old, history(spark, sf), changed, SNAPSHOT)
+    """The snapshot at the mark, advanced by the events in the increment."""
+    old = state.current_with_order(stored_before(spark, sf), SNAPSHOT)
+    events = history(spark, sf)
+    arrived = dedup.arrived_versions(events, increment(spark, sf))
+    return _without_stamp(state.refresh_current(old, arrived, events, SNAPSHOT)).drop(
+        "last_ingested_at", "last_event_id"
     )
 
 
@@ -300,7 +299,7 @@ def _two_runs(spark, sf, run):
     """Ingests the events before and after the mark and calls ``run(lake, step)`` after each."""
     lake = tables.Lake(fresh_dir(spark, "lake"))
     for step, batch in enumerate([before_mark(spark, sf), increment(spark, sf)]):
-        jobs.ingest(_as_text(batch), lake)
+        jobs.ingest(as_text(batch), lake)
         run(lake, step)
     return lake
 
@@ -359,7 +358,7 @@ QUERIES = {
     "history_full": history_full,
     "history_affected_scan": history_affected_scan,
     "history_incremental": lambda spark, sf: incremental.newer_than(history(spark, sf), MARK),
-    "moved_events": moved_events,
+    "redelivered_dates": redelivered_dates,
     "affected_partitions": affected_partitions,
     "affected_start_date": lambda spark, sf: incremental.affected_start(increment(spark, sf)),
     "next_watermark": lambda spark, sf: incremental.next_mark(increment(spark, sf)),

@@ -110,6 +110,15 @@ CURRENT = T.StructType(
     ]
 )
 
+# the stored snapshot also keeps its last event's place among events of equal time
+STORED_CURRENT = T.StructType(
+    [
+        *CURRENT,
+        T.StructField("last_ingested_at", T.TimestampType()),
+        T.StructField("last_event_id", T.StringType()),
+    ]
+)
+
 # snapshot column -> history column it must agree with
 CURRENT_FROM_HISTORY = {
     "current_plan_id": "plan_id",

@@ -154,12 +154,12 @@ def _versions(spark, path):
     return [p.rsplit("/", 1)[0] for p in done]
 
 
-def read_current(spark: SparkSession, path: str) -> DataFrame:
+def read_current(spark: SparkSession, path: str, columns=schema.CURRENT) -> DataFrame:
     """The latest complete version, empty before the first."""
     versions = _versions(spark, path)
     if not versions:
-        return spark.createDataFrame([], schema.CURRENT)
-    return spark.read.schema(schema.CURRENT).parquet(versions[-1])
+        return spark.createDataFrame([], columns)
+    return spark.read.schema(columns).parquet(versions[-1])
 
 
 def overwrite_current(current: DataFrame, path: str) -> None:
@@ -170,9 +170,7 @@ def overwrite_current(current: DataFrame, path: str) -> None:
     spark = current.sparkSession
     versions = _versions(spark, path)
     last = int(versions[-1].rsplit("=", 1)[1]) if versions else 0
-    current.select(*schema.CURRENT.fieldNames()).write.mode("overwrite").parquet(
-        f"{path}/version={last + 1:09d}"
-    )
+    current.write.mode("overwrite").parquet(f"{path}/version={last + 1:09d}")
     for old in versions[:-1]:
         files.delete(spark, old)
 

@@ -34,10 +34,13 @@ def stream_silver(
     lake: Lake,
     checkpoint: str,
     files_per_batch: int = 1000,
-    refresh: bool = False,
     with_gold: bool = False,
+    **how,
 ) -> StreamingQuery:
-    """New bronze files to history and current snapshot, and on to the KPIs if asked."""
+    """New bronze files to history and current snapshot, and on to the KPIs if asked.
+
+    ``how`` is passed on to ``jobs.apply_to_silver``.
+    """
     source = (
         utc(spark)
         .readStream.schema(T.StructType([*schema.EVENT, PARTITION]))
@@ -47,7 +50,7 @@ def stream_silver(
     )
 
     def process(batch: DataFrame, _: int) -> None:
-        done = jobs.apply_to_silver(batch, lake, refresh=refresh)
+        done = jobs.apply_to_silver(batch, lake, **how)
         if done and with_gold:
             jobs.update_gold(batch.sparkSession, lake)
 

@@ -7,6 +7,7 @@ import pytest
 from billtide import schema
 from billtide.operators import kpi, state
 from billtide.plans import jobs
+from billtide.plans.queries import as_text
 from billtide.sources import control, files, tables
 from billtide.streaming import runs
 from tests.conftest import at, event, kpi_rows
@@ -21,12 +22,6 @@ FIRST = [
 LATE = [event("d", "s1", "payment_failed", "03-02 08:00", "03-04 00:00")]
 
 
-def as_text(df):
-    from billtide.plans.queries import _as_text
-
-    return _as_text(df)
-
-
 @pytest.fixture
 def lake(tmp_path):
     return tables.Lake(str(tmp_path / "lake"))
@@ -37,12 +32,12 @@ def step(spark, table, lake):
     """Ingests events (if any) and runs both jobs; the clock moves on an hour per call."""
     clock = [NOW]
 
-    def run(*rows, refresh=False):
+    def run(*rows, **how):
         clock[0] += timedelta(hours=1)
         if rows:
             jobs.ingest(as_text(table(*rows)), lake)
         return (
-            jobs.update_silver(spark, lake, clock[0], refresh=refresh),
+            jobs.update_silver(spark, lake, clock[0], **how),
             jobs.update_gold(spark, lake, clock[0]),
         )
 
@@ -147,9 +142,38 @@ def test_event_moved_to_another_subscription(spark, lake, step):
 
 
 def test_refresh_equals_rebuild(spark, lake, step):
-    step(*FIRST, refresh=True)
-    step(*LATE, event("f", "s4", "created", "03-04 10:00", "03-04 10:01"), refresh=True)
+    cheap = {"refresh": True, "find_moved": False, "reconcile_all": False}
+    step(*FIRST, **cheap)
+    step(*LATE, event("f", "s4", "created", "03-04 10:00", "03-04 10:01"), **cheap)
     consistent(spark, lake)
+    # of events of equal time the one ingested later wins, then the one with the larger id
+    step(
+        event("e", "s4", "payment_failed", "03-04 10:00", "03-04 10:02"),
+        event("0", "s2", "cancelled", "03-02 10:00", "03-04 10:02"),
+        event("1", "s2", "renewed", "03-02 10:00", "03-04 10:02"),
+        **cheap,
+    )
+    current = {r["subscription_id"]: r["current_status"] for r in stored(spark, lake)[1]}
+    assert current == {"s1": "cancelled", "s2": "active", "s4": "past_due"}
+    consistent(spark, lake)
+
+
+def test_refresh_ignores_an_older_delivery(spark, table, lake, step):
+    step(*FIRST)
+    stale = event("b", "s1", "renewed", "03-03 09:30", "03-03 09:00")
+    jobs.apply_to_silver(table(stale), lake, NOW + timedelta(days=1), refresh=True)
+    jobs.update_gold(spark, lake, NOW + timedelta(days=1))
+    consistent(spark, lake)
+    assert stored(spark, lake)[1][0]["current_status"] == "cancelled"
+
+
+def test_rebuild_from_bronze(spark, lake, step):
+    step(*FIRST)
+    step(*LATE)
+    before = stored(spark, lake)
+    files.delete(spark, f"{lake.history}/dt=2024-03-02")
+    step(from_start=True)
+    assert stored(spark, lake) == before
 
 
 def test_bad_events_are_not_ingested(spark, table, lake):
@@ -208,7 +232,7 @@ def test_streams_equal_the_batch_jobs(spark, table, lake, step, tmp_path):
         ingest = runs.stream_ingest(spark, landing, streamed, str(tmp_path / "cp1"), 1)
         ingest.awaitTermination()
         silver = runs.stream_silver(
-            spark, streamed, str(tmp_path / "cp2"), files_per_batch=1, with_gold=True
+            spark, streamed, str(tmp_path / "cp2"), files_per_batch=1, with_gold=True, refresh=True,
         )
         silver.awaitTermination()
         return silver.lastProgress
