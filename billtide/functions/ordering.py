@@ -1,8 +1,4 @@
-"""The orders that decide which event wins.
-
-Structs compare field by field with nulls lowest, so the largest struct is the last event and a
-missing time never beats a real one.
-"""
+"""The orders that decide which event wins."""
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -11,10 +7,6 @@ EVENT_ORDER = ["event_time", "ingested_at", "event_id"]
 ARRIVAL_ORDER = ["ingested_at", "event_id"]
 
 
-def event_order() -> Column:
-    return F.struct(*EVENT_ORDER)
-
-
 def sort_columns(columns=EVENT_ORDER) -> list[Column]:
     """Ascending, nulls last: the order in which tables are shown and stored."""
     return [F.col(c).asc_nulls_last() for c in columns]

@@ -8,11 +8,6 @@ from pyspark.sql import functions as F
 ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 
-def parsed(text: str) -> str:
-    """ISO-8601 text to a timestamp; text that is no time raises."""
-    return f"CAST({text} AS TIMESTAMP)"
-
-
 def parsed_or_null(text: str) -> str:
     """ISO-8601 text to a timestamp; text that is no time becomes null."""
     return f"try_cast({text} AS TIMESTAMP)"

@@ -325,7 +325,10 @@ def kpi_beside(snapshot):
 
 def current_checks(table):
     where = ("silver", "subscription_state_current")
-    found = f"(SELECT missing_in_current + missing_in_history + mismatched FROM ({reconciled(table, 'state', '')}))"
+    found = (
+        "(SELECT missing_in_current + missing_in_history + mismatched "
+        f"FROM ({reconciled(table, 'state', '')}))"
+    )
     bad_times = " + ".join(
         count(table, f"{c} IS NULL") for c in ("last_event_time", "snapshot_time")
     )
@@ -407,6 +410,7 @@ ORACLES = {
         CAST(sum(price) AS DOUBLE) AS price_sum FROM bronze GROUP BY 1""",
     ),
     "history_partition_overwrite": ALL_HISTORY,
+    "history_stored_order": "SELECT 0 AS out_of_place",
     "kpi_partition_overwrite": with_tables(
         ["kpi"], f"SELECT {KPI_SHOWN}, {day('date', 'dt')} FROM kpi"
     ),

@@ -25,6 +25,7 @@ RUN = datetime(2024, 3, 1, tzinfo=timezone.utc)
 
 
 def shown(df: DataFrame) -> DataFrame:
+    """Dates, times and money in the form that any SQL engine can match."""
     columns = []
     for field in df.schema:
         column = field.name
@@ -133,6 +134,13 @@ def bronze_append(spark, sf):
     )
 
 
+def history_stored_order(spark, sf):
+    """How many rows of a written history lie before the row they should follow in their file."""
+    path = fresh_dir(spark, "history")
+    tables.overwrite_history(history(spark, sf), path)
+    return tables.stored_order_violations(spark, path)
+
+
 def history_partition_overwrite(spark, sf):
     """A stored history, then a merge that rewrites only the touched dates, read back whole."""
     path = fresh_dir(spark, "history")
@@ -346,6 +354,7 @@ QUERIES = {
     "bronze_partitions": bronze_partitions,
     "bronze_append": bronze_append,
     "history_partition_overwrite": history_partition_overwrite,
+    "history_stored_order": history_stored_order,
     "kpi_partition_overwrite": kpi_partition_overwrite,
     "watermark_roundtrip": watermark_roundtrip,
     # history and increments

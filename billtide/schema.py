@@ -151,17 +151,6 @@ CONTROL = T.StructType(
     ]
 )
 
-CHECKS = T.StructType(
-    [
-        T.StructField("layer", T.StringType()),
-        T.StructField("dataset", T.StringType()),
-        T.StructField("check_name", T.StringType()),
-        T.StructField("passed", T.BooleanType()),
-        T.StructField("violation_count", T.LongType()),
-        T.StructField("details", T.MapType(T.StringType(), T.StringType())),
-    ]
-)
-
 
 def plan_catalog(spark: SparkSession) -> DataFrame:
     """The plan catalog as a table of three rows: safe to broadcast at any data size."""

@@ -33,10 +33,3 @@ def partition_dates(spark: SparkSession, base_dir: str) -> list[str]:
 def delete(spark: SparkSession, path: str) -> None:
     where, fs = _at(spark, path)
     fs.delete(where, True)
-
-
-def read_text(spark: SparkSession, path: str) -> str | None:
-    """A small text file whole, None when it is missing."""
-    if not exists(spark, path):
-        return None
-    return "\n".join(r["value"] for r in spark.read.text(path, wholetext=True).collect())

@@ -226,7 +226,9 @@ def test_reconciliation_counts_copies_and_nulls(spark, table):
 
 
 def test_state_as_of_given_dates(spark, table):
-    dates = spark.sql("SELECT explode(array(DATE'2024-02-01', DATE'2024-03-02', DATE'2024-04-01')) AS date")
+    dates = spark.sql(
+        "SELECT explode(array(DATE'2024-02-01', DATE'2024-03-02', DATE'2024-04-01')) AS date"
+    )
     found = state.state_as_of(table(*BASE), dates).orderBy("date", "subscription_id").collect()
     assert [(str(r["date"]), r["subscription_id"], r["status"]) for r in found] == [
         ("2024-03-02", "s1", "active"),

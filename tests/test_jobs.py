@@ -105,8 +105,8 @@ def test_arrival_order_does_not_matter(spark, lake, step, tmp_path, table):
     step(*FIRST)
     step(*LATE)
     other = tables.Lake(str(tmp_path / "other"))
-    for n, row in enumerate([LATE[0], *reversed(FIRST)]):
-        jobs.apply_to_silver(table(row), other, NOW + timedelta(hours=n))
+    for n, rows in enumerate([[LATE[0], FIRST[1]], [FIRST[2], FIRST[0]]]):
+        jobs.apply_to_silver(table(*rows), other, NOW + timedelta(hours=n))
         jobs.update_gold(spark, other, NOW + timedelta(hours=n))
     assert stored(spark, other) == stored(spark, lake)
 
