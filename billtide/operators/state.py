@@ -139,7 +139,8 @@ def state_as_of(history: DataFrame, dates: DataFrame, columns=("status", "plan_i
     Every interval is unrolled into its days and only the asked days are kept: an equality join on
     the date, with no comparison of all intervals with all dates.
     """
-    asked = dates.select("date").where("date IS NOT NULL").distinct()
+    # one row per calendar date at most; used three times below
+    asked = cut_lineage(dates.select("date").where("date IS NOT NULL").distinct())
     last_asked = asked.agg(F.max("date")).scalar()
     until = F.least(F.coalesce(F.date_sub("valid_to", 1), last_asked), last_asked)
     return (

@@ -15,7 +15,7 @@ from billtide.functions.ordering import sort_columns
 from billtide.functions.times import event_date, iso_text, parsed_or_null
 from billtide.operators import audit, dedup, incremental, kpi, quality, reconcile, state
 from billtide.plans import jobs
-from billtide.session import fresh_dir, utc
+from billtide.session import fresh_dir, utc, written
 from billtide.sources import adapter, control, files, tables
 from billtide.streaming import runs
 
@@ -62,6 +62,11 @@ def history(spark, sf):
     return dedup.dedup_events(bronze(spark, sf))
 
 
+def written_history(spark, sf):
+    """The same, stored: for queries that read it more than once."""
+    return written(history(spark, sf), "history")
+
+
 def stored_before(spark, sf):
     """The history as it stood at the mark."""
     return dedup.dedup_events(before_mark(spark, sf))
@@ -84,10 +89,10 @@ def kpis(spark, sf):
     return kpi.kpi_daily(history(spark, sf), SNAPSHOT)
 
 
-def _start_date(spark, sf):
-    return incremental.affected_start(
-        incremental.newer_than(history(spark, sf), MARK)
-    ).first()["start_date"]
+def kpis_from_start(events):
+    """KPIs from the earliest date that rows newer than the mark touch."""
+    start = incremental.affected_start(incremental.newer_than(events, MARK)).first()["start_date"]
+    return kpi.kpi_daily(events, SNAPSHOT, start)
 
 
 def _without_stamp(df):
@@ -156,9 +161,7 @@ def kpi_partition_overwrite(spark, sf):
     """KPIs as of the mark, then the dates from the earliest change on overwritten, read back."""
     path = fresh_dir(spark, "kpi")
     tables.overwrite_kpis(kpi.kpi_daily(stored_before(spark, sf), SNAPSHOT), path)
-    tables.overwrite_kpis(
-        kpi.kpi_daily(history(spark, sf), SNAPSHOT, _start_date(spark, sf)), path
-    )
+    tables.overwrite_kpis(kpis_from_start(written_history(spark, sf)), path)
     return _without_stamp(tables.read_kpis(spark, path))
 
 
@@ -212,14 +215,14 @@ def affected_partitions(spark, sf):
 
 
 def state_as_of(spark, sf):
-    events = history(spark, sf)
+    events = written_history(spark, sf)
     return state.state_as_of(events, events.select(event_date().alias("date")))
 
 
 def refresh_current(spark, sf):
     """The snapshot at the mark, advanced by the events in the increment."""
-    old = state.current_with_order(stored_before(spark, sf), SNAPSHOT)
-    events = history(spark, sf)
+    old = written(state.current_with_order(stored_before(spark, sf), SNAPSHOT), "current")
+    events = written_history(spark, sf)
     arrived = dedup.arrived_versions(events, increment(spark, sf))
     return _without_stamp(state.refresh_current(old, arrived, events, SNAPSHOT)).drop(
         "last_ingested_at", "last_event_id"
@@ -231,7 +234,7 @@ def refresh_current(spark, sf):
 
 def recon_current_vs_history(spark, sf):
     """The true snapshot, a tampered one, and one with null columns against their histories."""
-    events, dirty = history(spark, sf), dirty_history(spark, sf)
+    events, dirty = written_history(spark, sf), written(dirty_history(spark, sf), "dirty")
     true = state.current_state(events, SNAPSHOT)
     cases = {
         "true": (true, events),
@@ -246,14 +249,15 @@ def recon_current_vs_history(spark, sf):
 
 
 def mismatch_sample(spark, sf):
-    return reconcile.mismatch_sample(
-        adapter.tampered_snapshot(current(spark, sf)), history(spark, sf)
-    )
+    events = written_history(spark, sf)
+    snapshot = adapter.tampered_snapshot(state.current_state(events, SNAPSHOT))
+    return reconcile.mismatch_sample(snapshot, events)
 
 
 def recon_kpi_vs_current(spark, sf):
-    true, tampered = current(spark, sf), adapter.tampered_snapshot(current(spark, sf))
-    daily = kpis(spark, sf)
+    events = written_history(spark, sf)
+    true, daily = state.current_state(events, SNAPSHOT), kpi.kpi_daily(events, SNAPSHOT)
+    tampered = adapter.tampered_snapshot(true)
     return (
         reconcile.kpi_vs_current(daily, true)
         .withColumn("snapshot", F.lit("true"))
@@ -268,20 +272,21 @@ def _check_rows(checks):
 
 
 def dq_current_summary(spark, sf):
-    snapshot = adapter.tampered_snapshot(current(spark, sf))
+    events = written_history(spark, sf)
+    snapshot = adapter.tampered_snapshot(state.current_state(events, SNAPSHOT))
     return _check_rows(
         quality.check_current(snapshot).unionByName(
-            reconcile.check_current_vs_history(snapshot, history(spark, sf))
+            reconcile.check_current_vs_history(snapshot, events)
         )
     )
 
 
 def dq_kpi_summary(spark, sf):
-    daily = kpis(spark, sf)
+    events = written_history(spark, sf)
+    daily = kpi.kpi_daily(events, SNAPSHOT)
+    snapshot = adapter.tampered_snapshot(state.current_state(events, SNAPSHOT))
     return _check_rows(
-        quality.check_kpis(daily).unionByName(
-            reconcile.check_kpi_vs_current(daily, adapter.tampered_snapshot(current(spark, sf)))
-        )
+        quality.check_kpis(daily).unionByName(reconcile.check_kpi_vs_current(daily, snapshot))
     )
 
 
@@ -382,7 +387,7 @@ QUERIES = {
     "kpi_stock_daily": lambda spark, sf: kpi.kpi_stock_daily(history(spark, sf)),
     "kpi_daily": lambda spark, sf: _without_stamp(kpis(spark, sf)).orderBy("date"),
     "kpi_daily_incremental": lambda spark, sf: _without_stamp(
-        kpi.kpi_daily(history(spark, sf), SNAPSHOT, _start_date(spark, sf))
+        kpis_from_start(written_history(spark, sf))
     ),
     "latest_kpi": lambda spark, sf: _without_stamp(kpi.latest_kpi(kpis(spark, sf))),
     # reconciliation and checks
@@ -427,9 +432,15 @@ QUERIES = {
         adapter.dirty_events(spark, sf)
     ),
     # audits
-    "illegal_transitions": lambda spark, sf: audit.illegal_transitions(history(spark, sf)),
-    "plan_step_mismatches": lambda spark, sf: audit.plan_step_mismatches(history(spark, sf)),
-    "out_of_order_events": lambda spark, sf: audit.out_of_order_events(history(spark, sf)),
+    "illegal_transitions": lambda spark, sf: audit.illegal_transitions(
+        written_history(spark, sf)
+    ),
+    "plan_step_mismatches": lambda spark, sf: audit.plan_step_mismatches(
+        written_history(spark, sf)
+    ),
+    "out_of_order_events": lambda spark, sf: audit.out_of_order_events(
+        written_history(spark, sf)
+    ),
     # jobs and streams
     "jobs_kpi_daily": jobs_kpi_daily,
     "jobs_current_state": jobs_current_state,
