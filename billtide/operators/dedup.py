@@ -28,18 +28,13 @@ def dedup_events(events: DataFrame) -> DataFrame:
     return last_per_key(events, ["event_id"], ["ingested_at", "event_time"])
 
 
-def small_enough(df: DataFrame, rows: int) -> bool:
-    """Whether ``df`` has at most ``rows`` rows; counts no further than that."""
-    return df.limit(rows + 1).count() <= rows
-
-
 def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """Marks a keys-only ``df`` for broadcast after counting it.
 
     A larger one is returned unmarked: the join then shuffles, and adaptive execution splits a
     partition that one key makes too big.
     """
-    return F.broadcast(df) if small_enough(df, rows) else df
+    return F.broadcast(df) if df.count() <= rows else df
 
 
 def affected_dates(new_events: DataFrame) -> DataFrame:

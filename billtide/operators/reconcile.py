@@ -1,6 +1,6 @@
 """Comparisons between tables: snapshot against history, KPIs against snapshot."""
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from billtide import schema
@@ -10,23 +10,17 @@ SAMPLE_ROWS = 10
 
 
 def expected_current(history: DataFrame) -> DataFrame:
-    """What the snapshot should say, by ranking instead of aggregating, so that the two forms check
-    each other. Ranking for the first row only keeps one row per key and map task, as grouping does.
+    """What the snapshot should say, by aggregating instead of ranking, so that the two forms check
+    each other. The last event travels inside the aggregate: one row per key and map task.
     """
-    newest_first = [F.col(c).desc_nulls_last() for c in EVENT_ORDER]
-    rank = F.row_number().over(Window.partitionBy("subscription_id").orderBy(*newest_first))
+    compared = schema.CURRENT_FROM_HISTORY.values()
+    row = F.struct(*EVENT_ORDER, *[c for c in compared if c not in EVENT_ORDER])
     return (
         history.where("subscription_id IS NOT NULL")
+        .groupBy("subscription_id")
+        .agg(F.max(row).alias("last"))
         .select(
-            "subscription_id",
-            *EVENT_ORDER,
-            *[c for c in schema.CURRENT_FROM_HISTORY.values() if c not in EVENT_ORDER],
-        )
-        .withColumn("rank", rank)
-        .where("rank = 1")
-        .select(
-            "subscription_id",
-            *[F.col(h).alias(f"expected_{h}") for h in schema.CURRENT_FROM_HISTORY.values()],
+            "subscription_id", *[F.col(f"last.{c}").alias(f"expected_{c}") for c in compared]
         )
     )
 

@@ -119,7 +119,7 @@ STORED_CURRENT = T.StructType(
     ]
 )
 
-# snapshot column -> history column it must agree with
+# fixed values: snapshot column -> history column it must agree with
 CURRENT_FROM_HISTORY = {
     "current_plan_id": "plan_id",
     "current_billing_cycle": "billing_cycle",

@@ -141,7 +141,6 @@ def above_and_below_first_shuffle(df):
         dedup.dedup_events,
         lambda h: state.current_state(h, NOW),
         state.end_of_day_states,
-        reconcile.expected_current,
     ],
 )
 def test_last_rows_are_picked_before_the_shuffle(spark, build):
@@ -149,10 +148,9 @@ def test_last_rows_are_picked_before_the_shuffle(spark, build):
     assert "WindowGroupLimit" in below
 
 
-def test_kpis_aggregate_before_the_shuffle(spark):
-    _, below = above_and_below_first_shuffle(
-        kpi.kpi_daily(frame(spark, random_events(9, 20)), NOW)
-    )
+@pytest.mark.parametrize("build", [lambda h: kpi.kpi_daily(h, NOW), reconcile.expected_current])
+def test_aggregates_are_partial_before_the_shuffle(spark, build):
+    _, below = above_and_below_first_shuffle(build(frame(spark, random_events(9, 20))))
     assert "partial_max" in below
 
 
