@@ -28,13 +28,15 @@ def dedup_events(events: DataFrame) -> DataFrame:
     return last_per_key(events, ["event_id"], ["ingested_at", "event_time"])
 
 
-def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Marks a keys-only ``df`` for broadcast after counting it.
+def broadcast_if_small(df: DataFrame, at_most: int | None = None) -> DataFrame:
+    """Marks a keys-only ``df`` for broadcast if it is small.
 
-    A larger one is returned unmarked: the join then shuffles, and adaptive execution splits a
-    partition that one key makes too big.
+    It is counted unless the caller knows that it has ``at_most`` so many rows. A larger one is
+    returned unmarked: the join then shuffles, and adaptive execution splits a partition that one key
+    makes too big.
     """
-    return F.broadcast(df) if df.count() <= rows else df
+    rows = df.count() if at_most is None else at_most
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
 def affected_dates(new_events: DataFrame) -> DataFrame:
@@ -42,7 +44,9 @@ def affected_dates(new_events: DataFrame) -> DataFrame:
     return new_events.select(event_date().alias("dt")).where("dt IS NOT NULL").distinct()
 
 
-def redelivered_dates(history: DataFrame, new_events: DataFrame) -> DataFrame:
+def redelivered_dates(
+    history: DataFrame, new_events: DataFrame, batch_rows: int | None = None
+) -> DataFrame:
     """The event dates on which the history holds an event of the batch, one row each.
 
     A new delivery may carry another event date than the stored one; the old copy then lies on a
@@ -53,16 +57,18 @@ def redelivered_dates(history: DataFrame, new_events: DataFrame) -> DataFrame:
     ids = new_events.select("event_id").distinct()
     return (
         history.select("event_id", date.alias("dt"))
-        .join(broadcast_if_small(ids), "event_id", "left_semi")
+        .join(broadcast_if_small(ids, batch_rows), "event_id", "left_semi")
         .select("dt")
         .distinct()
     )
 
 
-def arrived_versions(merged: DataFrame, new_events: DataFrame) -> DataFrame:
+def arrived_versions(
+    merged: DataFrame, new_events: DataFrame, batch_rows: int | None = None
+) -> DataFrame:
     """The rows that merging has left for the events of the batch."""
     ids = new_events.select("event_id").distinct()
-    return merged.join(broadcast_if_small(ids), "event_id", "left_semi")
+    return merged.join(broadcast_if_small(ids, batch_rows), "event_id", "left_semi")
 
 
 def restrict_to_dates(history: DataFrame, dates: list) -> DataFrame:

@@ -78,10 +78,15 @@ def apply_to_silver(
             return None
         history = tables.read_history(spark, lake.history)
         dates = dedup.affected_dates(batch)
-        if find_moved:
-            dates = dates.union(dedup.redelivered_dates(history, batch))
+        if find_moved and not history.isEmpty():
+            dates = dates.union(dedup.redelivered_dates(history, batch, row_count))
         touched = _dates(dates)
-        arrived = _merge_history(lake, history, batch, touched, refresh)
+        merged = dedup.merge_events(dedup.restrict_to_dates(history, touched), batch).persist()
+        try:
+            arrived = _arrived(merged, batch, row_count) if refresh else None
+            _publish_history(spark, lake, merged, touched)
+        finally:
+            merged.unpersist()
     finally:
         batch.unpersist()
     checks = _renew_current(spark, lake, arrived, now, reconcile_all)
@@ -91,28 +96,18 @@ def apply_to_silver(
     return {"mark": new_mark, "dates": touched, "checks": checks}
 
 
-def _merge_history(lake, history, batch, touched, keep_arrived):
-    """Rewrites the touched dates. Returns what arrived, if asked, on storage of its own."""
-    existing = dedup.restrict_to_dates(history, touched)
-    merged = dedup.merge_events(existing, batch).persist()
-    arrived = None
-    try:
-        quality.raise_if_failed(quality.check_history(merged))
-        remaining = _dates(merged.select(event_date().alias("dt")))
-        if keep_arrived:
-            arrived = written(
-                dedup.arrived_versions(merged, batch).select(
-                    *state.STATE_COLUMNS, *state.TIES
-                ),
-                "arrived",
-            )
-        tables.overwrite_history(merged, lake.history)
-    finally:
-        merged.unpersist()
-    tables.drop_dates(
-        history.sparkSession, lake.history, set(touched) - set(remaining)
-    )
-    return arrived
+def _arrived(merged, batch, row_count):
+    """What the history will have for the events of the batch, on storage of its own."""
+    versions = dedup.arrived_versions(merged, batch, row_count)
+    return written(versions.select(*state.STATE_COLUMNS, *state.TIES), "arrived")
+
+
+def _publish_history(spark, lake, merged, touched):
+    """Checks the merged rows, puts them in the place of the touched dates, drops emptied dates."""
+    quality.raise_if_failed(quality.check_history(merged))
+    remaining = _dates(merged.select(event_date().alias("dt")))
+    tables.overwrite_history(merged, lake.history)
+    tables.drop_dates(spark, lake.history, set(touched) - set(remaining))
 
 
 def _renew_current(spark, lake, arrived, now, reconcile_all):
