@@ -10,11 +10,15 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from tokenizers.pre_tokenizers import ByteLevel
 
 from billtide.llm.rows import add_columns
 
 # ---- fixed value: the pattern that splits text before merges ----
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: Characters beyond these blocks, whose classes are settled, are split by the library itself, which knows
+#: another edition of Unicode than the pattern's engine.
+UNSETTLED = regex.compile(r"[^\u0000-\u052f\u2010-\u2027\u2030-\u205e\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fa5\uac00-\ud7a3]")
 NEVER = np.int64(1) << 40
 #: Words whose ids a task remembers.
 REMEMBERED = 400_000
@@ -60,6 +64,7 @@ class Bpe:
         order = np.argsort(keys)
         self.keys, self.ranks = keys[order], ranks[order]
         self.split = regex.compile(PATTERN)
+        self.splitter = ByteLevel(add_prefix_space=False, use_regex=True)
         self.specials = regex.compile("|".join(map(regex.escape, self.special))) if self.special else None
 
     # ---- speculate ----
@@ -154,7 +159,9 @@ class Bpe:
         return proposed
 
     def words(self, text: str) -> list[str]:
-        return self.split.findall(text)
+        if text.isascii() or not UNSETTLED.search(text):
+            return self.split.findall(text)
+        return [text[a:b] for _, (a, b) in self.splitter.pre_tokenize_str(text)]
 
     def pieces(self, text: str):
         """Words and, where a special token's text stands, its id."""

@@ -6,13 +6,61 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from billtide.llm import bpe, line_rules, mixing, pii, simhash
+from billtide.llm import (
+    bpe,
+    labelled,
+    line_rules,
+    mixing,
+    near_vectors,
+    notices,
+    pii,
+    quality_model,
+    simhash,
+    toxicity,
+)
 from billtide.llm.rows import read
 from billtide.session import written
 
 TOKENIZER = "byte_bpe_50k.json"
 
 
+def scored(spark, sf_dir, label, folds, held_out, train, score, cut):
+    """Learns from one side of the folds and scores every document."""
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    labels = read(spark, sf_dir, "labels", "doc_id", label)
+    model = train(*labelled.sample(docs, labels, label, folds, held_out))
+    return score(docs, model).select(
+        "doc_id",
+        (labelled.remainder("doc_id", folds) == held_out).alias("held_out"),
+        "score",
+        F.when(F.col("score") >= cut, 1).otherwise(0).alias("predicted"),
+    )
+
+
+def op2_quality_model(spark, sf_dir):
+    return scored(
+        spark, sf_dir, "quality", 3, 1, quality_model.train, quality_model.score_quality, 0.5
+    )
+
+
+def op8_toxicity(spark, sf_dir):
+    return scored(spark, sf_dir, "toxic", 4, 2, toxicity.train, toxicity.score_toxicity, 0.3)
+
+
+def op4_license_scan(spark, sf_dir):
+    found = notices.scan_licenses(read(spark, sf_dir, "documents", "doc_id", "text"))
+    return found.select(
+        "doc_id", "n_words", "n_base", "first_word", "last_word",
+        F.array_join("base_labels", ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"),
+        "score",
+    )
+
+
+def op5_near_vectors(spark, sf_dir):
+    return near_vectors.near_vectors(read(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
+
+
 def op3_pii(spark, sf_dir):
     found = pii.find_pii(read(spark, sf_dir, "documents", "doc_id", "text"))
     count = lambda kind: F.size(F.filter("pii", lambda s: s["base"] & (s["kind"] == kind))).cast("bigint")
@@ -66,9 +114,13 @@ def op10_simhash(spark, sf_dir):
 
 
 QUERIES = {
+    "op2_quality_model": op2_quality_model,
     "op3_pii": op3_pii,
+    "op4_license_scan": op4_license_scan,
+    "op5_near_vectors": op5_near_vectors,
     "op6_bpe": op6_bpe,
     "op7_line_rules": op7_line_rules,
+    "op8_toxicity": op8_toxicity,
     "op9_mixing": op9_mixing,
     "op10_simhash": op10_simhash,
     "pipeline": corpus_pipeline.run,
