@@ -15,6 +15,7 @@ from billtide.llm import (
     notices,
     pii,
     quality_model,
+    repeated_text,
     simhash,
     toxicity,
 )
@@ -24,6 +25,15 @@ from billtide.session import written
 TOKENIZER = "byte_bpe_50k.json"
 
 
+def op1_repeated_text(spark, sf_dir):
+    found = repeated_text.remove_repeated(read(spark, sf_dir, "documents", "doc_id", "text"))
+    lost = F.aggregate("removed", F.lit(0).cast("bigint"), lambda n, r: n + r["end"] - r["start"])
+    return found.select(
+        "doc_id", "n_bytes", lost.alias("n_removed"), F.size("removed").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def scored(spark, sf_dir, label, folds, held_out, train, score, cut):
     """Learns from one side of the folds and scores every document."""
     docs = read(spark, sf_dir, "documents", "doc_id", "text")
@@ -114,6 +124,7 @@ def op10_simhash(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_repeated_text": op1_repeated_text,
     "op2_quality_model": op2_quality_model,
     "op3_pii": op3_pii,
     "op4_license_scan": op4_license_scan,

@@ -7,13 +7,13 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-#: Rows a Python worker holds at once; texts may be long.
-BATCH_ROWS = 500
+#: Bytes of rows after which an Arrow batch ends; texts may be long.
+BATCH_BYTES = 4 * 2**20
 
 
 def small_batches(spark: SparkSession) -> SparkSession:
-    """Bounds the rows per Arrow batch, so that long texts don't meet in one batch."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    """Bounds the bytes per Arrow batch, so that many long texts don't meet in one batch."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark
 
 
