@@ -278,7 +278,7 @@ def remove_repeated(docs: DataFrame, key: str = "doc_id", text: str = "text", le
 
     A byte is removed if a string of ``length`` bytes covers it that also starts earlier: in a text with a
     smaller key, or in the same text. Strings don't cross texts. A null text counts as empty. A null key
-    comes before all others. Repeated rows are one document and get equal results; rows that share a key but
+    comes before all others (and -2**63 is taken for one). Repeated rows are one document and get equal results; rows that share a key but
     not the text are told apart by 16 bits of a hash of the text, which orders them. An empty table gives an
     empty one. Equality of strings is equality of two 64-bit hashes.
     """
@@ -286,11 +286,13 @@ def remove_repeated(docs: DataFrame, key: str = "doc_id", text: str = "text", le
     if not 2 <= length - gram + 1 <= 255:
         raise ValueError("length must be from 2 to 338")
     small_batches(docs.sparkSession)
-    ids = docs.select(F.col(key).cast("bigint").alias(key), F.coalesce(F.col(text), F.lit("")).alias(text))
-    ids = ids.withColumn("doc", F.coalesce(key, F.lit(NO_ID).cast("bigint")))
-    octets = F.col(text).cast("binary")
-    texts = packed_texts(ids.select(key, "doc", octets.alias("octets")))
-    ranked = rank_texts(ids.select("doc", octets), length, gram)
+    plain = docs.select(
+        F.coalesce(F.col(key).cast("bigint"), F.lit(NO_ID)).alias("doc"),
+        F.coalesce(F.col(text), F.lit("")).cast("binary").alias("octets"),
+    )
+    # the same columns wherever it is joined, so that one shuffle of the texts serves all rounds
+    texts = packed_texts(plain)
+    ranked = rank_texts(plain, length, gram)
     window = length - gram + 1
     cells = sorted({-(-window // 4), -(-window // 16), 1}, reverse=True)
     verdicts = written(settled(ranked), "spans")
@@ -308,7 +310,7 @@ def remove_repeated(docs: DataFrame, key: str = "doc_id", text: str = "text", le
             runs = [removed_runs(s, length) for s in spans]
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0),
+                    pa.array(batch.column(0).to_numpy(), mask=batch.column(0).to_numpy() == NO_ID),
                     pa.array([len(t) for t in own], pa.int64()),
                     pa.array([[{"start": a, "end": b} for a, b in r] for r in runs], RUNS),
                     pa.array([cut(t, r) for t, r in zip(own, runs)], pa.binary()),
@@ -316,7 +318,7 @@ def remove_repeated(docs: DataFrame, key: str = "doc_id", text: str = "text", le
                 [key, "n_bytes", "removed", "kept"],
             )
 
-    found = texts.join(gathered(repeats), ["doc", "tag"], "left").select(key, "packed_text", "spans")
+    found = texts.join(gathered(repeats), ["doc", "tag"], "left").select("doc", "packed_text", "spans")
     return found.mapInArrow(run, f"`{key}` bigint, n_bytes bigint, removed {REMOVED}, kept binary")
 
 
