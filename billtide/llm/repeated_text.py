@@ -290,8 +290,8 @@ def remove_repeated(docs: DataFrame, key: str = "doc_id", text: str = "text", le
         F.coalesce(F.col(key).cast("bigint"), F.lit(NO_ID)).alias("doc"),
         F.coalesce(F.col(text), F.lit("")).cast("binary").alias("octets"),
     )
-    # the same columns wherever it is joined, so that one shuffle of the texts serves all rounds
-    texts = packed_texts(plain)
+    # the same columns and filter wherever it is joined, so that one shuffle of the texts serves all rounds
+    texts = packed_texts(plain).where("doc IS NOT NULL AND tag IS NOT NULL")
     ranked = rank_texts(plain, length, gram)
     window = length - gram + 1
     cells = sorted({-(-window // 4), -(-window // 16), 1}, reverse=True)
