@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from billtide.llm.rows import quoted
+
 #: One draw inverts a Poisson distribution with at most this mean; larger means are sums of draws.
 MOST_MEAN = 32.0
 
@@ -77,10 +79,10 @@ def replicated(
     broadcast; a source with a third of the rows is not gathered anywhere.
     """
     columns = [c for c in docs.columns if c.lower() != "copy"]
-    held = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("d"))
+    held = docs.select(F.struct(*[F.col(quoted(c)) for c in columns]).alias("d"))
     table = rates(docs, weights, other, epochs).select("part", "draws", "steps")
     joined = held.join(F.broadcast(table), part_of("d.source", weights).eqNullSafe(F.col("part")))
-    name = F.coalesce(F.col(f"d.`{key}`").cast("string"), F.lit("null"))
+    name = F.coalesce(F.col(f"d.{quoted(key)}").cast("string"), F.lit("null"))
     numbers = F.transform(
         F.sequence(F.lit(1), "draws"), lambda j: uniform(F.lit(seed), name, j.cast("string"))
     )

@@ -179,7 +179,7 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.98) -> DataFrame:
             for dim, own in frame.groupby("dim"):
                 placed = cells(turned(np.array(own["embedding"].tolist(), np.float64)), threshold, grid)
                 for at, block, cell, home in placed:
-                    if not (with_vectors or home):
+                    if not len(at) or not (with_vectors or home):
                         continue
                     columns = ["rep", "n", "label", "embedding"] if with_vectors else ["label"]
                     names = [",".join(map(str, c)) for c in cell.tolist()]

@@ -155,8 +155,8 @@ def normalised(text: str) -> tuple[str, list[int], list[int], list[bool]] | None
 def find(text: str) -> list[tuple[str, int, int, bool]]:
     """(kind, start, end, base) in code points of the source, by kind as listed and then by start.
 
-    All base spans, and those that show only in the normalised text: they hold a rewritten character and
-    overlap no base span of their kind.
+    All base spans, and those that show only in the normalised text: they hold a rewritten or dropped character
+    and overlap no base span of their kind.
     """
     spans = [(*s, True) for s in detect(text)]
     seen = normalised(text)
@@ -165,7 +165,7 @@ def find(text: str) -> list[tuple[str, int, int, bool]]:
         base = {k: [(s, e) for kind, s, e, _ in spans if kind == k] for k in KINDS}
         for kind, s, e in detect(plain):
             start, end = starts[s], ends[e - 1]
-            if any(new[s:e]) and not any(a < end and start < b for a, b in base[kind]):
+            if (any(new[s:e]) or end - start != e - s) and not any(a < end and start < b for a, b in base[kind]):
                 spans.append((kind, start, end, False))
         spans.sort(key=lambda x: (KINDS.index(x[0]), x[1]))
     return spans

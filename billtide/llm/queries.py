@@ -13,6 +13,7 @@ from billtide.llm import (
     mixing,
     near_vectors,
     notices,
+    oracles,
     pii,
     quality_model,
     repeated_text,
@@ -137,7 +138,12 @@ QUERIES = {
     "pipeline": corpus_pipeline.run,
 }
 
-SQL: dict[str, str] = {}
+SQL = {
+    "op1_repeated_text": oracles.OP1,
+    "op5_near_vectors": oracles.OP5,
+    "op7_line_rules": oracles.OP7,
+    "op9_mixing": oracles.op9(MIX, MIX_OTHER),
+}
 
 if corpus_pipeline.ORACLE_SQL:
     SQL["pipeline"] = corpus_pipeline.ORACLE_SQL

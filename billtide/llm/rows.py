@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 #: Bytes of rows after which an Arrow batch ends; texts may be long.
 BATCH_BYTES = 4 * 2**20
@@ -21,10 +22,15 @@ def read(spark: SparkSession, sf_dir: str, table: str, *columns: str) -> DataFra
     return small_batches(spark).read.parquet(f"{sf_dir}/{table}.parquet").select(*columns)
 
 
+def quoted(name: str) -> str:
+    """A column's name as it stands, with dots and spaces; Spark can't refer to names with backquotes."""
+    return f"`{name}`"
+
+
 def without(df: DataFrame, *names: str) -> DataFrame:
     """``df`` without columns of these names in any case."""
     gone = {n.lower() for n in names}
-    return df.select(*[df[f"`{c}`"] for c in df.columns if c.lower() not in gone])
+    return df.select(*[df[quoted(c)] for c in df.columns if c.lower() not in gone])
 
 
 def add_columns(
@@ -41,18 +47,20 @@ def add_columns(
     taken = [n for n in inputs if n.lower() in {f[0].lower() for f in fields}]
     if taken:
         raise ValueError(f"columns {taken} are inputs and can't be results too")
-    df = without(df, *[f[0] for f in fields])
+    gone = {f[0].lower() for f in fields}
     at = [[c.lower() for c in df.columns].index(n.lower()) for n in inputs]
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
-    schema = ", ".join([kept, *[f"`{name}` {kind}" for name, kind, _ in fields]])
+    kept = [i for i, c in enumerate(df.columns) if c.lower() not in gone]
+    at = [kept.index(i) for i in at]
+    made_fields = T.DataType.fromDDL(", ".join(f"`{name}` {kind}" for name, kind, _ in fields))
+    schema = T.StructType([*[df.schema.fields[i] for i in kept], *made_fields.fields])
+    # by number, so that any name will do
+    df = df.toDF(*[f"c{i}" for i in range(len(df.columns))]).select(*[f"c{i}" for i in kept])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = start()
         for batch in batches:
             made = work(*[batch.column(i).to_pylist() for i in at])
             arrays = [pa.array(v, kind) for v, (_, _, kind) in zip(made, fields, strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, *arrays], [*batch.schema.names, *[f[0] for f in fields]]
-            )
+            yield pa.RecordBatch.from_arrays([*batch.columns, *arrays], schema.names)
 
     return df.mapInArrow(run, schema)

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from billtide.llm import bpe, line_rules, mixing, pii, simhash
-from billtide.llm.rows import small_batches
+from billtide.llm.rows import quoted, small_batches
 from billtide.session import written
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -23,7 +23,7 @@ ROW_KEY = F.expr("sha2(concat(coalesce(cast(doc_id AS string), 'null'), ':', coa
 def with_text(df: DataFrame, made: str, columns: list[str]) -> DataFrame:
     """``columns`` of ``df``, the text replaced by the column ``made`` and counted anew."""
     changed = {"text": F.col(made), "n_chars": F.char_length(made).cast("bigint")}
-    return df.select(*[changed.get(c, F.col(f"`{c}`")).alias(c) for c in columns])
+    return df.select(*[changed.get(c, F.col(quoted(c))).alias(c) for c in columns])
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,7 +44,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     groups = simhash.near_groups(written(marked.select("doc_id", "row_key", "fp"), "simhash"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row_key"))
     kept = groups.groupBy("group_fp").agg(first.alias("first")).select("first.row_key")
-    return keyed.join(kept, "row_key", "left_semi").dropDuplicates(["row_key"]).select(docs.columns)
+    return keyed.join(kept, "row_key", "left_semi").dropDuplicates(["row_key"]).select(*map(quoted, docs.columns))
 
 
 def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,7 +55,7 @@ def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents are repeated or left out so that sources have their shares, in one global random order."""
-    return mixing.shuffled(mixing.replicated(docs, WEIGHTS, OTHER)).select(docs.columns)
+    return mixing.shuffled(mixing.replicated(docs, WEIGHTS, OTHER)).select(*map(quoted, docs.columns))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
