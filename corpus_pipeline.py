@@ -17,19 +17,25 @@ OTHER = 0.6
 #: Tokenisation, Poisson counts and vantage points have no SQL form.
 ORACLE_SQL = None
 #: Equal for rows with equal id and text.
-ROW_KEY = F.expr("sha2(concat(coalesce(cast(doc_id AS string), 'null'), ':', coalesce(text, '')), 256)")
+ROW_KEY = "sha2(concat(coalesce(cast(doc_id AS string), 'null'), ':', coalesce(text, '')), 256)"
+
+
+def aside(docs: DataFrame) -> DataFrame:
+    """The text, and all other columns as ``d``: no operator's result can clash with them."""
+    others = [F.col(quoted(c)) for c in docs.columns if c != "text"]
+    return docs.select(F.struct(*others).alias("d"), "text")
 
 
 def with_text(df: DataFrame, made: str, columns: list[str]) -> DataFrame:
-    """``columns`` of ``df``, the text replaced by the column ``made`` and counted anew."""
+    """``columns`` out of ``d``, the text replaced by the column ``made`` and counted anew."""
     changed = {"text": F.col(made), "n_chars": F.char_length(made).cast("bigint")}
-    return df.select(*[changed.get(c, F.col(quoted(c))).alias(c) for c in columns])
+    return df.select(*[changed.get(c, F.col(f"d.{quoted(c)}")).alias(c) for c in columns])
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Removes failing lines; documents that lose too much, or fail the counts, go."""
     small_batches(spark)
-    judged = line_rules.clean_lines(docs)
+    judged = line_rules.clean_lines(aside(docs))
     return with_text(judged.where("kept"), "cleaned", docs.columns)
 
 
@@ -39,18 +45,18 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Among rows that share this id it is the one with the smallest hash of its text, once if repeated.
     """
     small_batches(spark)
-    keyed = docs.withColumn("row_key", ROW_KEY)
-    marked = simhash.fingerprints(keyed.select("doc_id", "text", "row_key"))
+    marked = simhash.fingerprints(docs.select("doc_id", "text", F.expr(ROW_KEY).alias("row_key")))
     groups = simhash.near_groups(written(marked.select("doc_id", "row_key", "fp"), "simhash"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row_key"))
     kept = groups.groupBy("group_fp").agg(first.alias("first")).select("first.row_key")
-    return keyed.join(kept, "row_key", "left_semi").dropDuplicates(["row_key"]).select(*map(quoted, docs.columns))
+    held = docs.select(F.expr(ROW_KEY).alias("row_key"), F.struct(*[F.col(quoted(c)) for c in docs.columns]).alias("d"))
+    return held.join(kept, "row_key", "left_semi").dropDuplicates(["row_key"]).select("d.*")
 
 
 def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data is replaced by the name of its kind."""
     small_batches(spark)
-    return with_text(pii.find_pii(docs), "masked", docs.columns)
+    return with_text(pii.find_pii(aside(docs)), "masked", docs.columns)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
