@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from operator import and_
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -18,6 +19,8 @@ DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 IP = re.compile(r"(?<![0-9])[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
+#: Stands in every address; without the look back, so it is fast.
+IN_IP = re.compile(r"[0-9]\.[0-9]+\.[0-9]")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 
 # ---- fixed values: letters of other scripts that look like Latin ones, and what they stand for ----
@@ -53,7 +56,8 @@ def lookalike_table() -> dict[int, str]:
 
 
 TABLE = lookalike_table()
-LOOKS = re.compile("[" + "".join(re.escape(chr(c)) for c in sorted(TABLE)) + "]")
+LOOKS = frozenset(map(chr, TABLE))
+INVISIBLE = frozenset("\u200b\u200c\u200d\u2060\ufeff\u00ad")
 ONE = "(?:" + "|".join(sorted(DIGIT_WORDS, key=len, reverse=True)) + ")"
 #: What the rewriting transducer consumes; the group's name says what it writes.
 REWRITES = re.compile(
@@ -67,6 +71,23 @@ REWRITES = re.compile(
     re.IGNORECASE,
 )
 DIGIT_WORD = re.compile(ONE, re.IGNORECASE)
+IN_BRACKETS = re.compile(rb"[\[({<]\s*(?:at|\xc3[\xa4\x84]t|arroba|arobase|dot|punkt|punto|point)\s*[\])}>]", re.IGNORECASE)
+#: Bytes of ASCII that are no letters or digits become spaces.
+TO_WORDS = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
+#: The words in UTF-8; lower() of bytes leaves letters beyond ASCII as they are.
+DIGIT_BYTES = frozenset(w.encode() for word in DIGIT_WORDS for w in (word, re.sub("[éü]", lambda m: m[0].upper(), word)))
+
+
+def may_rewrite(text: str) -> bool:
+    """Whether REWRITES can match at all; cheap, and false for almost every text."""
+    raw = text.encode()
+    if IN_BRACKETS.search(raw) or not (text.isascii() or INVISIBLE.isdisjoint(text)):
+        return True
+    flat = raw.lower().translate(TO_WORDS)
+    if b" dot" in flat or b"plus " in flat:
+        return True
+    is_digit = list(map(DIGIT_BYTES.__contains__, flat.split()))
+    return any(map(and_, is_digit, is_digit[1:]))
 
 
 # ---- detection ----
@@ -96,7 +117,7 @@ def emails(text: str):
 def detect(text: str) -> list[tuple[str, int, int]]:
     """(kind, start, end) by the base patterns, by kind as listed and then by start."""
     found = [("email", s, e) for s, e in emails(text)]
-    for m in IP.finditer(text):
+    for m in IP.finditer(text) if IN_IP.search(text) else ():
         if all(len(p.lstrip("0")) < 4 and int(p) <= 255 for p in m[0].split(".")):
             found.append(("ip", *m.span()))
     for m in CARD.finditer(text):
@@ -119,7 +140,7 @@ def normalised(text: str) -> tuple[str, list[int], list[int], list[bool]] | None
     Lookalikes are replaced one for one; then one pass rewrites disguised at and dot, spelled digits and
     invisible characters, and copies the rest.
     """
-    plain = text if text.isascii() or not LOOKS.search(text) else text.translate(TABLE)
+    plain = text if text.isascii() or LOOKS.isdisjoint(text) else text.translate(TABLE)
     out, starts, ends, new = [], [], [], []
     at = 0
 
@@ -135,7 +156,7 @@ def normalised(text: str) -> tuple[str, list[int], list[int], list[bool]] | None
         ends.extend([end] * len(chars))
         new.extend([True] * len(chars))
 
-    for m in REWRITES.finditer(plain):
+    for m in REWRITES.finditer(plain) if may_rewrite(plain) else ():
         copy(m.start())
         kind = m.lastgroup
         if kind == "digits":
