@@ -138,8 +138,8 @@ def cell_ranks(octets, begins, text, start, size, offset, length: int, cell: int
     return text, start[span] + within, size, away, rank, content
 
 
-RANKED = "rank bigint, content bigint, doc bigint, span bigint"
-RANKED_ARROW = pa.schema([(n, pa.int64()) for n in ("rank", "content", "doc", "span")])
+RANKED = "rank bigint, content bigint, doc bigint, span bigint, repeated boolean"
+RANKED_ARROW = pa.schema([*[(n, pa.int64()) for n in ("rank", "content", "doc", "span")], ("repeated", pa.bool_())])
 
 
 def joined(texts: list[bytes]):
@@ -149,10 +149,18 @@ def joined(texts: list[bytes]):
 
 
 def ranked_rows(doc, tag, found):
+    """The spans of a batch as rows. Of equal spans in the batch only the first keeps its rank; the others are
+    repeats already and get ranks of their own, so that no rank brings more than one copy per batch along."""
     text, start, size, offset, rank, content = found
-    spans = packed(tag[text], start, size, offset)
-    columns = [rank.view(np.int64), content.view(np.int64), doc[text], spans]
-    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=RANKED_ARROW)
+    rows = np.stack([rank.view(np.int64), content.view(np.int64), doc[text], packed(tag[text], start, size, offset)])
+    rows = rows[:, np.lexsort(rows[::-1])]
+    same = rows[:, 1:] == rows[:, :-1]
+    rows = rows[:, np.append(True, ~same.all(axis=0))[: rows.shape[1]]]
+    same = rows[:2, 1:] == rows[:2, :-1]
+    repeated = np.append(False, same.all(axis=0))[: rows.shape[1]]
+    rows[0, repeated] = tagged(rows[3, repeated].view(U), rows[2, repeated]).view(np.int64)
+    rows[1, repeated] = 0
+    return pa.RecordBatch.from_arrays([*map(pa.array, rows), pa.array(repeated)], schema=RANKED_ARROW)
 
 
 def rank_texts(docs: DataFrame, length: int, gram: int) -> DataFrame:
@@ -211,14 +219,15 @@ def settled(ranked: DataFrame) -> DataFrame:
         held = None  # the previous first span (rank, doc, span), and whether it is open already
         for batch in batches:
             rows = np.stack([batch.column(i).to_numpy() for i in range(4)])
+            known = batch.column(4).to_numpy(zero_copy_only=False)
+            out = [(rows[2, known], rows[3, known], known[known])]
+            rows = rows[:, ~known]
             before = np.concatenate([last, rows[:, :-1]], axis=1)
             same = rows == before
             again = same.all(axis=0)  # the same position twice: a repeated row of the table
-            known = before[3] >= 0
-            first = ~(same[0] & same[1] & known)
+            first = ~(same[0] & same[1] & (before[3] >= 0))
             copies = ~first & ~again
-            # a position that comes twice right after the first of its kind is that first one
-            out = [(rows[2, copies], rows[3, copies], np.ones(int(copies.sum()), bool))]
+            out.append((rows[2, copies], rows[3, copies], np.ones(int(copies.sum()), bool)))
             rank, doc, span = rows[0, first], rows[2, first], rows[3, first]
             opened = np.zeros(len(rank), bool)
             opened[1:] |= rank[1:] == rank[:-1]
