@@ -6,10 +6,10 @@ from pyspark.sql import functions as F
 from billtide import schema
 from billtide.functions.catalog import with_catalog
 from billtide.functions.ordering import ARRIVAL_ORDER, EVENT_ORDER
-from billtide.operators.ordered import HOT_ROWS, with_max_before, with_previous
+from billtide.operators.ordered import in_chunks, with_max_before, with_previous
 
 
-def illegal_transitions(history: DataFrame, hot_rows=HOT_ROWS) -> DataFrame:
+def illegal_transitions(history: DataFrame, chunks: int | None = None) -> DataFrame:
     """Events that may not follow the state their subscription was in.
 
     A subscription must begin with its creation and is created once; the top plan cannot be
@@ -27,7 +27,7 @@ def illegal_transitions(history: DataFrame, hot_rows=HOT_ROWS) -> DataFrame:
     beyond = ((kind == "subscription_upgraded") & at_top) | (
         (kind == "subscription_downgraded") & at_bottom
     )
-    steps = _steps(history, ["status", "plan_id"], hot_rows)
+    steps = _steps(history, ["status", "plan_id"], chunks)
     return steps.where(~F.coalesce(legal & ~beyond, F.lit(False))).select(
         "event_id",
         "subscription_id",
@@ -37,13 +37,13 @@ def illegal_transitions(history: DataFrame, hot_rows=HOT_ROWS) -> DataFrame:
     )
 
 
-def plan_step_mismatches(history: DataFrame, hot_rows=HOT_ROWS) -> DataFrame:
+def plan_step_mismatches(history: DataFrame, chunks: int | None = None) -> DataFrame:
     """Events after which plan, price or status are not what the event implies.
 
     An upgrade moves one tier up and a downgrade one down, both ending at the outer tiers, and take
     the price of the new plan; other events keep plan and price. First events are not judged.
     """
-    steps = with_catalog(_steps(history, ["plan_id", "price"], hot_rows)).withColumnRenamed(
+    steps = with_catalog(_steps(history, ["plan_id", "price"], chunks)).withColumnRenamed(
         "tier", "actual_tier"
     )
     tiers = schema.plan_catalog(history.sparkSession)
@@ -93,20 +93,17 @@ def plan_step_mismatches(history: DataFrame, hot_rows=HOT_ROWS) -> DataFrame:
     return expected.where(~agrees)
 
 
-def out_of_order_events(history: DataFrame, hot_rows=HOT_ROWS) -> DataFrame:
+def out_of_order_events(history: DataFrame, chunks: int | None = None) -> DataFrame:
     """How many events arrived after a later one: over all events and within subscriptions.
 
     Arrival order is (``ingested_at``, ``event_id``); an event counts when its time lies below the
     largest event time that arrived before it.
     """
     arrived = history.select("event_time", *ARRIVAL_ORDER, "subscription_id")
-    whole = with_max_before(
-        arrived.withColumn("everything", F.lit(0)),
-        "everything", ARRIVAL_ORDER, "event_time", hot_rows,
-    )
+    chunked = in_chunks(arrived, ARRIVAL_ORDER, chunks)
+    whole = with_max_before(chunked, [], ARRIVAL_ORDER, "event_time")
     within = with_max_before(
-        arrived.where("subscription_id IS NOT NULL"),
-        "subscription_id", ARRIVAL_ORDER, "event_time", hot_rows,
+        chunked.where("subscription_id IS NOT NULL"), ["subscription_id"], ARRIVAL_ORDER, "event_time"
     )
     return _count_late(whole, "overall").unionByName(_count_late(within, "within_subscription"))
 
@@ -118,7 +115,7 @@ def _count_late(df, scope):
     )
 
 
-def _steps(history, columns, hot_rows):
+def _steps(history, columns, chunks):
     wanted = [*EVENT_ORDER, "subscription_id", "event_type", "plan_id", "price", "status"]
     kept = history.where("subscription_id IS NOT NULL").select(*wanted)
-    return with_previous(kept, "subscription_id", EVENT_ORDER, columns, hot_rows)
+    return with_previous(kept, "subscription_id", EVENT_ORDER, columns, chunks)

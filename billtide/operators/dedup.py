@@ -6,9 +6,6 @@ from pyspark.sql import functions as F
 from billtide import schema
 from billtide.functions.times import event_date
 
-# how many ids may be shipped to every executor; beyond it the join shuffles instead
-BROADCAST_ROWS = 1_000_000
-
 
 def last_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """One row per key: the one with the largest ``order``, ties broken by the rest of the row.
@@ -28,25 +25,12 @@ def dedup_events(events: DataFrame) -> DataFrame:
     return last_per_key(events, ["event_id"], ["ingested_at", "event_time"])
 
 
-def broadcast_if_small(df: DataFrame, at_most: int | None = None) -> DataFrame:
-    """Marks a keys-only ``df`` for broadcast if it is small.
-
-    It is counted unless the caller knows that it has ``at_most`` so many rows. A larger one is
-    returned unmarked: the join then shuffles, and adaptive execution splits a partition that one key
-    makes too big.
-    """
-    rows = df.count() if at_most is None else at_most
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
-
-
 def affected_dates(new_events: DataFrame) -> DataFrame:
     """The event dates that a batch touches, one row each."""
     return new_events.select(event_date().alias("dt")).where("dt IS NOT NULL").distinct()
 
 
-def redelivered_dates(
-    history: DataFrame, new_events: DataFrame, batch_rows: int | None = None
-) -> DataFrame:
+def redelivered_dates(history: DataFrame, new_events: DataFrame) -> DataFrame:
     """The event dates on which the history holds an event of the batch, one row each.
 
     A new delivery may carry another event date than the stored one; the old copy then lies on a
@@ -57,18 +41,16 @@ def redelivered_dates(
     ids = new_events.select("event_id").distinct()
     return (
         history.select("event_id", date.alias("dt"))
-        .join(broadcast_if_small(ids, batch_rows), "event_id", "left_semi")
+        .join(ids, "event_id", "left_semi")
         .select("dt")
         .distinct()
     )
 
 
-def arrived_versions(
-    merged: DataFrame, new_events: DataFrame, batch_rows: int | None = None
-) -> DataFrame:
+def arrived_versions(merged: DataFrame, new_events: DataFrame) -> DataFrame:
     """The rows that merging has left for the events of the batch."""
     ids = new_events.select("event_id").distinct()
-    return merged.join(broadcast_if_small(ids, batch_rows), "event_id", "left_semi")
+    return merged.join(ids, "event_id", "left_semi")
 
 
 def restrict_to_dates(history: DataFrame, dates: list) -> DataFrame:

@@ -1,83 +1,57 @@
 """Look back along an order within a key, also when one key holds much of the table.
 
-A window over a key puts all rows of the key into one task. Keys with more than ``hot_rows`` rows are
-therefore cut: their rows are range-partitioned by key and order, every partition is one chunk and a
-window of its own, and one summary row per chunk carries what came before into the next chunk. The
-cut rows are written out once, because both the rows and the summaries need the same chunks.
+A window over a key would put all rows of the key into one task. Rows are therefore always range-partitioned
+by the order; every partition is a chunk, in which each key is a window of its own, and one summary row per
+key and chunk carries on into the next chunk. The chunks are written out once, because both the
+rows and the summaries need the same ones. Results do not depend on where keys are cut.
 """
 
-from math import ceil
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from billtide.operators.dedup import broadcast_if_small
-from billtide.session import cut_lineage, written
+from billtide.session import written
+
 
-HOT_ROWS = 1_000_000
-# more chunks than this are no help to a cluster; beyond it chunks grow instead
-MOST_CHUNKS = 20_000
+def in_chunks(df: DataFrame, order: list[str], chunks: int | None = None) -> DataFrame:
+    """``df`` with ``chunk``, the number of its range of ``order``; as many as the session shuffles into, if
+    not said otherwise."""
+    ranged = df.repartitionByRange(*([chunks] if chunks else []), *order)
+    return written(ranged.withColumn("chunk", F.spark_partition_id()), "chunks")
 
 
 def with_previous(
-    df: DataFrame, key: str, order: list[str], columns: list[str], hot_rows: int = HOT_ROWS
+    df: DataFrame, key: str, order: list[str], columns: list[str], chunks: int | None = None
 ) -> DataFrame:
     """Adds ``previous``, a struct of ``columns`` of the row before; null on the first row of a key."""
     row = F.struct(*columns)
-    cold, hot = _split(df, key, order, hot_rows)
-    whole = cold.withColumn("previous", F.lag(row).over(Window.partitionBy(key).orderBy(*order)))
-    if hot is None:
-        return whole
-    ends = hot.groupBy(key, "chunk").agg(F.max_by(row, F.struct(*order)).alias("end"))
-    chunks = Window.partitionBy(key).orderBy("chunk")
-    carried = ends.select(key, "chunk", F.lag("end").over(chunks).alias("carried"))
-    in_chunk = F.lag(row).over(Window.partitionBy(key, "chunk").orderBy(*order))
-    cut = (
-        hot.withColumn("previous", in_chunk)
-        .join(carried, [key, "chunk"], "left")
+    # the key first: few keys lie in more than one chunk
+    cut = in_chunks(df, [key, *order], chunks)
+    ends = cut.groupBy(key, "chunk").agg(F.max_by(row, F.struct(*order)).alias("end"))
+    by_chunk = Window.partitionBy(key).orderBy("chunk")
+    carried = ends.select(key, "chunk", F.lag("end").over(by_chunk).alias("carried"))
+    within = Window.partitionBy(key, "chunk").orderBy(*order)
+    return (
+        cut.withColumn("previous", F.lag(row).over(within))
+        .join(carried.where("carried IS NOT NULL"), [key, "chunk"], "left")
         .withColumn("previous", F.coalesce("previous", "carried"))
+        .drop("chunk", "carried")
     )
-    return whole.unionByName(cut.drop("chunk", "carried"))
 
 
-def with_max_before(
-    df: DataFrame, key: str, order: list[str], value: str, hot_rows: int = HOT_ROWS
-) -> DataFrame:
-    """Adds ``max_before``, the largest ``value`` of all rows before; null on the first row of a key."""
+def with_max_before(chunked: DataFrame, keys: list[str], order: list[str], value: str) -> DataFrame:
+    """Adds ``max_before``, the largest ``value`` of all rows before with the same ``keys`` (of all rows
+    without any); null on the first. ``chunked`` is cut by ``order`` alone, see ``in_chunks``."""
 
-    def before(*keys, by):
-        window = Window.partitionBy(*keys).orderBy(*by)
+    def before(*parts, by):
+        window = Window.partitionBy(*parts).orderBy(*by)
         return window.rowsBetween(Window.unboundedPreceding, -1)
 
-    cold, hot = _split(df, key, order, hot_rows)
-    whole = cold.withColumn("max_before", F.max(value).over(before(key, by=order)))
-    if hot is None:
-        return whole
-    tops = hot.groupBy(key, "chunk").agg(F.max(value).alias("top"))
-    carried = tops.select(
-        key, "chunk", F.max("top").over(before(key, by=["chunk"])).alias("carried")
-    )
-    cut = (
-        hot.withColumn("max_before", F.max(value).over(before(key, "chunk", by=order)))
-        .join(carried, [key, "chunk"], "left")
+    tops = chunked.groupBy(*keys, "chunk").agg(F.max(value).alias("top"))
+    # without keys one row per chunk, else at most one row per key and chunk
+    carried = tops.select(*keys, "chunk", F.max("top").over(before(*keys, by=["chunk"])).alias("carried"))
+    return (
+        chunked.withColumn("max_before", F.max(value).over(before(*keys, "chunk", by=order)))
+        .join(carried, [*keys, "chunk"], "left")
         .withColumn("max_before", F.greatest("max_before", "carried"))
+        .drop("carried")
     )
-    return whole.unionByName(cut.drop("chunk", "carried"))
-
-
-def _split(df, key, order, hot_rows):
-    """Rows of ordinary keys, and rows of hot keys with their ``chunk`` (None when there are none)."""
-    counts = df.groupBy(key).count().where(F.col("count") > hot_rows)
-    # at most (rows / hot_rows) keys
-    hot_keys = cut_lineage(counts)
-    hot_count = hot_keys.agg(F.sum("count")).first()[0]
-    if not hot_count:
-        return df, None
-    keys = broadcast_if_small(hot_keys.select(key))
-    pieces = min(ceil(hot_count / hot_rows), MOST_CHUNKS)
-    ranged = (
-        df.join(keys, key, "left_semi")
-        .repartitionByRange(pieces, key, *order)
-        .withColumn("chunk", F.spark_partition_id())
-    )
-    return df.join(keys, key, "left_anti"), written(ranged, "chunks")

@@ -71,7 +71,7 @@ def not_after(df: DataFrame, left, right, name=None) -> Check:
 
 def non_negative(df: DataFrame, column, name=None) -> Check:
     """Numbers of at least zero; nulls pass, text that is no number does not."""
-    number = f"try_cast({column} AS DOUBLE)"
+    number = finite_or_null(column)
     counts = {
         "not_numeric": _count(df, [column], f"{column} IS NOT NULL AND {number} IS NULL"),
         "negative": _count(df, [column], f"{number} < 0"),
@@ -79,6 +79,12 @@ def non_negative(df: DataFrame, column, name=None) -> Check:
     return Check(name or f"{column}_non_negative", counts)
 
 
+def finite_or_null(column: str) -> str:
+    """A number; text that is none, NaN and the infinities become null."""
+    number = f"try_cast({column} AS DOUBLE)"
+    return f"if(abs({number}) < double('Infinity'), {number}, NULL)"
+
+
 def schema_version_expected(df: DataFrame) -> Check:
     """The only version present is the expected one, and it is present."""
     expected = f"'{schema.EVENT_SCHEMA_VERSION}'"
@@ -255,12 +261,17 @@ def raise_if_failed(checks: DataFrame) -> list:
 
     The rows are the checks of a suite, some twenty, whatever the size of the table.
     """
-    results = checks.collect()
-    failed = [r for r in results if not r["passed"]]
+    return judged(checks.collect())
+
+
+def judged(results: list) -> list:
+    """The rows of checks that have run; raises if any failed, naming all that did."""
+    failed: dict[str, dict] = {}
+    for r in results:
+        if not r["passed"]:
+            failed.setdefault(f"{r['layer']}.{r['dataset']}", {})[r["check_name"]] = r["violation_count"]
     if failed:
-        where = f"{failed[0]['layer']}.{failed[0]['dataset']}"
-        found = {r["check_name"]: r["violation_count"] for r in failed}
-        raise ValueError(f"{where} failed its checks: {found}")
+        raise ValueError("; ".join(f"{where} failed its checks: {found}" for where, found in failed.items()))
     return results
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from billtide import schema
 from billtide.functions.ordering import EVENT_ORDER
 from billtide.functions.times import event_date, moment
-from billtide.operators.dedup import broadcast_if_small, last_per_key
+from billtide.operators.dedup import last_per_key
 from billtide.session import cut_lineage
 
 STATE_COLUMNS = [
@@ -87,7 +87,6 @@ def refresh_current(
     undecided = cut_lineage(withdrawn(old, arrived))
     if undecided.isEmpty():
         return advanced
-    undecided = broadcast_if_small(undecided)
     again = current_with_order(
         history.join(undecided, "subscription_id", "left_semi"), snapshot_time
     )
@@ -136,17 +135,17 @@ def state_intervals(history: DataFrame, columns=("status", "plan_id", "price"))
 def state_as_of(history: DataFrame, dates: DataFrame, columns=("status", "plan_id", "price")):
     """The state of every subscription at the end of each date in ``dates`` (column ``date``).
 
-    Every interval is unrolled into its days and only the asked days are kept: an equality join on
-    the date, with no comparison of all intervals with all dates.
+    The asked dates, one per calendar day at most, travel to the intervals as one sorted array; an interval
+    gives rise to the asked dates it contains and to no others.
     """
-    # one row per calendar date at most; used three times below
-    asked = cut_lineage(dates.select("date").where("date IS NOT NULL").distinct())
-    last_asked = asked.agg(F.max("date")).scalar()
-    until = F.least(F.coalesce(F.date_sub("valid_to", 1), last_asked), last_asked)
+    asked = dates.where("date IS NOT NULL").agg(F.sort_array(F.collect_set("date")).alias("asked"))
+    inside = F.filter(
+        "asked",
+        lambda d: (d >= F.col("valid_from")) & (F.col("valid_to").isNull() | (d < F.col("valid_to"))),
+    )
     return (
         state_intervals(history, columns)
-        .where(F.col("valid_from") <= last_asked)
-        .withColumn("date", F.explode(F.sequence("valid_from", until)))
-        .join(broadcast_if_small(asked), "date", "left_semi")
+        .withColumn("asked", asked.scalar())
+        .withColumn("date", F.explode(inside))
         .select("date", "subscription_id", *columns, "last_event_id")
     )

@@ -1,20 +1,19 @@
-"""The three jobs: ingest, bronze to silver, silver to gold.
+"""The jobs: ingest, bronze to silver, silver to gold, and the comparison of everything with everything.
 
-Each job checks what it is about to write, writes it, and moves its mark last. A job that dies on
-the way is repeated from the same mark and ends in the same tables, because the merge keeps one row
-per event however often it is delivered. The driver sees only check rows, dates and marks.
+A job stages what it has made, checks what it has staged, says what it is about to change, puts it in force
+and moves its mark last. A job that dies on the way is repeated from the same mark and ends in the same
+tables: the merge keeps one row per event however often it is delivered, tables change in one step, and the
+next job learns of changes from what was announced, not only from what was finished. The driver sees only
+check rows, dates and marks. ``now`` stamps rows; no order is taken from it.
 """
 
-from datetime import datetime
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from billtide import schema
-from billtide.functions.times import event_date, utc_now
 from billtide.operators import dedup, incremental, quality, reconcile, state
 from billtide.operators.kpi import kpi_daily
-from billtide.session import utc, written
+from billtide.session import staged, utc
 from billtide.sources import control, files, tables
 from billtide.sources.tables import Lake
 
@@ -22,160 +21,150 @@ SILVER = "subscription_events_silver"
 GOLD = "kpi_daily_gold"
 
 
-def ingest(events: DataFrame, lake: Lake) -> list:
+def ingest(events: DataFrame, lake: Lake, now) -> list:
     """Checks a batch of events in text form and appends it to bronze.
 
-    Nothing is written when the batch is empty or any check fails. Returns the check rows.
+    Nothing is written to bronze when the batch is empty or any check fails. Returns the check rows.
     """
-    utc(events.sparkSession)
-    if events.isEmpty():
-        return []
-    results = quality.raise_if_failed(quality.check_events(events))
-    tables.append_bronze(tables.parse_landing(events), lake.bronze)
+    spark = utc(events.sparkSession)
+    with staged(events, "landed") as landed:
+        if landed.isEmpty():
+            return []
+        results = _judge(spark, lake, "ingest", now, quality.check_events(landed))
+        tables.append_bronze(tables.parse_landing(landed), lake.bronze)
     return results
 
 
-def update_silver(
-    spark: SparkSession, lake: Lake, now: datetime | None = None, from_start: bool = False, **how
-) -> dict | None:
+def update_silver(spark: SparkSession, lake: Lake, now, from_start: bool = False) -> dict | None:
     """Processes the bronze rows that are newer than the silver mark.
 
-    ``from_start`` ignores the mark and takes all of bronze, to repair or fill the tables behind it.
+    ``from_start`` ignores the mark, takes all of bronze and rebuilds the snapshot from the history.
     """
     utc(spark)
     mark = None if from_start else control.load_mark(spark, lake.control, SILVER)
     bronze = tables.read_bronze(spark, lake.bronze)
-    new_events = incremental.newer_than(
-        bronze, mark["last_processed_ingested_at"] if mark else None, ingest_date="dt"
-    )
-    return apply_to_silver(new_events, lake, now, **how)
-
-
-def apply_to_silver(
-    new_events: DataFrame,
-    lake: Lake,
-    now: datetime | None = None,
-    refresh: bool = False,
-    find_moved: bool = True,
-    reconcile_all: bool = True,
-) -> dict | None:
-    """Merges a batch into the history, renews the current snapshot and moves the mark.
-
-    Returns None, with nothing changed, when the batch is empty. The defaults rebuild and check
-    everything on every run. On a large history three things can be had for the cost of the batch:
-
-    * ``refresh``: advance the stored snapshot instead of rebuilding it from the history;
-    * ``find_moved=False``: do not look through all stored ids for events that now carry another
-      date, if the producer never sends those;
-    * ``reconcile_all=False``: leave the comparison of snapshot and whole history to other runs.
+    new_events = incremental.newer_than(bronze, mark["mark"] if mark else None, ingest_date="dt")
+    return apply_to_silver(new_events, lake, now, rebuild=from_start)
+
+
+def apply_to_silver(new_events: DataFrame, lake: Lake, now, rebuild: bool = False) -> dict | None:
+    """Merges a batch into the history, advances the current snapshot and moves the mark.
+
+    Returns None, with nothing changed, when the batch is empty. The event dates that the batch names, and those
+    on which the history holds one of its events, are merged and replaced; the snapshot is advanced
+    from the batch (``rebuild`` makes it anew from the history). What the batch has touched is compared with
+    the history; ``reconcile_all`` compares everything.
     """
     spark = utc(new_events.sparkSession)
-    now = now or utc_now()
-    batch = new_events.drop("dt").persist()
-    try:
-        row_count, new_mark = batch.agg(F.count(F.lit(1)), F.max("ingested_at")).first()
+    with staged(new_events.drop("dt"), "batch") as batch:
+        row_count, mark = batch.agg(F.count(F.lit(1)), F.unix_micros(F.max("ingested_at"))).first()
         if row_count == 0:
             return None
         history = tables.read_history(spark, lake.history)
         dates = dedup.affected_dates(batch)
-        if find_moved and not history.isEmpty():
-            dates = dates.union(dedup.redelivered_dates(history, batch, row_count))
-        touched = _dates(dates)
-        merged = dedup.merge_events(dedup.restrict_to_dates(history, touched), batch).persist()
+        touched = _dates(dates.union(dedup.redelivered_dates(history, batch)))
+        merged = dedup.merge_events(dedup.restrict_to_dates(history, touched), batch)
+        folder = tables.stage_history(merged, lake.history)
+        made = tables.read_staged(spark, lake.history, folder)
         try:
-            arrived = _arrived(merged, batch, row_count) if refresh else None
-            _publish_history(spark, lake, merged, touched)
-        finally:
-            merged.unpersist()
-    finally:
-        batch.unpersist()
-    checks = _renew_current(spark, lake, arrived, now, reconcile_all)
+            _judge(spark, lake, SILVER, now, quality.check_history(made))
+        except ValueError:
+            files.delete(spark, f"{lake.history}/{folder}")
+            raise
+        control.save_intent(
+            spark, lake.control, SILVER, committed_at=now, affected_start=min(touched, default=None)
+        )
+        tables.publish_history(spark, lake.history, folder, touched)
+        checks = _renew_current(spark, lake, dedup.arrived_versions(made, batch), now, rebuild)
     control.save_mark(
-        spark, lake.control, SILVER, new_mark, committed_at=now, affected_start=min(touched)
+        spark, lake.control, SILVER, mark, committed_at=now, affected_start=min(touched, default=None)
     )
-    return {"mark": new_mark, "dates": touched, "checks": checks}
+    return {"mark": mark, "dates": touched, "checks": checks}
 
 
-def _arrived(merged, batch, row_count):
-    """What the history will have for the events of the batch, on storage of its own."""
-    versions = dedup.arrived_versions(merged, batch, row_count)
-    return written(versions.select(*state.STATE_COLUMNS, *state.TIES), "arrived")
-
-
-def _publish_history(spark, lake, merged, touched):
-    """Checks the merged rows, puts them in the place of the touched dates, drops emptied dates."""
-    quality.raise_if_failed(quality.check_history(merged))
-    remaining = _dates(merged.select(event_date().alias("dt")))
-    tables.overwrite_history(merged, lake.history)
-    tables.drop_dates(spark, lake.history, set(touched) - set(remaining))
-
-
-def _renew_current(spark, lake, arrived, now, reconcile_all):
+def _renew_current(spark, lake, arrived, now, rebuild):
+    """Makes the snapshot, checks it, compares the touched subscriptions with the history, publishes it."""
     history = tables.read_history(spark, lake.history)
     old = tables.read_current(spark, lake.current, schema.STORED_CURRENT)
-    if arrived is None or old.isEmpty():
-        current = state.current_with_order(history, now)
-    else:
-        current = state.refresh_current(old, arrived, history, now)
-    current = current.select(*schema.STORED_CURRENT.fieldNames()).persist()
-    try:
-        checks = quality.check_current(current)
-        if reconcile_all:
-            checks = checks.unionByName(reconcile.check_current_vs_history(current, history))
-        results = quality.raise_if_failed(checks)
-        tables.overwrite_current(current, lake.current)
-    finally:
-        current.unpersist()
+    columns = [*state.STATE_COLUMNS, *state.TIES]
+    with staged(arrived.select(*columns), "arrived") as arrived:
+        if rebuild or old.isEmpty():
+            current = state.current_with_order(history, now)
+        else:
+            current = state.refresh_current(old, arrived, history, now)
+        folder = tables.stage_current(
+            current.select(*schema.STORED_CURRENT.fieldNames()), lake.current
+        )
+        made = spark.read.schema(schema.STORED_CURRENT).parquet(f"{lake.current}/{folder}")
+        touched = arrived.select("subscription_id").union(state.withdrawn(old, arrived)).distinct()
+        try:
+            results = _judge(
+                spark, lake, SILVER, now,
+                quality.check_current(made).unionByName(
+                    reconcile.check_current_vs_history(
+                        made.join(touched, "subscription_id", "left_semi"),
+                        history.join(touched, "subscription_id", "left_semi"),
+                    )
+                ),
+            )
+        except ValueError:
+            files.delete(spark, f"{lake.current}/{folder}")
+            raise
+        tables.publish_current(spark, lake.current, folder)
     return results
 
 
-def update_gold(spark: SparkSession, lake: Lake, now: datetime | None = None) -> dict | None:
-    """Renews the KPI rows from the earliest changed date on.
+def update_gold(spark: SparkSession, lake: Lake, now) -> dict | None:
+    """Renews the KPI rows from the earliest date on that silver has changed, or begun to, since gold last ran.
 
-    The start is the earlier of two dates: the first event date among history rows newer than the
-    gold mark, and the first date the silver job has touched since gold last ran. The latter also
-    covers dates that an event has left. Returns None when there is nothing to do.
+    Returns None when there is nothing to do.
     """
     utc(spark)
-    now = now or utc_now()
     mark = control.load_mark(spark, lake.control, GOLD)
-    # read before the history: a commit seen here is surely contained there
+    # read before the history: a change seen here is surely contained there, or announced again
     silver = control.earliest_change(
-        spark, lake.control, SILVER, mark["upstream_committed_at"] if mark else None
-    )
-    history = tables.read_history(spark, lake.history)
-    news = (
-        incremental.newer_than(history, mark["last_processed_ingested_at"] if mark else None)
-        .agg(F.to_date(F.min("event_time")).alias("start"), F.max("ingested_at").alias("mark"))
-        .first()
+        spark, lake.control, SILVER, mark["upstream_sequence"] if mark else None
     )
-    starts = [d for d in (news["start"], silver["affected_start"]) if d is not None]
-    if not starts:
+    start = silver["affected_start"]
+    if start is None:
         return None
-    start = min(starts)
-    kpis = kpi_daily(history, now, start).persist()
-    try:
+    history = tables.read_history(spark, lake.history)
+    with staged(kpi_daily(history, now, start), "kpis") as kpis:
         dates = _dates(kpis.select("date"))
-        if not dates:
-            return None
-        current = tables.read_current(spark, lake.current)
-        checks = quality.raise_if_failed(
-            quality.check_kpis(kpis).unionByName(reconcile.check_kpi_vs_current(kpis, current))
-        )
-        tables.overwrite_kpis(kpis, lake.kpi)
-    finally:
-        kpis.unpersist()
-    written = {d.isoformat() for d in dates}
+        checks = []
+        if dates:
+            current = tables.read_current(spark, lake.current)
+            checks = _judge(
+                spark, lake, GOLD, now,
+                quality.check_kpis(kpis).unionByName(reconcile.check_kpi_vs_current(kpis, current)),
+            )
+            tables.overwrite_kpis(kpis, lake.kpi)
+    made = {d.isoformat() for d in dates}
     stored = files.partition_dates(spark, lake.kpi)
-    tables.drop_dates(
-        spark, lake.kpi, [d for d in stored if d >= start.isoformat() and d not in written]
-    )
-    new_mark = news["mark"] or (mark["last_processed_ingested_at"] if mark else None)
+    tables.drop_dates(spark, lake.kpi, [d for d in stored if d >= start.isoformat() and d not in made])
     control.save_mark(
-        spark, lake.control, GOLD, new_mark, committed_at=now, affected_start=start,
-        upstream_committed_at=silver["committed_at"],
-    )
-    return {"mark": new_mark, "dates": dates, "checks": checks}
+        spark, lake.control, GOLD, silver["mark"], committed_at=now, affected_start=start,
+        upstream_sequence=silver["sequence"],
+    )
+    return {"mark": silver["mark"], "dates": dates, "checks": checks}
+
+
+def reconcile_all(spark: SparkSession, lake: Lake, now) -> list:
+    """Compares the whole snapshot with the whole history, and looks for event ids that occur twice."""
+    utc(spark)
+    history, current = tables.read_history(spark, lake.history), tables.read_current(spark, lake.current)
+    checks = quality.check_history(history).unionByName(quality.check_current(current))
+    return _judge(
+        spark, lake, "reconcile", now,
+        checks.unionByName(reconcile.check_current_vs_history(current, history)),
+    )
+
+
+def _judge(spark, lake, job, now, checks):
+    """Runs checks and keeps their rows, also of those that fail; raises if any did."""
+    results = checks.select(*schema.CHECK.fieldNames()).collect()
+    tables.append_checks(spark, results, lake.checks, job, now)
+    return quality.judged(results)
 
 
 def _dates(df):

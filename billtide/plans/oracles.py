@@ -54,8 +54,11 @@ CTES = {
     "numbered_bronze": """
     SELECT * FROM first_deliveries
     UNION ALL
-    SELECT * REPLACE ('mobile' AS source, ingested_at + INTERVAL 1 DAY AS ingested_at)
-    FROM first_deliveries WHERE n % 20 = 0""",
+    SELECT d.* REPLACE ('mobile' AS source, ingested_at + INTERVAL 1 DAY AS ingested_at,
+        CASE n % 60 WHEN 0 THEN event_time - INTERVAL 2 DAY
+                    WHEN 20 THEN event_time + INTERVAL 20 HOUR ELSE event_time END AS event_time,
+        printf('sub_%05d', e.user_id + CASE WHEN n % 100 = 40 THEN 1 ELSE 0 END) AS subscription_id)
+    FROM first_deliveries d JOIN events e ON e.event_id = n WHERE n % 20 = 0""",
     "bronze": "SELECT * EXCLUDE (n) FROM numbered_bronze",
     "history": """
     SELECT * EXCLUDE (k) FROM (SELECT *, row_number() OVER (
@@ -108,6 +111,7 @@ CTES = {
     "dirty": f"""
     SELECT event_id,
         CASE WHEN n % 127 = 0 THEN 'not-a-time'
+             WHEN n % 149 = 0 THEN '12:30' WHEN n % 151 = 0 THEN 'T12:30'
              WHEN n % 103 = 0 THEN strftime(ingested_at + INTERVAL 1 HOUR, {ISO})
              ELSE strftime(event_time, {ISO}) END AS event_time,
         event_type,
@@ -116,7 +120,7 @@ CTES = {
         subscription_id,
         CASE WHEN n % 131 = 0 THEN 'gold_monthly' ELSE plan_id END AS plan_id,
         billing_cycle,
-        CASE WHEN n % 139 = 0 THEN 'abc' WHEN n % 137 = 0 THEN '-9.99'
+        CASE WHEN n % 139 = 0 THEN 'abc' WHEN n % 157 = 0 THEN 'NaN' WHEN n % 137 = 0 THEN '-9.99'
              WHEN n % 101 = 0 THEN '1.00' ELSE CAST(price AS VARCHAR) END AS price,
         CASE WHEN n % 109 = 0 THEN 'EUR' ELSE currency END AS currency,
         CASE WHEN n % 97 = 0 THEN CASE WHEN status = 'active' THEN 'cancelled' ELSE 'active' END
@@ -124,7 +128,8 @@ CTES = {
         source, strftime(ingested_at, {ISO}) AS ingested_at
     FROM numbered_bronze""",
     "dirty_parsed": """
-    SELECT * REPLACE (try_cast(replace(event_time, 'Z', '') AS TIMESTAMP) AS event_time,
+    SELECT * REPLACE (CASE WHEN event_time LIKE '____-__-__%'
+            THEN try_cast(replace(event_time, 'Z', '') AS TIMESTAMP) END AS event_time,
         try_cast(replace(ingested_at, 'Z', '') AS TIMESTAMP) AS ingested_at,
         try_cast(price AS DECIMAL(10,2)) AS price)
     FROM dirty""",
@@ -216,15 +221,22 @@ def unique(layer, dataset, table, column, name):
 
 
 def numeric(layer, dataset, table, column):
-    bad = f"{column} IS NOT NULL AND try_cast({column} AS DOUBLE) IS NULL"
+    bad = f"{column} IS NOT NULL AND {as_number(column)} IS NULL"
     return check(
         layer, dataset, f"{column}_non_negative",
-        f"{count(table, bad)} + {count(table, f'try_cast({column} AS DOUBLE) < 0')}",
+        f"{count(table, bad)} + {count(table, f'{as_number(column)} < 0')}",
     )
 
 
 def as_time(column):
-    return f"try_cast(replace({column}, 'Z', '') AS TIMESTAMP)"
+    """Only what begins with a date; engines differ in what else they take for a time."""
+    text = f"replace({column}, 'Z', '')"
+    return f"CASE WHEN {column} LIKE '____-__-__%' THEN try_cast({text} AS TIMESTAMP) END"
+
+
+def as_number(column):
+    number = f"try_cast({column} AS DOUBLE)"
+    return f"CASE WHEN isfinite({number}) THEN {number} END"
 
 
 def event_checks(table):
@@ -582,8 +594,8 @@ ORACLES = {
     "dq_non_negative": with_tables(
         ["dirty"],
         f"""SELECT 'price' AS column_name,
-        {count('dirty', 'price IS NOT NULL AND try_cast(price AS DOUBLE) IS NULL')} AS not_numeric,
-        {count('dirty', 'try_cast(price AS DOUBLE) < 0')} AS negative""",
+        {count('dirty', f"price IS NOT NULL AND {as_number('price')} IS NULL")} AS not_numeric,
+        {count('dirty', f"{as_number('price')} < 0")} AS negative""",
     ),
     "dq_unknown_plans": with_tables(
         ["dirty", "catalog"],
@@ -639,6 +651,7 @@ ORACLES = {
             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM history)""",
     ),
     "jobs_kpi_daily": with_tables(["kpi"], f"SELECT {KPI_SHOWN}, {day('date', 'dt')} FROM kpi"),
+    "jobs_replay": with_tables(["kpi"], f"SELECT {KPI_SHOWN}, {day('date', 'dt')} FROM kpi"),
     "jobs_current_state": ALL_CURRENT,
     "stream_history": ALL_HISTORY,
 }

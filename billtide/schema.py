@@ -144,13 +144,26 @@ KPI = T.StructType(
 CONTROL = T.StructType(
     [
         T.StructField("pipeline", T.StringType()),
+        T.StructField("sequence", T.LongType()),
+        T.StructField("kind", T.StringType()),
         T.StructField("last_processed_ingested_at", T.TimestampType()),
         T.StructField("affected_start", T.DateType()),
-        T.StructField("upstream_committed_at", T.TimestampType()),
+        T.StructField("upstream_sequence", T.LongType()),
         T.StructField("committed_at", T.TimestampType()),
     ]
 )
 
+CHECK = T.StructType(
+    [
+        T.StructField("layer", T.StringType()),
+        T.StructField("dataset", T.StringType()),
+        T.StructField("check_name", T.StringType()),
+        T.StructField("passed", T.BooleanType()),
+        T.StructField("violation_count", T.LongType()),
+        T.StructField("details", T.MapType(T.StringType(), T.StringType())),
+    ]
+)
+
 
 def plan_catalog(spark: SparkSession) -> DataFrame:
     """The plan catalog as a table of three rows: safe to broadcast at any data size."""

@@ -2,9 +2,12 @@
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from billtide.sources import files
+
 
 def utc(spark: SparkSession) -> SparkSession:
     """Pin the session to UTC: event dates and text times depend on it."""
@@ -49,3 +52,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = fresh_dir(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def staged(df: DataFrame, name: str):
+    """``df`` written below the shared folder for as long as the block lasts."""
+    path = fresh_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    try:
+        yield df.sparkSession.read.schema(df.schema).parquet(path)
+    finally:
+        files.delete(df.sparkSession, path)

@@ -2,7 +2,8 @@
 
 ``n`` is the numeric event id. Every row of the table becomes an event; one in twenty is delivered a
 second time, a day later and from another source, as a message queue would after a lost
-acknowledgement.
+acknowledgement. Of these second deliveries some are corrections: the event happened two days earlier, or
+twenty hours later, or to another subscription.
 """
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +20,10 @@ KIND = """CASE event_type
     WHEN 'view' THEN 'subscription_downgraded'
     WHEN 'error' THEN if(n % 2 = 0, 'payment_failed', 'subscription_cancelled') END"""
 LATEST_ARRIVAL_MINUTES = 4320
+# fixed values: what a second delivery corrects
+CORRECTED_TIME = """CAST(ts AS TIMESTAMP) + CASE WHEN again AND n % 60 = 0 THEN INTERVAL '-2' DAY
+    WHEN again AND n % 60 = 20 THEN INTERVAL '20' HOUR ELSE INTERVAL '0' HOUR END"""
+CORRECTED_SUBSCRIPTION = "user_id + if(again AND n % 100 = 40, 1, 0)"
 
 
 def subscription_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,11 +42,11 @@ def subscription_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         .selectExpr(
             f"{padded('evt_', 'n', 9)} AS event_id",
-            "CAST(ts AS TIMESTAMP) AS event_time",
+            f"{CORRECTED_TIME} AS event_time",
             "kind AS event_type",
             f"'{schema.EVENT_SCHEMA_VERSION}' AS schema_version",
             f"{padded('user_', 'user_id', 5)} AS user_id",
-            f"{padded('sub_', 'user_id', 5)} AS subscription_id",
+            f"{padded('sub_', CORRECTED_SUBSCRIPTION, 5)} AS subscription_id",
             f"array({plans})[CAST(n % 3 AS INT)] AS plan_id",
             "'monthly' AS billing_cycle",
             f"array({prices})[CAST(n % 3 AS INT)] AS price",
@@ -58,12 +63,13 @@ def subscription_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dirty_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same events as text, with a share of bad values in most columns, for the checks."""
     changed = {
-        "event_time": "CASE WHEN n % 127 = 0 THEN 'not-a-time' WHEN n % 103 = 0 THEN "
+        "event_time": "CASE WHEN n % 127 = 0 THEN 'not-a-time' WHEN n % 149 = 0 THEN '12:30' "
+        "WHEN n % 151 = 0 THEN 'T12:30' WHEN n % 103 = 0 THEN "
         f"{iso_text('ingested_at + INTERVAL 1 HOUR')} ELSE {iso_text('event_time')} END",
         "schema_version": "if(n % 113 = 0, '0.9', schema_version)",
         "user_id": "if(n % 107 = 0, NULL, user_id)",
         "plan_id": "if(n % 131 = 0, 'gold_monthly', plan_id)",
-        "price": "CASE WHEN n % 139 = 0 THEN 'abc' WHEN n % 137 = 0 THEN '-9.99' "
+        "price": "CASE WHEN n % 139 = 0 THEN 'abc' WHEN n % 157 = 0 THEN 'NaN' WHEN n % 137 = 0 THEN '-9.99' "
         "WHEN n % 101 = 0 THEN '1.00' ELSE CAST(price AS STRING) END",
         "currency": "if(n % 109 = 0, 'EUR', currency)",
         "status": "CASE WHEN n % 97 = 0 THEN if(status = 'active', 'cancelled', 'active') "

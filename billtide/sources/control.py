@@ -1,52 +1,66 @@
-"""The high-water mark of each pipeline, as an append-only table.
+"""What each pipeline has begun and committed, as an append-only table.
 
-Saving a mark appends a row; the mark in force is the row committed last. Nothing is read, changed
-and written back, so pipelines cannot lose each other's marks.
+Rows carry a number that grows with each row of the pipeline, whatever any clock says. The mark in force
+is that of the commit with the largest number. Nothing is read, changed and written back, so pipelines cannot
+lose each other's marks.
 """
 
-from datetime import datetime
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from billtide import schema
+from billtide.functions.times import moment
 from billtide.sources.tables import read_or_empty
 
+INTENT, COMMIT = "intent", "commit"
+
 
 def read_marks(spark: SparkSession, path: str) -> DataFrame:
     """The mark in force of every pipeline."""
-    commits = read_or_empty(spark, path, schema.CONTROL)
+    commits = read_or_empty(spark, path, schema.CONTROL).where(F.col("kind") == COMMIT)
     row = F.struct(*[c for c in schema.CONTROL.fieldNames() if c != "pipeline"])
-    order = F.struct("committed_at", "last_processed_ingested_at")
-    last = commits.groupBy("pipeline").agg(F.max_by(row, order).alias("last"))
+    last = commits.groupBy("pipeline").agg(F.max_by(row, "sequence").alias("last"))
     return last.select("pipeline", "last.*")
 
 
 def load_mark(spark: SparkSession, path: str, pipeline: str):
-    """The row in force of one pipeline, None before its first commit."""
-    return read_marks(spark, path).where(F.col("pipeline") == pipeline).first()
-
-
-def save_mark(
-    spark: SparkSession,
-    path: str,
-    pipeline: str,
-    last_processed_ingested_at: datetime,
-    committed_at: datetime,
-    affected_start=None,
-    upstream_committed_at: datetime | None = None,
-) -> None:
-    row = (
-        pipeline, last_processed_ingested_at, affected_start, upstream_committed_at, committed_at,
+    """The row in force of one pipeline with the mark in microseconds, None before its first commit."""
+    marks = read_marks(spark, path).where(F.col("pipeline") == pipeline)
+    return marks.withColumn("mark", F.unix_micros("last_processed_ingested_at")).first()
+
+
+def save_mark(spark: SparkSession, path: str, pipeline: str, mark, **more) -> None:
+    """Commits a mark; ``more`` as for ``_append``."""
+    _append(spark, path, pipeline, COMMIT, mark, **more)
+
+
+def save_intent(spark: SparkSession, path: str, pipeline: str, **more) -> None:
+    """Says what is about to change, before it changes: who reads the table later need not ask whether the
+    job came to its end."""
+    _append(spark, path, pipeline, INTENT, None, **more)
+
+
+def _append(spark, path, pipeline, kind, mark, committed_at, affected_start=None, upstream_sequence=None):
+    own = read_or_empty(spark, path, schema.CONTROL).where(F.col("pipeline") == pipeline)
+    sequence = (own.agg(F.max("sequence")).first()[0] or 0) + 1
+    values = {
+        "pipeline": F.lit(pipeline), "sequence": F.lit(sequence), "kind": F.lit(kind),
+        "last_processed_ingested_at": moment(mark), "affected_start": F.lit(affected_start),
+        "upstream_sequence": F.lit(upstream_sequence), "committed_at": moment(committed_at),
+    }
+    row = spark.range(1).select(
+        *[values[f.name].cast(f.dataType).alias(f.name) for f in schema.CONTROL]
     )
-    spark.createDataFrame([row], schema.CONTROL).coalesce(1).write.mode("append").parquet(path)
+    row.coalesce(1).write.mode("append").parquet(path)
 
 
-def earliest_change(spark: SparkSession, path: str, upstream: str, since):
-    """What ``upstream`` committed after ``since``: (earliest event date it touched, last commit)."""
-    commits = read_or_empty(spark, path, schema.CONTROL).where(F.col("pipeline") == upstream)
-    seen = F.col("committed_at") > F.lit(since) if since is not None else F.lit(True)
-    return commits.agg(
-        F.min(F.when(seen, F.col("affected_start"))).alias("affected_start"),
-        F.max("committed_at").alias("committed_at"),
-    ).first()
+def earliest_change(spark: SparkSession, path: str, upstream: str, since: int | None):
+    """What ``upstream`` began or committed after number ``since``: the earliest event date it touched, its
+    mark in microseconds and its last number."""
+    rows = read_or_empty(spark, path, schema.CONTROL).where(F.col("pipeline") == upstream)
+    return rows.agg(
+        F.min(F.when(F.col("sequence") > F.lit(since or 0), F.col("affected_start"))).alias("affected_start"),
+        F.unix_micros(F.max_by("last_processed_ingested_at", F.when(F.col("kind") == COMMIT, F.col("sequence"))))
+        .alias("mark"),
+        F.max("sequence").alias("sequence"),
+    ).first()

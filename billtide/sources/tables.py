@@ -1,7 +1,8 @@
 """Readers and writers of the stored tables.
 
-Layouts: bronze is line-delimited JSON by ingest date, history is Parquet by event date, the current
-snapshot is a Parquet folder per version, KPIs are Parquet by date. Any Hadoop path works.
+Layouts: bronze is line-delimited JSON by ingest date, history is Parquet by event date and the current
+snapshot one Parquet folder, both published through pointers; KPIs are Parquet by date. Any Hadoop path
+works.
 """
 
 from dataclasses import dataclass
@@ -12,8 +13,8 @@ from pyspark.sql import types as T
 
 from billtide import schema
 from billtide.functions.ordering import EVENT_ORDER, sort_columns
-from billtide.functions.times import ISO_MICROS, event_date
-from billtide.sources import files
+from billtide.functions.times import ISO_MICROS, event_date, moment, parsed
+from billtide.sources import files, pointers
 
 PARTITION = T.StructField("dt", T.DateType())
 
@@ -40,6 +41,10 @@ class Lake:
     def kpi(self):
         return f"{self.root}/gold/kpi_daily"
 
+    @property
+    def checks(self):
+        return f"{self.root}/state/checks"
+
     @property
     def control(self):
         return f"{self.root}/state/control"
@@ -81,7 +86,12 @@ def read_landing(spark: SparkSession, path: str) -> DataFrame:
 def parse_landing(events: DataFrame) -> DataFrame:
     """Checked text to typed columns; a value that does not parse raises."""
     return events.selectExpr(
-        *[f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in schema.EVENT]
+        *[
+            f"{parsed(f.name)} AS {f.name}"
+            if isinstance(f.dataType, T.TimestampType)
+            else f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}"
+            for f in schema.EVENT
+        ]
     )
 
 
@@ -104,20 +114,51 @@ def append_bronze(events: DataFrame, path: str) -> None:
 
 
 def read_history(spark: SparkSession, path: str) -> DataFrame:
-    return read_or_empty(spark, path, T.StructType([*schema.EVENT, PARTITION]))
+    """The rows in force, with ``dt``; a filter on ``dt`` opens no other date's files."""
+    return _published(spark, path, pointers.in_force(spark, path)).drop("publish")
+
+
+def _published(spark, path, in_force):
+    columns = T.StructType([*schema.EVENT, PARTITION])
+    if not in_force:
+        return spark.createDataFrame([], columns)
+    # one path per calendar date
+    paths = [f"{path}/{folder}/{part}" for part, folder in sorted(in_force.items())]
+    return spark.read.schema(columns).option("basePath", path).parquet(*paths)
 
 
-def overwrite_history(history: DataFrame, path: str) -> None:
-    """Replaces the event dates that occur in ``history`` and leaves the others alone."""
+def stage_history(history: DataFrame, path: str) -> str:
+    """Writes event dates beside the table and returns their folder; nothing is in force yet."""
+    folder = pointers.new_folder()
     dated = history.select(*schema.EVENT_COLUMNS, event_date().alias("dt"))
     (
         dated.hint("rebalance", "dt")
         .sortWithinPartitions("dt", *sort_columns())
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("dt")
-        .parquet(path)
+        .write.partitionBy("dt")
+        .parquet(f"{path}/{folder}")
     )
+    return folder
+
+
+def staged_parts(spark: SparkSession, path: str, folder: str) -> dict[str, str]:
+    """The dates that a folder holds, as pointers to it."""
+    return {f"dt={d}": folder for d in files.partition_dates(spark, f"{path}/{folder}")}
+
+
+def read_staged(spark: SparkSession, path: str, folder: str) -> DataFrame:
+    return _published(spark, path, staged_parts(spark, path, folder)).drop("publish")
+
+
+def publish_history(spark: SparkSession, path: str, folder: str, touched=()) -> None:
+    """Puts a staged folder in force for its dates; touched dates that it lacks are emptied."""
+    gone = {f"dt={d}": None for d in touched}
+    pointers.publish(spark, path, gone | staged_parts(spark, path, folder))
+
+
+def overwrite_history(history: DataFrame, path: str, touched=()) -> None:
+    """Replaces the event dates that occur in ``history``, empties other ``touched`` ones and leaves the
+    rest alone."""
+    publish_history(history.sparkSession, path, stage_history(history, path), touched)
 
 
 def drop_dates(spark: SparkSession, path: str, dates) -> None:
@@ -131,7 +172,9 @@ def stored_order_violations(spark: SparkSession, path: str) -> DataFrame:
 
     The position in the file comes from the Parquet reader, which numbers the rows it reads.
     """
-    rows = spark.read.schema(T.StructType([*schema.EVENT, PARTITION])).parquet(path)
+    rows = _published(spark, path, pointers.in_force(spark, path))
+    if "publish" not in rows.columns:
+        return spark.sql("SELECT 0L AS out_of_place")
     order = F.struct(*EVENT_ORDER)
     # a file holds what one task wrote, so no window partition is larger than that
     in_file = Window.partitionBy("file").orderBy("position")
@@ -148,31 +191,45 @@ def stored_order_violations(spark: SparkSession, path: str) -> DataFrame:
 # ---- current snapshot ----
 
 
-def _versions(spark, path):
-    """Complete versions only: a folder without its success marker is still being written."""
-    done = files.matching(spark, path, "version=*/_SUCCESS")
-    return [p.rsplit("/", 1)[0] for p in done]
-
-
 def read_current(spark: SparkSession, path: str, columns=schema.CURRENT) -> DataFrame:
-    """The latest complete version, empty before the first."""
-    versions = _versions(spark, path)
-    if not versions:
+    """The snapshot in force, empty before the first."""
+    folder = pointers.in_force(spark, path).get("")
+    if folder is None:
         return spark.createDataFrame([], columns)
-    return spark.read.schema(columns).parquet(versions[-1])
+    return spark.read.schema(columns).parquet(f"{path}/{folder}")
+
+
+def stage_current(current: DataFrame, path: str) -> str:
+    """Writes a snapshot beside the one in force and returns its folder."""
+    folder = pointers.new_folder()
+    current.write.parquet(f"{path}/{folder}")
+    return folder
+
+
+def publish_current(spark: SparkSession, path: str, folder: str) -> None:
+    pointers.publish(spark, path, {"": folder})
 
 
 def overwrite_current(current: DataFrame, path: str) -> None:
-    """Writes a new version beside the old one, so that readers never see half a snapshot.
+    """A new snapshot in the place of the old one; readers never see half of it."""
+    publish_current(current.sparkSession, path, stage_current(current, path))
 
-    The version before stays for readers that have already opened it; older ones are removed.
-    """
-    spark = current.sparkSession
-    versions = _versions(spark, path)
-    last = int(versions[-1].rsplit("=", 1)[1]) if versions else 0
-    current.write.mode("overwrite").parquet(f"{path}/version={last + 1:09d}")
-    for old in versions[:-1]:
-        files.delete(spark, old)
+
+# ---- check results ----
+
+
+def append_checks(spark: SparkSession, results: list, path: str, job: str, now) -> None:
+    """Adds a run's check rows, some twenty, with the job and the time of the run."""
+    if not results:
+        return
+    rows = spark.createDataFrame([tuple(r) for r in results], schema.CHECK)
+    stamped = rows.select(F.lit(job).alias("job"), moment(now).alias("run_time"), "*")
+    stamped.coalesce(1).write.mode("append").parquet(path)
+
+
+def read_checks(spark: SparkSession, path: str) -> DataFrame:
+    stamp = [T.StructField("job", T.StringType()), T.StructField("run_time", T.TimestampType())]
+    return read_or_empty(spark, path, T.StructType([*stamp, *schema.CHECK]))
 
 
 # ---- KPIs ----

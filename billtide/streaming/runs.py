@@ -16,47 +16,41 @@ from billtide.sources.tables import PARTITION, Lake
 
 
 def stream_ingest(
-    spark: SparkSession, landing: str, lake: Lake, checkpoint: str, files_per_batch: int = 1000
+    spark: SparkSession, landing: str, lake: Lake, checkpoint: str, now, files_per_batch: int | None = None
 ) -> StreamingQuery:
-    """Landed files to bronze; a batch that fails its checks stops the stream before it is written."""
-    source = (
-        utc(spark)
-        .readStream.schema(schema.EVENT_TEXT)
-        .option("mode", "FAILFAST")
-        .option("maxFilesPerTrigger", files_per_batch)
-        .json(landing)
-    )
-    return _run(source, lambda batch, _: jobs.ingest(batch, lake) and None, checkpoint)
+    """Landed files to bronze; a batch that fails its checks stops the stream before it is written.
+
+    All files that are there are one batch; ``files_per_batch`` cuts it, for a first run on a long log.
+    """
+    source = _lines(utc(spark), schema.EVENT_TEXT, files_per_batch).json(landing)
+    return _run(source, lambda batch, _: jobs.ingest(batch, lake, now) and None, checkpoint)
 
 
 def stream_silver(
     spark: SparkSession,
     lake: Lake,
     checkpoint: str,
-    files_per_batch: int = 1000,
+    now,
+    files_per_batch: int | None = None,
     with_gold: bool = False,
-    **how,
 ) -> StreamingQuery:
-    """New bronze files to history and current snapshot, and on to the KPIs if asked.
-
-    ``how`` is passed on to ``jobs.apply_to_silver``.
-    """
-    source = (
-        utc(spark)
-        .readStream.schema(T.StructType([*schema.EVENT, PARTITION]))
-        .option("mode", "FAILFAST")
-        .option("maxFilesPerTrigger", files_per_batch)
-        .json(lake.bronze)
-    )
+    """New bronze files to history and current snapshot, and on to the KPIs if asked."""
+    columns = T.StructType([*schema.EVENT, PARTITION])
+    source = _lines(utc(spark), columns, files_per_batch).json(lake.bronze)
 
     def process(batch: DataFrame, _: int) -> None:
-        done = jobs.apply_to_silver(batch, lake, **how)
-        if done and with_gold:
-            jobs.update_gold(batch.sparkSession, lake)
+        jobs.apply_to_silver(batch, lake, now)
+        if with_gold:
+            jobs.update_gold(batch.sparkSession, lake, now)
 
     return _run(source, process, checkpoint)
 
 
+def _lines(spark, columns, files_per_batch):
+    reader = spark.readStream.schema(columns).option("mode", "FAILFAST")
+    return reader.option("maxFilesPerTrigger", files_per_batch) if files_per_batch else reader
+
+
 def _run(source, process, checkpoint):
     """Takes all files that are there now and stops; running it again takes only newer ones."""
     return (

@@ -8,7 +8,7 @@ from billtide import schema
 from billtide.operators import kpi, state
 from billtide.plans import jobs
 from billtide.plans.queries import as_text
-from billtide.sources import control, files, tables
+from billtide.sources import control, files, pointers, tables
 from billtide.streaming import runs
 from tests.conftest import at, event, kpi_rows
 
@@ -35,7 +35,7 @@ def step(spark, table, lake):
     def run(*rows, **how):
         clock[0] += timedelta(hours=1)
         if rows:
-            jobs.ingest(as_text(table(*rows)), lake)
+            jobs.ingest(as_text(table(*rows)), lake, clock[0])
         return (
             jobs.update_silver(spark, lake, clock[0], **how),
             jobs.update_gold(spark, lake, clock[0]),
@@ -90,7 +90,7 @@ def test_nothing_new_changes_nothing(spark, lake, step):
     assert step() == (None, None)
     assert control.read_marks(spark, lake.control).collect() == marks
     assert stored(spark, lake) == before
-    assert jobs.ingest(as_text(spark.createDataFrame([], schema.EVENT)), lake) == []
+    assert jobs.ingest(as_text(spark.createDataFrame([], schema.EVENT)), lake, NOW) == []
 
 
 def test_replay_changes_nothing(spark, table, lake, step):
@@ -121,37 +121,35 @@ def test_event_moved_to_a_later_date(spark, lake, step):
         ("03-04", 0, 0, 2, "19.98"), ("03-05", 0, 1, 1, "9.99"),
     ]
     # the emptied date is gone from both tables
-    assert "2024-03-03" not in files.partition_dates(spark, lake.history)
+    assert "dt=2024-03-03" not in pointers.in_force(spark, lake.history)
     assert "2024-03-03" not in files.partition_dates(spark, lake.kpi)
     consistent(spark, lake)
 
 
 def test_event_moved_to_an_earlier_date(spark, lake, step):
     step(*FIRST)
-    step(event("b", "s1", "cancelled", "03-02 23:00", "03-05 09:01"), refresh=True)
+    step(event("b", "s1", "cancelled", "03-02 23:00", "03-05 09:01"))
     assert stored(spark, lake)[2] == [("03-01", 1, 0, 1, "9.99"), ("03-02", 1, 1, 1, "9.99")]
     consistent(spark, lake)
 
 
 def test_event_moved_to_another_subscription(spark, lake, step):
     step(*FIRST)
-    step(event("b", "s3", "cancelled", "03-03 09:00", "03-05 09:01"), refresh=True)
+    step(event("b", "s3", "cancelled", "03-03 09:00", "03-05 09:01"))
     current = {r["subscription_id"]: r["current_status"] for r in stored(spark, lake)[1]}
     assert current == {"s1": "active", "s2": "active", "s3": "cancelled"}
     consistent(spark, lake)
 
 
 def test_refresh_equals_rebuild(spark, lake, step):
-    cheap = {"refresh": True, "find_moved": False, "reconcile_all": False}
-    step(*FIRST, **cheap)
-    step(*LATE, event("f", "s4", "created", "03-04 10:00", "03-04 10:01"), **cheap)
+    step(*FIRST)
+    step(*LATE, event("f", "s4", "created", "03-04 10:00", "03-04 10:01"))
     consistent(spark, lake)
     # of events of equal time the one ingested later wins, then the one with the larger id
     step(
         event("e", "s4", "payment_failed", "03-04 10:00", "03-04 10:02"),
         event("0", "s2", "cancelled", "03-02 10:00", "03-04 10:02"),
         event("1", "s2", "renewed", "03-02 10:00", "03-04 10:02"),
-        **cheap,
     )
     current = {r["subscription_id"]: r["current_status"] for r in stored(spark, lake)[1]}
     assert current == {"s1": "cancelled", "s2": "active", "s4": "past_due"}
@@ -161,7 +159,7 @@ def test_refresh_equals_rebuild(spark, lake, step):
 def test_refresh_ignores_an_older_delivery(spark, table, lake, step):
     step(*FIRST)
     stale = event("b", "s1", "renewed", "03-03 09:30", "03-03 09:00")
-    jobs.apply_to_silver(table(stale), lake, NOW + timedelta(days=1), refresh=True)
+    jobs.apply_to_silver(table(stale), lake, NOW + timedelta(days=1))
     jobs.update_gold(spark, lake, NOW + timedelta(days=1))
     consistent(spark, lake)
     assert stored(spark, lake)[1][0]["current_status"] == "cancelled"
@@ -171,7 +169,7 @@ def test_rebuild_from_bronze(spark, lake, step):
     step(*FIRST)
     step(*LATE)
     before = stored(spark, lake)
-    files.delete(spark, f"{lake.history}/dt=2024-03-02")
+    pointers.publish(spark, lake.history, {"dt=2024-03-02": None})
     step(from_start=True)
     assert stored(spark, lake) == before
 
@@ -179,7 +177,7 @@ def test_rebuild_from_bronze(spark, lake, step):
 def test_bad_events_are_not_ingested(spark, table, lake):
     bad = table(*FIRST, event("x", "s9", "created", "03-05 10:00", currency="EUR"))
     with pytest.raises(ValueError, match="currency_allowed_values"):
-        jobs.ingest(as_text(bad), lake)
+        jobs.ingest(as_text(bad), lake, NOW)
     assert not files.exists(spark, lake.bronze)
 
 
@@ -193,21 +191,78 @@ def test_bad_history_is_not_written(spark, table, lake, step):
     assert step() == (None, None)
 
 
-def test_a_job_that_died_before_its_mark_is_repeated(spark, lake, step, monkeypatch):
+MOVED = [
+    event("b", "s1", "cancelled", "03-05 09:00", "03-05 09:01"),  # from 03-03
+    event("c", "s9", "created", "03-02 10:00", "03-05 09:02"),  # from s2
+    *LATE,
+]
+#: What a run calls from one step to the next, and whether it is lost after the call or before it.
+STEPS = [
+    ("tables", "stage_history", True),
+    ("control", "save_intent", True),
+    ("tables", "publish_history", True),
+    ("tables", "publish_current", True),
+    ("control", "save_mark", False),
+    ("tables", "overwrite_kpis", True),
+]
+
+
+@pytest.mark.parametrize(("module", "name", "after"), STEPS)
+def test_a_job_that_died_is_repeated(spark, lake, step, monkeypatch, module, name, after):
+    """Lost before or after any step, with late and moved events, a repeated run ends in the same tables."""
     step(*FIRST)
+    owner = getattr(jobs, module)
+    call = getattr(owner, name)
 
-    def die(*_, **__):
+    def die(*args, **kwargs):
+        if after:
+            call(*args, **kwargs)
         raise RuntimeError("lost")
 
     with monkeypatch.context() as patched:
-        patched.setattr(jobs.control, "save_mark", die)
+        patched.setattr(owner, name, die)
         with pytest.raises(RuntimeError):
-            step(*LATE)
-    silver, gold = step()
-    assert [str(d) for d in silver["dates"]] == ["2024-03-02"] and gold
+            step(*MOVED)
+    step()
+    consistent(spark, lake)
+    history, current, kpis = stored(spark, lake)
+    assert [r["event_id"] for r in history] == ["a", "b", "c", "d"]
+    assert {r["subscription_id"]: r["current_status"] for r in current} == {"s1": "cancelled", "s9": "active"}
+    assert kpis == [
+        ("03-01", 1, 0, 1, "9.99"), ("03-02", 1, 0, 1, "9.99"), ("03-05", 0, 1, 1, "9.99"),
+    ]
+
+
+def test_no_order_is_taken_from_the_clock(spark, table, lake, step):
+    step(*FIRST)
+    for row in MOVED:
+        jobs.apply_to_silver(table(row), lake, NOW - timedelta(days=300))
+        jobs.update_gold(spark, lake, NOW - timedelta(days=400))
     consistent(spark, lake)
 
 
+def test_checks_are_kept_also_of_failed_runs(spark, table, lake, step):
+    step(*FIRST)
+    bad = table(event("x", "s9", "created", "03-05 10:00", currency="EUR"))
+    with pytest.raises(ValueError):
+        jobs.ingest(as_text(bad), lake, NOW)
+    failed = tables.read_checks(spark, lake.checks).where("NOT passed").collect()
+    assert [(r.job, r.check_name) for r in failed] == [("ingest", "currency_allowed_values")]
+    assert {r.job for r in tables.read_checks(spark, lake.checks).collect()} == {"ingest", jobs.SILVER, jobs.GOLD}
+    assert all(r.passed for r in jobs.reconcile_all(spark, lake, NOW))
+
+
+def test_a_time_of_day_is_no_time(spark, table, lake):
+    for wrong in ("12:30", "T12:30", "2024-03", "2024-03-05 10"):
+        events = as_text(table(*FIRST)).selectExpr(
+            f"'{wrong}' AS event_time", *[c for c in schema.EVENT_COLUMNS if c != "event_time"]
+        )
+        with pytest.raises(ValueError, match="datetime_parseable"):
+            jobs.ingest(events.select(schema.EVENT_COLUMNS), lake, NOW)
+        with pytest.raises(Exception, match="no time"):
+            tables.parse_landing(events).collect()
+
+
 def test_gold_learns_of_changes_below_its_mark(spark, table, lake, step):
     """A late file whose events carry an ingestion time below the mark, as a stream may deliver."""
     step(*FIRST)
@@ -229,10 +284,10 @@ def test_streams_equal_the_batch_jobs(spark, table, lake, step, tmp_path):
         as_text(table(*rows)).coalesce(1).write.mode("append").json(landing)
 
     def run():
-        ingest = runs.stream_ingest(spark, landing, streamed, str(tmp_path / "cp1"), 1)
+        ingest = runs.stream_ingest(spark, landing, streamed, str(tmp_path / "cp1"), NOW, 1)
         ingest.awaitTermination()
         silver = runs.stream_silver(
-            spark, streamed, str(tmp_path / "cp2"), files_per_batch=1, with_gold=True, refresh=True,
+            spark, streamed, str(tmp_path / "cp2"), NOW, files_per_batch=1, with_gold=True
         )
         silver.awaitTermination()
         return silver.lastProgress
@@ -243,16 +298,16 @@ def test_streams_equal_the_batch_jobs(spark, table, lake, step, tmp_path):
     land(FIRST[0], FIRST[2])
     run()
     assert stored(spark, streamed) == stored(spark, lake)
-    versions = files.matching(spark, streamed.current, "version=*")
+    versions = pointers.in_force(spark, streamed.current)
     # started again from the checkpoints it finds nothing to do
     run()
-    assert files.matching(spark, streamed.current, "version=*") == versions
+    assert pointers.in_force(spark, streamed.current) == versions
 
 
 def test_a_stream_stops_at_bad_events(spark, table, lake, tmp_path):
     landing = str(tmp_path / "landing")
     as_text(table(event("x", "s9", "created", "03-05 10:00", currency="EUR"))).write.json(landing)
-    query = runs.stream_ingest(spark, landing, lake, str(tmp_path / "cp"))
+    query = runs.stream_ingest(spark, landing, lake, str(tmp_path / "cp"), NOW)
     with pytest.raises(Exception, match="currency_allowed_values"):
         query.awaitTermination()
     assert not files.exists(spark, lake.bronze)

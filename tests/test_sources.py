@@ -1,6 +1,7 @@
 """Readers, writers and the control table."""
 
-from datetime import date, timedelta
+import time
+from datetime import date, datetime, timedelta, timezone
 
 import pytest
 
@@ -93,7 +94,8 @@ def test_history_files_are_stored_in_order(spark, table, tmp_path):
     shuffled = str(tmp_path / "shuffled")
     table(*reversed(rows)).selectExpr("*", "to_date(event_time) AS dt").coalesce(1).write.partitionBy(
         "dt"
-    ).parquet(shuffled)
+    ).parquet(f"{shuffled}/publish=x")
+    tables.publish_history(spark, shuffled, "publish=x")
     assert tables.stored_order_violations(spark, shuffled).first()[0] > 0
 
 
@@ -107,9 +109,9 @@ def test_current_versions(spark, tmp_path):
     for n in range(4):
         write(n)
         assert [r["subscription_id"] for r in tables.read_current(spark, path).collect()] == [f"s{n}"]
-    assert len(files.matching(spark, path, "version=*")) == 2
-    # an unfinished version is not seen
-    (tmp_path / "current" / "version=000000099").mkdir()
+    assert len(files.matching(spark, path, "publish=*")) == 2
+    # what is staged but not published is not seen
+    tables.stage_current(tables.read_current(spark, path).limit(0), path)
     assert tables.read_current(spark, path).first()["subscription_id"] == "s3"
 
 
@@ -123,9 +125,29 @@ def test_marks_are_kept_per_pipeline(spark, tmp_path):
     assert control.load_mark(spark, path, "b")["last_processed_ingested_at"] == first
     assert control.load_mark(spark, path, "c") is None
     assert control.read_marks(spark, path).count() == 2
-    assert control.earliest_change(spark, path, "a", first)["affected_start"] == date(2024, 2, 1)
-    late = control.earliest_change(spark, path, "a", second + timedelta(hours=1))
-    assert late["affected_start"] is None
+    assert control.earliest_change(spark, path, "a", 1)["affected_start"] == date(2024, 2, 1)
+    assert control.earliest_change(spark, path, "a", 2)["affected_start"] is None
+    # an earlier clock does not hide a commit, an intent is no mark but a change
+    control.save_mark(spark, path, "a", first, committed_at=first - timedelta(days=9))
+    control.save_intent(spark, path, "a", committed_at=first, affected_start=date(2024, 1, 1))
+    assert control.load_mark(spark, path, "a")["last_processed_ingested_at"] == first
+    found = control.earliest_change(spark, path, "a", 3)
+    assert (found["affected_start"], found["sequence"]) == (date(2024, 1, 1), 4)
+
+
+def test_marks_do_not_pass_through_local_time(spark, tmp_path, monkeypatch):
+    """Half past five UTC and half past six are both half past one in New York on the day clocks go back."""
+    path = str(tmp_path / "control")
+    monkeypatch.setenv("TZ", "America/New_York")
+    time.tzset()
+    try:
+        for hour in (5, 6):
+            micros = int(datetime(2024, 11, 3, hour, 30, tzinfo=timezone.utc).timestamp() * 1_000_000)
+            control.save_mark(spark, path, "a", micros, committed_at=micros)
+            assert control.load_mark(spark, path, "a")["mark"] == micros
+    finally:
+        monkeypatch.undo()
+        time.tzset()
 
 
 def test_literal_frames_round_trip(spark, tmp_path):
