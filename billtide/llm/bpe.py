@@ -5,6 +5,7 @@ from __future__ import annotations
 import heapq
 import json
 from functools import lru_cache
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +22,7 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 UNSETTLED = regex.compile(r"[^\u0000-\u052f\u2010-\u2027\u2030-\u205e\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fa5\uac00-\ud7a3]")
 NEVER = np.int64(1) << 40
 #: Words whose ids a task remembers.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 
 
 def byte_letters() -> dict[str, int]:
@@ -32,28 +33,39 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
+def read_file(path: str):
+    """The file, the bytes of each vocabulary entry by its name, and the special tokens."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    letters = byte_letters()
+    text = {name: bytes(letters[c] for c in name) for name in spec["model"]["vocab"]}
+    return spec["model"], text, {t["content"]: t["id"] for t in spec["added_tokens"]}
+
+
+def token_bytes(path: str) -> list[bytes]:
+    """The bytes of each id."""
+    model, text, special = read_file(path)
+    out = [b""] * (1 + max([*model["vocab"].values(), *special.values()]))
+    for name, i in model["vocab"].items():
+        out[i] = text[name]
+    for content, i in special.items():
+        out[i] = content.encode()
+    return out
+
+
 class Bpe:
     """A vocabulary file as lookup tables."""
 
     def __init__(self, path: str):
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
-        letters = byte_letters()
-        text = {name: bytes(letters[c] for c in name) for name in spec["model"]["vocab"]}
-        self.ids = {text[name]: i for name, i in spec["model"]["vocab"].items()}
-        self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        model, text, self.special = read_file(path)
+        self.ids = {text[name]: i for name, i in model["vocab"].items()}
         n = 1 + max([*self.ids.values(), *self.special.values()])
-        self.bytes = [b""] * n
-        for b, i in self.ids.items():
-            self.bytes[i] = b
-        for content, i in self.special.items():
-            self.bytes[i] = content.encode()
         self.longest = max(map(len, self.ids))
         self.merges: dict[tuple[int, int], tuple[int, int]] = {}
         #: Of each token: its two parts, and the rank of the merge that makes it (-1 for bytes).
         self.left, self.right = np.full(n, -1, np.int64), np.full(n, -1, np.int64)
         self.made = np.full(n, -1, np.int64)
-        for rank, pair in enumerate(spec["model"]["merges"]):
+        for rank, pair in enumerate(model["merges"]):
             a, b = (text[x] for x in (pair if isinstance(pair, list) else pair.split(" ")))
             i, j, whole = self.ids[a], self.ids[b], self.ids[a + b]
             self.merges[i, j] = rank, whole
@@ -163,17 +175,50 @@ class Bpe:
             return self.split.findall(text)
         return [text[a:b] for _, (a, b) in self.splitter.pre_tokenize_str(text)]
 
-    def pieces(self, text: str):
+    def pieces(self, text: str) -> list[str | int]:
         """Words and, where a special token's text stands, its id."""
+        if not any(content in text for content in self.special):
+            return self.words(text)
+        out: list[str | int] = []
         at = 0
-        for m in self.specials.finditer(text) if self.specials else ():
-            yield from self.words(text[at : m.start()])
-            yield self.special[m[0]]
+        for m in self.specials.finditer(text):
+            out += [*self.words(text[at : m.start()]), self.special[m[0]]]
             at = m.end()
-        yield from self.words(text[at:] if at else text)
+        return out + self.words(text[at:])
+
+
+class Numbered(dict):
+    """Words by the order in which they are asked for."""
+
+    def __missing__(self, word):
+        self[word] = n = len(self)
+        return n
 
-    def decode(self, ids: list[int]) -> str:
-        return b"".join(map(self.bytes.__getitem__, ids)).decode("utf-8", "replace")
+
+class Ragged:
+    """Rows of different lengths, one behind the other."""
+
+    def __init__(self, rows, kind):
+        self.flat = np.fromiter(chain.from_iterable(rows), kind)
+        self.sizes = np.fromiter(map(len, rows), np.int64, len(rows))
+        self.starts = np.cumsum(self.sizes) - self.sizes
+
+    def add(self, other: Ragged) -> None:
+        self.starts = np.concatenate([self.starts, other.starts + len(self.flat)])
+        self.sizes = np.concatenate([self.sizes, other.sizes])
+        self.flat = np.concatenate([self.flat, other.flat])
+
+    def take(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The chosen rows behind each other, and where each of them ends."""
+        sizes = self.sizes[numbers]
+        ends = np.cumsum(sizes)
+        at = np.repeat(self.starts[numbers] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
+        return self.flat[at], ends
+
+
+def bounds(ends: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Offsets of lists in what ``take`` returned; list i has the chosen rows rows[i] to rows[i + 1]."""
+    return np.concatenate([[0], ends])[rows]
 
 
 @lru_cache(maxsize=2)
@@ -181,6 +226,57 @@ def load(path: str) -> Bpe:
     return Bpe(path)
 
 
+def encoder(path: str):
+    """What turns a list of texts into an Arrow array of lists of ids; it remembers words between calls."""
+    bpe = load(path)
+    numbers, known = Numbered(), Ragged([], np.int32)
+
+    def work(texts: list[str | None]) -> pa.Array:
+        nonlocal numbers, known
+        if len(numbers) > REMEMBERED:
+            numbers, known = Numbered(), Ragged([], np.int32)
+        words: list[str | int] = []
+        rows = [0]
+        for text in texts:
+            if text:
+                words += bpe.pieces(text)
+            rows.append(len(words))
+        old = len(numbers)
+        chosen = np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))
+        new = list(islice(numbers, old, None))
+        made = iter(bpe.encode_words([w.encode() for w in new if isinstance(w, str)]))
+        known.add(Ragged([[w] if isinstance(w, int) else next(made) for w in new], np.int32))
+        ids, ends = known.take(chosen)
+        offsets = bounds(ends, np.array(rows)).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids, pa.int32()))
+
+    return work
+
+
+def decoder(path: str):
+    """What turns an Arrow array of lists of ids into an Arrow array of texts."""
+    tokens = Ragged(token_bytes(path), np.uint8)
+
+    def work(lists: pa.Array) -> pa.Array:
+        # a null list has no ids either
+        offsets, ids = lists.offsets.to_numpy(), lists.values.to_numpy()
+        octets, ends = tokens.take(ids[offsets[0] : offsets[-1]])
+        cuts = bounds(ends, offsets - offsets[0]).astype(np.int32)
+        text = pa.StringArray.from_buffers(len(lists), pa.py_buffer(cuts), pa.py_buffer(octets))
+        try:
+            text.validate(full=True)
+        except pa.ArrowInvalid:
+            raw = octets.tobytes()
+            text = pa.array([raw[a:b].decode("utf-8", "replace") for a, b in zip(cuts, cuts[1:])])
+        return text
+
+    return work
+
+
+IDS = ("ids", "array<int>", pa.list_(pa.int32()))
+DECODED = ("decoded", "string", pa.string())
+
+
 def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     """``docs`` with ``ids``, each whole text's token ids by the vocabulary file at ``path``.
 
@@ -190,29 +286,10 @@ def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     """
 
     def start():
-        bpe, known = load(path), {}
-
-        def work(texts):
-            nonlocal known
-            split = [list(bpe.pieces(t)) if t else [] for t in texts]
-            if len(known) > REMEMBERED:
-                known = {}
-            new = {w for words in split for w in words}
-            new = [w for w in new if w not in known]
-            words = [w for w in new if isinstance(w, str)]
-            known.update((w, [w]) for w in new if isinstance(w, int))
-            known.update(zip(words, bpe.encode_words([w.encode() for w in words])))
-            out = []
-            for row in split:
-                ids: list[int] = []
-                for w in row:
-                    ids += known[w]
-                out.append(ids)
-            return [out]
+        work = encoder(path)
+        return lambda texts: [work(texts)]
 
-        return work
-
-    return add_columns(docs, start, [("ids", "array<int>", pa.list_(pa.int32()))], text)
+    return add_columns(docs, start, [IDS], text)
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids") -> DataFrame:
@@ -223,7 +300,22 @@ def decode(df: DataFrame, path: str, ids: str = "ids") -> DataFrame:
     """
 
     def start():
-        bpe = load(path)
-        return lambda rows: [[bpe.decode(r or []) for r in rows]]
+        work = decoder(path)
+        return lambda lists: [work(lists)]
+
+    return add_columns(df, start, [DECODED], ids, as_arrow=True)
+
+
+def round_trip(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
+    """``docs`` with ``ids`` and ``decoded``, by ``encode`` and then ``decode``, in one Python worker."""
+
+    def start():
+        to_ids, to_text = encoder(path), decoder(path)
+
+        def work(texts):
+            ids = to_ids(texts)
+            return [ids, to_text(ids)]
+
+        return work
 
-    return add_columns(df, start, [("decoded", "string", pa.string())], ids)
+    return add_columns(docs, start, [IDS, DECODED], text)

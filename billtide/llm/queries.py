@@ -85,8 +85,7 @@ def op3_pii(spark, sf_dir):
 
 def op6_bpe(spark, sf_dir):
     path = public_tokenizers.path(TOKENIZER)
-    encoded = bpe.encode(read(spark, sf_dir, "documents", "doc_id", "text"), path).drop("text")
-    return bpe.decode(encoded, path).select(
+    return bpe.round_trip(read(spark, sf_dir, "documents", "doc_id", "text"), path).select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 #: Bytes of rows after which an Arrow batch ends; texts may be long.
-BATCH_BYTES = 4 * 2**20
+BATCH_BYTES = 2 * 2**20
 
 
 def small_batches(spark: SparkSession) -> SparkSession:
@@ -38,11 +38,13 @@ def add_columns(
     start: Callable[[], Callable[..., list[list]]],
     fields: list[tuple[str, str, pa.DataType]],
     *inputs: str,
+    as_arrow: bool = False,
 ) -> DataFrame:
     """``df`` and one more column for each of ``fields`` (name, Spark type, Arrow type).
 
     ``start`` is called once per task and returns what turns lists of the ``inputs`` columns into a
-    list of values per field. Input columns that have a field's name, in any case, are replaced.
+    list of values per field; with ``as_arrow`` it gets Arrow arrays. It may return Arrow arrays. Columns that
+    have a field's name, in any case, are replaced.
     """
     taken = [n for n in inputs if n.lower() in {f[0].lower() for f in fields}]
     if taken:
@@ -59,8 +61,12 @@ def add_columns(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = start()
         for batch in batches:
-            made = work(*[batch.column(i).to_pylist() for i in at])
-            arrays = [pa.array(v, kind) for v, (_, _, kind) in zip(made, fields, strict=True)]
+            columns = [batch.column(i) for i in at]
+            made = work(*(columns if as_arrow else [c.to_pylist() for c in columns]))
+            arrays = [
+                v if isinstance(v, pa.Array) else pa.array(v, kind)
+                for v, (_, _, kind) in zip(made, fields, strict=True)
+            ]
             yield pa.RecordBatch.from_arrays([*batch.columns, *arrays], schema.names)
 
     return df.mapInArrow(run, schema)

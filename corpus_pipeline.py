@@ -68,9 +68,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each text, their number, and whether decoding gives the text back."""
     small_batches(spark)
     path = public_tokenizers.path(TOKENIZER)
-    encoded = bpe.encode(docs.select("doc_id", "source", "text"), path)
-    decoded = bpe.decode(encoded, path)
-    return decoded.select(
+    return bpe.round_trip(docs.select("doc_id", "source", "text"), path).select(
         "doc_id", "source", "ids", F.size("ids").cast("bigint").alias("n_tokens"),
         (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("exact"),
     )
