@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from operator import and_
+from bisect import bisect_right
+from operator import and_, itemgetter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -177,7 +178,8 @@ def find(text: str) -> list[tuple[str, int, int, bool]]:
     """(kind, start, end, base) in code points of the source, by kind as listed and then by start.
 
     All base spans, and those that show only in the normalised text: they hold a rewritten or dropped character
-    and overlap no base span of their kind.
+    and are not equal to or inside a base span of their kind. Where a base pattern met only the plain head or
+    tail of a disguised identifier, both its span and the whole one are listed.
     """
     spans = [(*s, True) for s in detect(text)]
     seen = normalised(text)
@@ -186,7 +188,10 @@ def find(text: str) -> list[tuple[str, int, int, bool]]:
         base = {k: [(s, e) for kind, s, e, _ in spans if kind == k] for k in KINDS}
         for kind, s, e in detect(plain):
             start, end = starts[s], ends[e - 1]
-            if (any(new[s:e]) or end - start != e - s) and not any(a < end and start < b for a, b in base[kind]):
+            # spans of one kind are in order and apart, so only the last one that begins by then can hold this one
+            i = bisect_right(base[kind], start, key=itemgetter(0)) - 1
+            inside = i >= 0 and end <= base[kind][i][1]
+            if (any(new[s:e]) or end - start != e - s) and not inside:
                 spans.append((kind, start, end, False))
         spans.sort(key=lambda x: (KINDS.index(x[0]), x[1]))
     return spans

@@ -90,6 +90,23 @@ def test_disguises(text, kind, found):
     assert pii.masked(text, spans).count("<") == 1
 
 
+@pytest.mark.parametrize(
+    ("whole", "base"),
+    [
+        ("аnna@example.com", "nna@example.com"),
+        ("jo\u200bhn@example.com", "hn@example.com"),
+        ("john dot doe@example.com", "doe@example.com"),
+        ("john@example.cоm", "john@example.c"),
+        ("+1 415 555 01 two three", "+1 415 555 01"),
+    ],
+)
+def test_disguises_that_a_base_span_overlaps(whole, base):
+    text = f"so: {whole}; then"
+    spans = pii.find(text)
+    assert {(text[s:e], is_base) for _, s, e, is_base in spans} == {(whole, False), (base, True)}
+    assert pii.masked(text, spans) == f"so: <{spans[0][0].upper()}>; then"
+
+
 def test_clean_prose_has_no_added_spans():
     text = "Look at the dog. He arrived at noon on time. One two three, un dos tres, at example. Привет мир."
     assert pii.find(text) == []
