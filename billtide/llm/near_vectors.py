@@ -20,12 +20,13 @@ BLOCKS = 4
 CELL_RADII = 2.5
 #: Vectors of one label that a cell should hold; the number of gridded components follows from it.
 CELL_ROWS = 2_000
-#: Vectors of one cell that are compared as one task; larger cells are cut into tiles of this size.
+#: Vectors of one cell that are compared as one task, guests included; larger cells are cut into tiles of this size.
 TILE_ROWS = 4_000
 SLACK = 1e-9
 
 VECTOR = "rep bigint, n bigint, label int, embedding array<float>"
 CELL = "dim int, block int, cell string"
+UNIT = ["label", "dim", "block", "cell", "low", "high"]
 
 
 def blocks_of(dim: int) -> list[tuple[int, int]]:
@@ -80,7 +81,7 @@ def pairs_in(points, raw, home, tiles, unit, block, threshold):
     """Index pairs (home, other) of one cell whose cosine reaches the threshold.
 
     A pair is taken in the first block in which it is within the budget, and nowhere else. ``unit`` names the
-    two tiles whose vectors are paired here.
+    two tiles, of homes or of homes and of guests, whose vectors are paired here.
     """
     dim = points.shape[1]
     cuts = blocks_of(dim)
@@ -115,6 +116,8 @@ def pairs_in(points, raw, home, tiles, unit, block, threshold):
 def found_in(frame: pd.DataFrame, threshold: float) -> pd.DataFrame:
     """For each vector of a cell that has links here: how many vectors it is linked with, counting copies,
     and the smallest vector it hangs together with in this cell."""
+    if not frame["home"].any():
+        return pd.DataFrame({"rep": [], "linked": [], "root": []}, dtype=np.int64)
     frame = frame.sort_values("rep", kind="stable").reset_index(drop=True)
     raw = np.array(frame["embedding"].tolist(), np.float64)
     points = turned(raw)
@@ -146,6 +149,52 @@ USABLE = (
 )
 
 
+def in_units(points: DataFrame, threshold: float, grid: int) -> DataFrame:
+    """The vectors of ``points`` in each cell they must meet, once for each unit of work they take part in.
+
+    A cell of up to TILE_ROWS vectors is one unit. The homes and the guests of a larger one are each dealt into
+    tiles, and its units are the pairs of tiles with a home tile among them, so a unit has about two tiles of rows
+    at most, whatever the crowd. A larger cell without a home has no units. Smaller ones aren't sought out, as that
+    takes another shuffle of all vectors; ``found_in`` returns from them at once.
+    """
+
+    def to_cells(frames, with_vectors):
+        for frame in frames:
+            frame = frame.assign(dim=frame["embedding"].map(len))
+            for dim, own in frame.groupby("dim"):
+                placed = cells(turned(np.array(own["embedding"].tolist(), np.float64)), threshold, grid)
+                for at, block, cell, home in placed:
+                    if not len(at):
+                        continue
+                    columns = ["rep", "n", "label", "embedding"] if with_vectors else ["label"]
+                    names = [",".join(map(str, c)) for c in cell.tolist()]
+                    out = own.iloc[at][columns].assign(dim=np.int32(dim), block=np.int32(block), cell=names)
+                    yield out.assign(home=home)
+
+    keys = ["label", "dim", "block", "cell"]
+    placed = points.mapInPandas(lambda f: to_cells(f, True), f"{VECTOR}, {CELL}, home boolean")
+    counted = points.mapInPandas(lambda f: to_cells(f, False), f"label int, {CELL}, home boolean")
+    tiles = lambda n: F.ceil(F.count_if(n) / TILE_ROWS).cast("int")
+    hot = counted.groupBy(*keys).agg(
+        F.count("*").alias("rows"), tiles(F.col("home")).alias("homes"), tiles(~F.col("home")).alias("guests")
+    )
+    # one row for more than TILE_ROWS rows of cells, so it can be broadcast, and no cell meets in one join task
+    hot = F.broadcast(hot.where(F.col("rows") > TILE_ROWS).drop("rows"))
+    tiled = placed.join(hot, keys, "left").withColumns(
+        {"homes": F.coalesce("homes", F.lit(1)), "guests": F.coalesce("guests", F.lit(0))}
+    )
+    # home tiles are numbered first, then those of guests; in a cell of one unit all rows are in tile 0
+    apart = ~F.col("home") & (F.col("guests") > 0)
+    dealt = lambda n: F.pmod(F.xxhash64("rep"), F.col(n)).cast("int")
+    tiled = tiled.where("homes > 0").withColumns({
+        "tile": F.when(apart, F.col("homes") + dealt("guests")).otherwise(dealt("homes")),
+        "other": F.explode(F.sequence(F.lit(0), F.col("homes") - 1 + F.when(apart, 0).otherwise(F.col("guests")))),
+    })
+    return tiled.withColumns({"low": F.least("tile", "other"), "high": F.greatest("tile", "other")}).drop(
+        "other", "homes", "guests"
+    )
+
+
 def near_vectors(vectors: DataFrame, threshold: float = 0.98) -> DataFrame:
     """``vec_id``, ``n_links``, ``component_id`` and ``kept`` for every row of ``vectors`` (vec_id, embedding,
     label).
@@ -173,30 +222,7 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.98) -> DataFrame:
     most = sizes.agg(F.max("count")).first()[0] or 0
     grid = max(1, min(8, math.ceil(math.log(max(1, most) / CELL_ROWS, 3))))
 
-    def to_cells(frames, with_vectors):
-        for frame in frames:
-            frame = frame.assign(dim=frame["embedding"].map(len))
-            for dim, own in frame.groupby("dim"):
-                placed = cells(turned(np.array(own["embedding"].tolist(), np.float64)), threshold, grid)
-                for at, block, cell, home in placed:
-                    if not len(at) or not (with_vectors or home):
-                        continue
-                    columns = ["rep", "n", "label", "embedding"] if with_vectors else ["label"]
-                    names = [",".join(map(str, c)) for c in cell.tolist()]
-                    out = own.iloc[at][columns].assign(dim=np.int32(dim), block=np.int32(block), cell=names)
-                    yield out.assign(home=home) if with_vectors else out
-
-    keys = ["label", "dim", "block", "cell"]
-    placed = points.mapInPandas(lambda f: to_cells(f, True), f"{VECTOR}, {CELL}, home boolean")
-    homes = points.mapInPandas(lambda f: to_cells(f, False), f"label int, {CELL}")
-    hot = homes.groupBy(*keys).count().where(F.col("count") > TILE_ROWS)
-    hot = hot.select(*keys, F.ceil(F.col("count") / TILE_ROWS).cast("int").alias("tiles"))
-    # a cell of t tiles is worked on as the t (t + 1) / 2 pairs of its tiles
-    tiled = placed.join(hot, keys, "left").withColumn("tiles", F.coalesce("tiles", F.lit(1)))
-    tiled = tiled.withColumn("tile", F.pmod(F.xxhash64("rep"), F.col("tiles")).cast("int"))
-    tiled = tiled.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-    tiled = tiled.withColumns({"low": F.least("tile", "other"), "high": F.greatest("tile", "other")})
-    found = tiled.drop("other", "tiles").groupBy(*keys, "low", "high").applyInPandas(
+    found = in_units(points, threshold, grid).groupBy(*UNIT).applyInPandas(
         lambda frame: found_in(frame, threshold), "rep bigint, linked bigint, root bigint"
     )
     found = written(found.groupBy("rep", "root").agg(F.sum("linked").alias("linked")), "vector-links")

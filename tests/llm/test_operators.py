@@ -329,6 +329,26 @@ def test_vectors_by_brute_force(spark, monkeypatch):
     assert (alone.n_links, alone.component_id, alone.kept) == (0, None, False)
 
 
+def test_crowd_at_the_edge_of_cells_stays_in_small_units(spark, monkeypatch):
+    r = np.random.default_rng(5)
+    middle = r.normal(size=8)
+    crowd = [middle + r.normal(size=8) * 1e-3 for _ in range(300)]
+    # some at the edge of what is near, in cells the crowd visits; all others are far
+    around = [middle + 0.2 * np.linalg.norm(middle) * x / np.linalg.norm(x) for x in r.normal(size=(40, 8))]
+    rows = [(i, [float(np.float32(x)) for x in v], 1) for i, v in enumerate([*crowd, *around])]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, label int")
+    monkeypatch.setattr(near_vectors, "TILE_ROWS", 20)
+    points = df.selectExpr("vec_id AS rep", "1L AS n", "label", "embedding")
+    units = near_vectors.in_units(points, 0.98, 2).groupBy(*near_vectors.UNIT)
+    units = units.agg(F.count("*").alias("n"), F.count_if("home").alias("homes")).where("n > 20").collect()
+    assert units and max(u.n for u in units) <= 80  # two tiles of 20 on average, dealt by a hash
+    assert min(u.homes for u in units) > 0
+    least, count = brute.near_vectors(rows)
+    monkeypatch.setattr(near_vectors, "CELL_ROWS", 40)
+    for got in near_vectors.near_vectors(df).collect():
+        assert (got.n_links, got.component_id) == (count.get(got.vec_id, 0), least[got.vec_id])
+
+
 # ---- mixing ----
 
 
