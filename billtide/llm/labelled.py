@@ -25,20 +25,30 @@ def sample(
     most_bytes: int = SAMPLE_BYTES,
 ) -> tuple[list[str], list[int]]:
     """Texts and labels of at most ``rows`` documents outside the held-out fold, in order of a hash of
-    their id, which is the same in every run; texts over ``most_bytes`` are not learned from.
+    their id, which is the same in every run.
 
-    Null labels and ids are left out. Half of the rows at most go to each label. What comes to the
-    driver is at most rows x most_bytes.
+    Null labels and ids, and documents without a text, are left out before anything is chosen. Half of the
+    rows at most go to each label: texts of up to ``most_bytes`` first, as the label is sure to speak of all that is
+    learned from; where there are too few, longer texts fill up with a passage at a place given by the hash. What
+    comes to the driver is at most rows x most_bytes.
     """
     known = labels.where(
         F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & (remainder("doc_id", folds) != held_out)
     ).select("doc_id", F.col(label).cast("int").alias("y"))
+    texts = docs.select("doc_id", "text").where(F.col("text").isNotNull())
+    too_long = F.octet_length("text") > most_bytes
+    usable = known.join(texts.select("doc_id", too_long.alias("too_long")), "doc_id")
+    usable = usable.groupBy("doc_id", "y").agg(F.min("too_long").alias("too_long"))
     order = [F.xxhash64("doc_id"), "doc_id", "y"]
-    chosen = known.where("y = 0").orderBy(*order).limit(rows // 2)
-    chosen = chosen.union(known.where("y = 1").orderBy(*order).limit(rows // 2))
-    short = docs.select("doc_id", "text").where(F.octet_length("text") <= most_bytes)
+    chosen = usable.where("y = 0").orderBy("too_long", *order).limit(rows // 2)
+    chosen = chosen.union(usable.where("y = 1").orderBy("too_long", *order).limit(rows // 2))
     # at most ``rows`` ids are broadcast
-    found = short.join(F.broadcast(chosen), "doc_id").orderBy(*order, "text").limit(rows).collect()
+    found = texts.join(F.broadcast(chosen), "doc_id").where(F.col("too_long") | ~too_long)
+    # a character has four bytes at most
+    size = most_bytes // 4
+    at = F.pmod(F.xxhash64("doc_id"), F.length("text") - size + 1).cast("int") + 1
+    found = found.withColumn("text", F.when(too_long, F.col("text").substr(at, F.lit(size))).otherwise(F.col("text")))
+    found = found.orderBy(*order, "text").limit(rows).collect()
     return [r.text for r in found], [r.y for r in found]
 
 

@@ -10,6 +10,7 @@ import public_tokenizers
 from billtide.llm import (
     bpe,
     components,
+    labelled,
     line_rules,
     mixing,
     near_vectors,
@@ -407,3 +408,18 @@ def test_passages_are_alike_in_any_batch():
         alone, _ = quality_model.measured([text])
         upto = starts[i + 1] if i + 1 < len(starts) else len(rows)
         assert np.allclose(rows[starts[i] : upto], alone)
+
+
+# ---- labelled samples ----
+
+
+def test_sample_is_filled_where_most_labelled_texts_are_long(spark):
+    texts = [(i, "é" * 500 if i % 20 > 1 else None if i == 0 else f"short {i}") for i in range(400)]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(800)], "doc_id bigint, bad int")
+    got, y = labelled.sample(docs, labels, "bad", 10, 0, rows=20, most_bytes=100)
+    assert len(got) == 20 and sum(y) == 10
+    assert all(t.startswith("short") for t in got)
+    got, y = labelled.sample(docs.where("length(text) > 100"), labels, "bad", 10, 0, rows=20, most_bytes=100)
+    assert len(got) == 20 and sum(y) == 10 and set(got) == {"é" * 25}
+    assert labelled.sample(docs.limit(0), labels, "bad", 10, 0) == ([], [])
