@@ -5,7 +5,8 @@ from __future__ import annotations
 import re
 import unicodedata
 from bisect import bisect_right
-from operator import and_, itemgetter
+from itertools import compress, count
+from operator import itemgetter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -60,19 +61,45 @@ TABLE = lookalike_table()
 LOOKS = frozenset(map(chr, TABLE))
 INVISIBLE = frozenset("\u200b\u200c\u200d\u2060\ufeff\u00ad")
 ONE = "(?:" + "|".join(sorted(DIGIT_WORDS, key=len, reverse=True)) + ")"
+DOT = r"(?:\s+dot\s+|\s*[\[({<]\s*(?:dot|punkt|punto|point)\s*[\])}>]\s*)"
+# ---- fixed values: top-level domains by which a plain name after a bare "at" counts as a mail domain ----
+TOP_LEVEL = (
+    "com org net edu gov mil int info biz name pro coop aero museum jobs mobi travel tel cat asia post app dev cloud "
+    "online site shop store tech xyz top club blog email live life news world space website media agency company group "
+    "ac ad ae af ag ai al am ao ar at au aw az ba bb bd be bf bg bh bi bj bm bn bo br bs bt bw by bz ca cc cd cf cg ch "
+    "ci ck cl cm cn co cr cu cv cy cz de dj dk dm do dz ec ee eg es et eu fi fj fm fo fr ga ge gg gh gi gl gm gn gr gt "
+    "gy hk hn hr ht hu id ie il im in io iq ir is it je jm jo jp ke kg kh kr kw ky kz la lb lc li lk lr ls lt lu lv ly "
+    "ma mc md me mg mk ml mm mn mo mr ms mt mu mv mw mx my mz na ne ng ni nl no np nz om pa pe pf pg ph pk pl pr ps pt "
+    "py qa re ro rs ru rw sa sb sc sd se sg sh si sk sl sm sn so sr st su sv sy sz tc td tg th tj tk tl tm tn to tr tt "
+    "tv tw tz ua ug uk us uy uz va vc ve vg vi vn vu ws ye za zm zw"
+).split()
+# ---- fixed values: words that stand before "at" and the name of a site, and are no one's mailbox ----
+BEFORE_SITES = (
+    "us me him her them it this that is are was were be more look looks looking find found available visit online here "
+    "out up live hosted read published posted located sold"
+).split()
+TOP = "(?-i:" + "|".join([*TOP_LEVEL, *map(str.upper, TOP_LEVEL)]) + ")"
+NO_SITE = "".join(rf"(?<!(?<![a-z0-9._%+-]){word})" for word in BEFORE_SITES)
 #: What the rewriting transducer consumes; the group's name says what it writes.
 REWRITES = re.compile(
     rf"(?P<none>[\u200b-\u200d\u2060\ufeff\u00ad]+)"
     rf"|(?P<at>\s*(?:[\[({{<]\s*(?:at|ät|arroba|arobase)\s*[\])}}>])\s*)"
     rf"|(?P<dot>\s*(?:[\[({{<]\s*(?:dot|punkt|punto|point)\s*[\])}}>])\s*)"
-    rf"|(?P<at_word>(?<=[a-z0-9_-])\s+at\s+(?=[a-z0-9-]+(?:\s+dot\s+[a-z0-9-]+)+))"
+    rf"|(?P<at_word>(?<=[a-z0-9_-])\s+at\s+(?=[a-z0-9-]+(?:{DOT}[a-z0-9-]+)+))"
+    rf"|(?P<at_name>(?<=[a-z0-9_-])(?=\s+at\s){NO_SITE}\s+at\s+(?!www\.)(?=(?:[a-z0-9-]+(?:\.|{DOT}))+{TOP}\b(?!-|\.[a-z0-9])))"
     rf"|(?P<dot_word>(?<=[a-z0-9_-])\s+dot\s+(?=[a-z0-9-]))"
     rf"|(?P<plus>\bplus\s+(?={ONE}\b|[0-9]))"
-    rf"|(?P<digits>\b{ONE}(?:[ \t-]+{ONE})+\b)",
+    rf"|(?P<digits>\b{ONE}(?:(?:[ \t-]+{ONE})+\b|(?=[ ().-]+[0-9]))|(?<=[0-9][ ().-]){ONE}\b)",
     re.IGNORECASE,
 )
 DIGIT_WORD = re.compile(ONE, re.IGNORECASE)
 IN_BRACKETS = re.compile(rb"[\[({<]\s*(?:at|\xc3[\xa4\x84]t|arroba|arobase|dot|punkt|punto|point)\s*[\])}>]", re.IGNORECASE)
+#: Begins with plain bytes, so it is fast; for lower case and single kinds of whitespace.
+AT_NAME = re.compile(rb" at +[a-z0-9-]+(?:\.|(?: +dot| *[\[({<]))")
+SPACES = {c: " " for c in range(0x3001) if chr(c).isspace()}
+WIDE_SPACES = frozenset(chr(c) for c in SPACES if c >= 128)
+#: Whitespace of ASCII as spaces.
+TO_SPACES = bytes(32 if c in SPACES and c < 128 else c for c in range(256))
 #: Bytes of ASCII that are no letters or digits become spaces.
 TO_WORDS = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 #: The words in UTF-8; lower() of bytes leaves letters beyond ASCII as they are.
@@ -81,14 +108,24 @@ DIGIT_BYTES = frozenset(w.encode() for word in DIGIT_WORDS for w in (word, re.su
 
 def may_rewrite(text: str) -> bool:
     """Whether REWRITES can match at all; cheap, and false for almost every text."""
-    raw = text.encode()
-    if IN_BRACKETS.search(raw) or not (text.isascii() or INVISIBLE.isdisjoint(text)):
+    if not text.isascii():
+        if not INVISIBLE.isdisjoint(text):
+            return True
+        if not WIDE_SPACES.isdisjoint(text):
+            text = text.translate(SPACES)
+    raw = text.encode().lower().translate(TO_SPACES)
+    if IN_BRACKETS.search(raw) or AT_NAME.search(raw):
         return True
-    flat = raw.lower().translate(TO_WORDS)
+    flat = raw.translate(TO_WORDS)
     if b" dot" in flat or b"plus " in flat:
         return True
-    is_digit = list(map(DIGIT_BYTES.__contains__, flat.split()))
-    return any(map(and_, is_digit, is_digit[1:]))
+    words = flat.split()
+    for i in compress(count(), map(DIGIT_BYTES.__contains__, words)):
+        # in any list of adjacent words one is the first, so looking ahead is enough for those
+        after = words[i + 1] if i + 1 < len(words) else b""
+        if after in DIGIT_BYTES or after[:1].isdigit() or i and words[i - 1][-1:].isdigit():
+            return True
+    return False
 
 
 # ---- detection ----
@@ -163,7 +200,7 @@ def normalised(text: str) -> tuple[str, list[int], list[int], list[bool]] | None
         if kind == "digits":
             for word in DIGIT_WORD.finditer(m[0]):
                 write(
-                    str(DIGIT_WORDS[word[0].lower()]), m.start() + word.start(), m.start() + word.end()
+                    str(DIGIT_WORDS[word[0].casefold()]), m.start() + word.start(), m.start() + word.end()
                 )
         elif kind != "none":
             write({"a": "@", "d": ".", "p": "+"}[kind[0]], *m.span())

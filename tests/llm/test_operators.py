@@ -108,6 +108,28 @@ def test_disguises_that_a_base_span_overlaps(whole, base):
     assert pii.masked(text, spans) == f"so: <{spans[0][0].upper()}>; then"
 
 
+@pytest.mark.parametrize(
+    "whole",
+    [
+        "john at example.com",
+        "john at example [dot] com",
+        "john at mail.example dot co.uk",
+        "john [\u2009at] example.com",
+        "JOHN\tat\u2009EXAMPLE.ORG",
+        "+1 415 55 five 0123",
+        "+1 415 555 012 three",
+    ],
+)
+def test_bare_at_and_single_spelled_digits(whole):
+    text = f"so: {whole}; then"
+    assert [text[s:e] for _, s, e, is_base in pii.find(text) if not is_base] == [whole]
+
+
+def test_names_of_sites_are_no_mail():
+    for text in ("Visit us at example.com.", "We met at noon.Then at home.It rained.", "the shop at www.example.com", "at a.b-c"):
+        assert pii.find(text) == [], text
+
+
 def test_clean_prose_has_no_added_spans():
     text = "Look at the dog. He arrived at noon on time. One two three, un dos tres, at example. Привет мир."
     assert pii.find(text) == []
