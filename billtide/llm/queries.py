@@ -10,6 +10,7 @@ from billtide.llm import (
     bpe,
     labelled,
     line_rules,
+    merkle,
     mixing,
     near_vectors,
     notices,
@@ -123,6 +124,16 @@ def op10_simhash(spark, sf_dir):
     )
 
 
+def op13_manifest(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents", *merkle.FIELDS)
+    moved = F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")) % 7 == 0
+    tampered = F.when(F.coalesce(moved, F.lit(False)), F.col("n_chars") + 1).otherwise(F.col("n_chars"))
+    return merkle.manifest(merkle.leaves(docs, n_chars=tampered)).select(
+        "doc_id", "leaf", "subroot", "root", F.sha2(F.array_join("siblings", ""), 256).alias("proof_sha256"),
+        "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
 QUERIES = {
     "op1_repeated_text": op1_repeated_text,
     "op2_quality_model": op2_quality_model,
@@ -134,6 +145,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_mixing": op9_mixing,
     "op10_simhash": op10_simhash,
+    "op13_manifest": op13_manifest,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -142,6 +154,7 @@ SQL = {
     "op5_near_vectors": oracles.OP5,
     "op7_line_rules": oracles.OP7,
     "op9_mixing": oracles.op9(MIX, MIX_OTHER),
+    "op13_manifest": oracles.OP13,
 }
 
 if corpus_pipeline.ORACLE_SQL:
