@@ -90,6 +90,41 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
   NOT base_failed AND lost_share <= 0.3::DOUBLE AS kept, n_failed_lines, lost_share FROM shares
 """
 
+OP11 = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(unnest(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS ws FROM documents),
+places AS (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM pieces),
+grams AS (SELECT lang, ws, i, unnest(range(1, 6)) AS m FROM places),
+counted AS MATERIALIZED (
+  SELECT lang, m, array_to_string(ws[i : i + m - 1], ' ') AS phrase, count(*) AS f
+  FROM grams WHERE i + m - 1 <= len(ws) GROUP BY ALL),
+totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM counted WHERE m = 1 GROUP BY lang),
+candidates AS MATERIALIZED (
+  SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS ws FROM counted WHERE m > 1 AND f >= 100),
+cuts AS (SELECT *, unnest(range(1, m)) AS k FROM candidates),
+scores AS (
+  SELECT c.lang, c.phrase, c.a, k, x.f AS l, y.f AS r, n,
+    (1000::HUGEINT * c.a * n) // (x.f::HUGEINT * y.f) AS score
+  FROM cuts c JOIN totals USING (lang)
+  JOIN counted x ON x.lang = c.lang AND x.phrase = array_to_string(ws[1 : k], ' ')
+  JOIN counted y ON y.lang = c.lang AND y.phrase = array_to_string(ws[k + 1 :], ' ')),
+weakest AS (SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inner_parts AS (
+  SELECT lang, a, m AS longer, ws, unnest(range(1, m + 1)) AS i FROM candidates),
+parts AS (SELECT lang, a, longer, ws, i, unnest(range(2, longer)) AS m FROM inner_parts),
+inside AS (
+  SELECT DISTINCT p.lang, c.phrase FROM parts p JOIN candidates c
+    ON c.lang = p.lang AND i + p.m - 1 <= longer AND c.phrase = array_to_string(p.ws[i : i + p.m - 1], ' ')
+  WHERE 100 * p.a >= 100 * c.a),
+ranked AS (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+    phrase, a, l, r, n, CAST(score AS BIGINT) AS score
+  FROM weakest ANTI JOIN inside USING (lang, phrase))
+SELECT * FROM ranked WHERE rank <= 2000
+"""
+
 OP13 = r"""
 WITH RECURSIVE crc_table AS MATERIALIZED (
   SELECT list_transform(range(256), lambda n: list_reduce(range(8), lambda c, i:

@@ -15,11 +15,13 @@ from billtide.llm import (
     near_vectors,
     notices,
     oracles,
+    phrases,
     pii,
     quality_model,
     repeated_text,
     simhash,
     toxicity,
+    wrappers,
 )
 from billtide.llm.rows import read
 from billtide.session import written
@@ -124,6 +126,15 @@ def op10_simhash(spark, sf_dir):
     )
 
 
+def op11_collocations(spark, sf_dir):
+    return phrases.collocations(read(spark, sf_dir, "documents", "doc_id", "text", "lang"))
+
+
+def op12_main_text(spark, sf_dir):
+    pages = read(spark, sf_dir, "pages", "page_id", "url", "html")
+    return wrappers.extract(pages).select("page_id", "url", "text", "n_chars")
+
+
 def op13_manifest(spark, sf_dir):
     docs = read(spark, sf_dir, "documents", *merkle.FIELDS)
     moved = F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")) % 7 == 0
@@ -145,6 +156,8 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_mixing": op9_mixing,
     "op10_simhash": op10_simhash,
+    "op11_collocations": op11_collocations,
+    "op12_main_text": op12_main_text,
     "op13_manifest": op13_manifest,
     "pipeline": corpus_pipeline.run,
 }
@@ -154,6 +167,7 @@ SQL = {
     "op5_near_vectors": oracles.OP5,
     "op7_line_rules": oracles.OP7,
     "op9_mixing": oracles.op9(MIX, MIX_OTHER),
+    "op11_collocations": oracles.OP11,
     "op13_manifest": oracles.OP13,
 }
 

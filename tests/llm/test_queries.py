@@ -14,7 +14,7 @@ SF = f"{DATA}/sf0.001"
 @pytest.fixture(scope="module")
 def sql():
     con = duckdb.connect()
-    for table in ("documents", "embeddings", "labels"):
+    for table in ("documents", "embeddings", "labels", "pages"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     return con
 
@@ -32,7 +32,7 @@ def result(spark, name, *columns, sf=SF):
 def test_all_are_registered():
     assert set(queries.QUERIES) <= set(entry.queries())
     numbers = sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES if n.startswith("op"))
-    assert numbers == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert numbers == list(range(1, 14)) and "pipeline" in entry.queries()
 
 
 @pytest.mark.parametrize("name", list(queries.SQL))
