@@ -14,10 +14,9 @@ settled without going further: all but the first are repeats.
 
 from __future__ import annotations
 
-import zlib
-
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -68,19 +67,20 @@ def tagged(x: np.ndarray, *small: np.ndarray) -> np.ndarray:
     return x
 
 
-# ---- a span in one integer: 16 bits that tell texts of one id apart, start, size, distance to the anchor ----
+# ---- a span in one integer: start, size, distance to the anchor ----
 
 
-def packed(tag, start, size, offset):
-    return (tag.astype(np.int64) << 47) | (start << 16) | (size << 8) | offset
+def packed(start, size, offset):
+    return (start << 16) | (size << 8) | offset
 
 
 def unpacked(spans):
-    return spans >> 47, (spans >> 16) & 0x7FFFFFFF, (spans >> 8) & 0xFF, spans & 0xFF
+    return spans >> 16, (spans >> 8) & 0xFF, spans & 0xFF
 
 
-def text_tag(text: bytes) -> int:
-    return zlib.crc32(text) & 0xFFFF
+def text_tags(texts: list[bytes]) -> np.ndarray:
+    """What tells texts of one id apart: a hash of 64 bits."""
+    return np.array([xxhash.xxh3_64_intdigest(t) for t in texts], U).view(np.int64)
 
 
 # ---- ranks ----
@@ -138,8 +138,9 @@ def cell_ranks(octets, begins, text, start, size, offset, length: int, cell: int
     return text, start[span] + within, size, away, rank, content
 
 
-RANKED = "rank bigint, content bigint, doc bigint, span bigint, repeated boolean"
-RANKED_ARROW = pa.schema([*[(n, pa.int64()) for n in ("rank", "content", "doc", "span")], ("repeated", pa.bool_())])
+PLACE = ["doc", "tag", "span"]
+RANKED = "rank bigint, content bigint, doc bigint, tag bigint, span bigint, repeated boolean"
+RANKED_ARROW = pa.schema([*[(n, pa.int64()) for n in ("rank", "content", *PLACE)], ("repeated", pa.bool_())])
 
 
 def joined(texts: list[bytes]):
@@ -152,13 +153,13 @@ def ranked_rows(doc, tag, found):
     """The spans of a batch as rows. Of equal spans in the batch only the first keeps its rank; the others are
     repeats already and get ranks of their own, so that no rank brings more than one copy per batch along."""
     text, start, size, offset, rank, content = found
-    rows = np.stack([rank.view(np.int64), content.view(np.int64), doc[text], packed(tag[text], start, size, offset)])
+    rows = np.stack([rank.view(np.int64), content.view(np.int64), doc[text], tag[text], packed(start, size, offset)])
     rows = rows[:, np.lexsort(rows[::-1])]
     same = rows[:, 1:] == rows[:, :-1]
     rows = rows[:, np.append(True, ~same.all(axis=0))[: rows.shape[1]]]
     same = rows[:2, 1:] == rows[:2, :-1]
     repeated = np.append(False, same.all(axis=0))[: rows.shape[1]]
-    rows[0, repeated] = tagged(rows[3, repeated].view(U), rows[2, repeated]).view(np.int64)
+    rows[0, repeated] = tagged(rows[4, repeated].view(U), rows[2, repeated], rows[3, repeated]).view(np.int64)
     rows[1, repeated] = 0
     return pa.RecordBatch.from_arrays([*map(pa.array, rows), pa.array(repeated)], schema=RANKED_ARROW)
 
@@ -170,8 +171,7 @@ def rank_texts(docs: DataFrame, length: int, gram: int) -> DataFrame:
         for batch in batches:
             texts = [t or b"" for t in batch.column(1).to_pylist()]
             doc = batch.column(0).to_numpy()
-            tag = np.fromiter(map(text_tag, texts), np.int64, len(texts))
-            yield ranked_rows(doc, tag, first_ranks(*joined(texts), length, gram))
+            yield ranked_rows(doc, text_tags(texts), first_ranks(*joined(texts), length, gram))
 
     return docs.mapInArrow(run, RANKED)
 
@@ -188,18 +188,15 @@ def rank_cells(texts: DataFrame, spans: DataFrame, length: int, cell: int) -> Da
             lists = batch.column(2)
             flat = lists.flatten().to_numpy().astype(np.int64)
             text = np.repeat(np.arange(len(own)), np.diff(lists.offsets.to_numpy()))
-            tag, start, size, offset = unpacked(flat)
-            found = cell_ranks(octets, begins, text, start, size, offset, length, cell)
-            tags = np.fromiter(map(text_tag, own), np.int64, len(own))
-            yield ranked_rows(batch.column(1).to_numpy(), tags, found)
+            found = cell_ranks(octets, begins, text, *unpacked(flat), length, cell)
+            yield ranked_rows(batch.column(1).to_numpy(), batch.column(3).to_numpy(), found)
 
-    return texts.join(per_text, ["doc", "tag"]).select("packed_text", "doc", "spans").mapInArrow(run, RANKED)
+    return texts.join(per_text, ["doc", "tag"]).select("packed_text", "doc", "spans", "tag").mapInArrow(run, RANKED)
 
 
 def gathered(spans: DataFrame) -> DataFrame:
     """All spans of a text in a row; there are at most as many as the text has strings."""
-    tag = F.shiftright("span", 47).cast("int").alias("tag")
-    return spans.groupBy("doc", tag).agg(F.collect_list("span").alias("spans"))
+    return spans.groupBy("doc", "tag").agg(F.collect_list("span").alias("spans"))
 
 
 # ---- verdicts ----
@@ -212,23 +209,22 @@ def settled(ranked: DataFrame) -> DataFrame:
     passes as a stream. Of equal spans the first stays. It is open if others share its rank with
     different contents, and unique otherwise.
     """
-    pairs = ranked.repartition("rank").sortWithinPartitions("rank", "content", "doc", "span")
+    pairs = ranked.repartition("rank").sortWithinPartitions("rank", "content", *PLACE)
 
     def run(batches):
-        last = np.array([[0], [0], [0], [-1]])  # the previous row; no span is negative
-        held = None  # the previous first span (rank, doc, span), and whether it is open already
+        last = np.array([[0], [0], [0], [0], [-1]])  # the previous row; no span is negative
+        held = None  # the previous first span (rank, place) and whether it is open already
         for batch in batches:
-            rows = np.stack([batch.column(i).to_numpy() for i in range(4)])
-            known = batch.column(4).to_numpy(zero_copy_only=False)
-            out = [(rows[2, known], rows[3, known], known[known])]
+            rows = np.stack([batch.column(i).to_numpy() for i in range(5)])
+            known = batch.column(5).to_numpy(zero_copy_only=False)
+            out = [(rows[2:, known], True)]
             rows = rows[:, ~known]
             before = np.concatenate([last, rows[:, :-1]], axis=1)
             same = rows == before
             again = same.all(axis=0)  # the same position twice: a repeated row of the table
-            first = ~(same[0] & same[1] & (before[3] >= 0))
-            copies = ~first & ~again
-            out.append((rows[2, copies], rows[3, copies], np.ones(int(copies.sum()), bool)))
-            rank, doc, span = rows[0, first], rows[2, first], rows[3, first]
+            first = ~(same[0] & same[1] & (before[4] >= 0))
+            out.append((rows[2:, ~first & ~again], True))
+            rank, place = rows[0, first], rows[2:, first]
             opened = np.zeros(len(rank), bool)
             opened[1:] |= rank[1:] == rank[:-1]
             opened[:-1] |= rank[1:] == rank[:-1]
@@ -236,23 +232,23 @@ def settled(ranked: DataFrame) -> DataFrame:
                 if held is not None:
                     joins = held[0] == rank[0]
                     opened[0] |= joins
-                    if held[3] or joins:
-                        out.append((np.array([held[1]]), np.array([held[2]]), np.zeros(1, bool)))
-                held = (rank[-1], doc[-1], span[-1], bool(opened[-1]))
-                chosen = np.flatnonzero(opened[:-1])
-                out.append((doc[chosen], span[chosen], np.zeros(len(chosen), bool)))
+                    if held[2] or joins:
+                        out.append((held[1], False))
+                held = (rank[-1], place[:, -1:], bool(opened[-1]))
+                out.append((place[:, np.flatnonzero(opened[:-1])], False))
             if rows.shape[1]:
                 last = rows[:, -1:]
             yield verdict_rows(out)
-        if held is not None and held[3]:
-            yield verdict_rows([(np.array([held[1]]), np.array([held[2]]), np.zeros(1, bool))])
+        if held is not None and held[2]:
+            yield verdict_rows([(held[1], False)])
 
-    return pairs.mapInArrow(run, "doc bigint, span bigint, repeated boolean")
+    return pairs.mapInArrow(run, "doc bigint, tag bigint, span bigint, repeated boolean")
 
 
 def verdict_rows(parts):
-    columns = [np.concatenate(c) for c in zip(*parts)]
-    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["doc", "span", "repeated"])
+    places = np.concatenate([p for p, _ in parts], axis=1)
+    repeated = np.repeat([r for _, r in parts], [p.shape[1] for p, _ in parts])
+    return pa.RecordBatch.from_arrays([*map(pa.array, places), pa.array(repeated)], [*PLACE, "repeated"])
 
 
 # ---- removal ----
@@ -260,7 +256,7 @@ def verdict_rows(parts):
 
 def removed_runs(spans: np.ndarray, length: int) -> list[tuple[int, int]]:
     """Maximal runs of bytes under repeated strings."""
-    _, start, size, _ = unpacked(spans)
+    start, size, _ = unpacked(spans)
     order = np.argsort(start, kind="stable")
     start, end = start[order], (start + size - 1 + length)[order]
     if not len(start):
@@ -288,8 +284,8 @@ def remove_repeated(docs: DataFrame, key: str = "doc_id", text: str = "text", le
     A byte is removed if a string of ``length`` bytes covers it that also starts earlier: in a text with a
     smaller key, or in the same text. Strings don't cross texts. A null text counts as empty. A null key
     comes before all others (and -2**63 is taken for one). Repeated rows are one document and get equal results; rows that share a key but
-    not the text are told apart by 16 bits of a hash of the text, which orders them. An empty table gives an
-    empty one. Equality of strings is equality of two 64-bit hashes.
+    not the text are told apart by a hash of the text of 64 bits, which orders them (as a signed number). An empty
+    table gives an empty one. Equality of strings is equality of two 64-bit hashes.
     """
     gram = max(1, length // 4)
     if not 2 <= length - gram + 1 <= 255:
@@ -305,11 +301,11 @@ def remove_repeated(docs: DataFrame, key: str = "doc_id", text: str = "text", le
     window = length - gram + 1
     cells = sorted({-(-window // 4), -(-window // 16), 1}, reverse=True)
     verdicts = written(settled(ranked), "spans")
-    repeats = verdicts.where("repeated").select("doc", "span")
+    repeats = verdicts.where("repeated").select(*PLACE)
     for cell in cells:
-        still = verdicts.where("NOT repeated").select("doc", "span")
+        still = verdicts.where("NOT repeated").select(*PLACE)
         verdicts = settled(rank_cells(texts, still, length, cell))
-        repeats = repeats.union(verdicts.where("repeated").select("doc", "span"))
+        repeats = repeats.union(verdicts.where("repeated").select(*PLACE))
 
     def run(batches):
         unpack = zstandard.ZstdDecompressor()
@@ -336,7 +332,7 @@ def packed_texts(docs: DataFrame) -> DataFrame:
 
     def start():
         pack = zstandard.ZstdCompressor(level=3)
-        return lambda texts: [[text_tag(t) for t in texts], [pack.compress(t) for t in texts]]
+        return lambda texts: [pa.array(text_tags(texts)), [pack.compress(t) for t in texts]]
 
-    fields = [("tag", "int", pa.int32()), ("packed_text", "binary", pa.binary())]
+    fields = [("tag", "bigint", pa.int64()), ("packed_text", "binary", pa.binary())]
     return without(add_columns(docs, start, fields, "octets"), "octets")
