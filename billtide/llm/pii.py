@@ -61,7 +61,8 @@ TABLE = lookalike_table()
 LOOKS = frozenset(map(chr, TABLE))
 INVISIBLE = frozenset("\u200b\u200c\u200d\u2060\ufeff\u00ad")
 ONE = "(?:" + "|".join(sorted(DIGIT_WORDS, key=len, reverse=True)) + ")"
-DOT = r"(?:\s+dot\s+|\s*[\[({<]\s*(?:dot|punkt|punto|point)\s*[\])}>]\s*)"
+DOT_IN_BRACKETS = r"\s*+[\[({<]\s*+(?:dot|punkt|punto|point)\s*+[\])}>]\s*+"
+DOT = rf"(?:\s++dot\s++|{DOT_IN_BRACKETS})"
 # ---- fixed values: top-level domains by which a plain name after a bare "at" counts as a mail domain ----
 TOP_LEVEL = (
     "com org net edu gov mil int info biz name pro coop aero museum jobs mobi travel tel cat asia post app dev cloud "
@@ -78,17 +79,23 @@ BEFORE_SITES = (
     "us me him her them it this that is are was were be more look looks looking find found available visit online here "
     "out up live hosted read published posted located sold"
 ).split()
-TOP = "(?-i:" + "|".join([*TOP_LEVEL, *map(str.upper, TOP_LEVEL)]) + ")"
+# ---- fixed values: those of them that count behind a bare "dot", too, for they are no words ----
+TOP_SPELLED = (
+    "com org net edu gov mil biz io ai co uk de fr eu ch nl pl cz dk fi gr hu ie il jp kr kz lt lu lv mx nz pt ro rs ru se "
+    "sg si sk th tr tv tw ua br ca cn cl hk"
+).split()
+TOP, TOP_BY_WORD = ("(?-i:" + "|".join([*t, *map(str.upper, t)]) + ")" for t in (TOP_LEVEL, TOP_SPELLED))
 NO_SITE = "".join(rf"(?<!(?<![a-z0-9._%+-]){word})" for word in BEFORE_SITES)
 #: What the rewriting transducer consumes; the group's name says what it writes.
 REWRITES = re.compile(
     rf"(?P<none>[\u200b-\u200d\u2060\ufeff\u00ad]+)"
-    rf"|(?P<at>\s*(?:[\[({{<]\s*(?:at|ät|arroba|arobase)\s*[\])}}>])\s*)"
-    rf"|(?P<dot>\s*(?:[\[({{<]\s*(?:dot|punkt|punto|point)\s*[\])}}>])\s*)"
-    rf"|(?P<at_word>(?<=[a-z0-9_-])\s+at\s+(?=[a-z0-9-]+(?:{DOT}[a-z0-9-]+)+))"
-    rf"|(?P<at_name>(?<=[a-z0-9_-])(?=\s+at\s){NO_SITE}\s+at\s+(?!www\.)(?=(?:[a-z0-9-]+(?:\.|{DOT}))+{TOP}\b(?!-|\.[a-z0-9])))"
-    rf"|(?P<dot_word>(?<=[a-z0-9_-])\s+dot\s+(?=[a-z0-9-]))"
-    rf"|(?P<plus>\bplus\s+(?={ONE}\b|[0-9]))"
+    # white space before a bracket is tried from where it begins only, so long runs of it cost no more than their length
+    rf"|(?P<at>(?:(?<!\s)\s++)?+[\[({{<]\s*+(?:at|ät|arroba|arobase)\s*+[\])}}>]\s*+)"
+    rf"|(?P<dot>(?:(?<!\s)\s++)?+[\[({{<]\s*+(?:dot|punkt|punto|point)\s*+[\])}}>]\s*+)"
+    rf"|(?P<at_name>(?<=[a-z0-9_-])(?=\s++at\s){NO_SITE}\s++at\s++(?!www\.)"
+    rf"(?=(?:[a-z0-9-]++(?:\.|{DOT}))*?[a-z0-9-]++(?:(?:\.|{DOT_IN_BRACKETS}){TOP}|\s++dot\s++{TOP_BY_WORD})\b(?!-|\.[a-z0-9])))"
+    rf"|(?P<dot_word>(?<=[a-z0-9_-])\s++dot\s++(?=[a-z0-9-]))"
+    rf"|(?P<plus>\bplus\s++(?={ONE}\b|[0-9]))"
     rf"|(?P<digits>\b{ONE}(?:(?:[ \t-]+{ONE})+\b|(?=[ ().-]+[0-9]))|(?<=[0-9][ ().-]){ONE}\b)",
     re.IGNORECASE,
 )
@@ -254,7 +261,7 @@ def find_pii(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with ``pii``, the spans of each text, and ``masked``, the text with spans replaced.
 
     A null text counts as empty and has no spans. Positions are code points, end exclusive. Texts are read
-    whole and each alone, so nothing is shuffled, repeated rows get equal spans and an empty table stays
+    whole, in time that grows with their length, and each alone, so nothing is shuffled, repeated rows get equal spans and an empty table stays
     empty. Columns named like a result are replaced.
     """
 
