@@ -17,11 +17,14 @@ MOST_REPEATED_PERCENT = 50
 
 # ---- fixed values: phrases of page furniture, lower case ----
 BOILERPLATE = re.compile(
-    rb"\b(?:cookies?|javascript|privacy policy|terms of (?:use|service)|sign in|log ?in|subscribe"
-    rb"|newsletter|click here|read more|share this|all rights reserved|skip to content)\b"
+    rb"\b(?:(?:accept|allow|manage|reject|use|uses) (?:all )?cookies|cookie (?:policy|settings|notice|consent)"
+    rb"|(?:enable|requires?) javascript|javascript is (?:disabled|required)|privacy policy|terms of (?:use|service)"
+    rb"|subscribe (?:to|now|today)|our newsletter|click here|read more|share this|all rights reserved|skip to content)\b"
 )
+# ---- fixed values: words that are page furniture in very short lines, lower case ----
+BUTTONS = re.compile(rb"\b(?:cookies|javascript|sign in|log ?in|subscribe|newsletter)\b")
 #: Words a line may have to count as page furniture; longer ones are prose about the subject.
-BOILERPLATE_WORDS = 15
+BOILERPLATE_WORDS, BUTTON_WORDS = 15, 3
 SEPARATORS = frozenset(s.encode() for s in "| » › · •".split())
 #: What words of shouted or damaged lines end in.
 MARKS = tuple(m.encode() for m in "# * $ % & < > !! ?? !?".split())
@@ -58,15 +61,20 @@ def line_fails(line: bytes, words: list[bytes], symbol_share: float, separator_s
     """The rules for one line that has words.
 
     Navigation: at least two separators, and at least ``separator_share`` of the words are
-    separators. Punctuation: more than ``symbol_share`` of the words, of five or more, end in a
-    symbol or in doubled marks. Boilerplate: a short line with a phrase of page furniture.
+    separators; rows of a table, which begin and end with one, are not. Punctuation: more than ``symbol_share`` of the words, of five or more, end in a
+    symbol or in doubled marks. Boilerplate: a short line with a phrase of page furniture, or
+    little more than the word on a button.
     """
     bars = sum(map(SEPARATORS.__contains__, words))
-    if bars >= 2 and bars >= separator_share * len(words):
+    in_table = words[0] == words[-1] == b"|"
+    if bars >= 2 and bars >= separator_share * len(words) and not (in_table and len(words) > 2):
         return True
     if len(words) >= 5 and sum(w.endswith(MARKS) for w in words) > symbol_share * len(words):
         return True
-    return len(words) <= BOILERPLATE_WORDS and bool(BOILERPLATE.search(line.lower()))
+    if len(words) > BOILERPLATE_WORDS:
+        return False
+    low = line.lower()
+    return bool(BOILERPLATE.search(low)) or len(words) <= BUTTON_WORDS and bool(BUTTONS.search(low))
 
 
 def chars(words: list[bytes]) -> int:

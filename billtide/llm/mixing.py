@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -73,8 +73,8 @@ def replicated(
 
     A document's count inverts the Poisson distribution function of its source's mean at a number hashed
     from seed and key, so it never depends on partitions, order or retries. Sources not named, and null
-    ones, share the weight ``other`` in proportion to their bytes. Repeated rows have equal counts; a null
-    key is hashed as the text ``null``. Null texts have no bytes but are repeated like others of their
+    ones, share the weight ``other`` in proportion to their bytes. Repeated rows have equal counts; a row
+    without a key is known by its text. Null texts have no bytes but are repeated like others of their
     source. A column named ``copy`` is replaced. The joined table is as long as ``weights``, so it is
     broadcast; a source with a third of the rows is not gathered anywhere.
     """
@@ -82,7 +82,7 @@ def replicated(
     held = docs.select(F.struct(*[F.col(quoted(c)) for c in columns]).alias("d"))
     table = rates(docs, weights, other, epochs).select("part", "draws", "steps")
     joined = held.join(F.broadcast(table), part_of("d.source", weights).eqNullSafe(F.col("part")))
-    name = F.coalesce(F.col(f"d.{quoted(key)}").cast("string"), F.lit("null"))
+    name = name_of(F.col(f"d.{quoted(key)}"), F.col("d.text"))
     numbers = F.transform(
         F.sequence(F.lit(1), "draws"), lambda j: uniform(F.lit(seed), name, j.cast("string"))
     )
@@ -93,9 +93,17 @@ def replicated(
     return counted.select("d.*", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("copy"))
 
 
-def shuffled(df: DataFrame, seed: str = "mix", keys: tuple[str, ...] = ("doc_id", "copy")) -> DataFrame:
-    """``df`` in one hash-ordered global order; ``place`` is the number sorted by, equal for equal keys."""
-    parts = [F.coalesce(F.col(k).cast("string"), F.lit("null")) for k in keys]
-    return df.withColumn("place", uniform(F.lit(seed), F.lit("place"), *parts).cast(T.DoubleType())).orderBy(
-        "place", *keys
-    )
+def name_of(key: Column, text: Column) -> Column:
+    """What a document is hashed by: its key, or its text where it has none."""
+    unnamed = F.concat(F.lit("null:"), F.md5(F.coalesce(text, F.lit(""))))
+    return F.coalesce(key.cast("string"), unnamed)
+
+
+def shuffled(df: DataFrame, seed: str = "mix", key: str = "doc_id", copy: str = "copy") -> DataFrame:
+    """``df`` in one hash-ordered global order; ``place`` is the number sorted by, equal for equal copies of a document.
+
+    Rows without a key are known by their text, so they spread over the order like all others.
+    """
+    name = name_of(F.col(quoted(key)), F.col("text"))
+    place = uniform(F.lit(seed), F.lit("place"), name, F.col(quoted(copy)).cast("string"))
+    return df.withColumn("place", place.cast(T.DoubleType())).orderBy("place", key, copy)

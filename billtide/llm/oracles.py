@@ -68,11 +68,13 @@ judged AS (
   SELECT doc_id, line, len(ws) AS n, list_sum(list_transform(ws, lambda w: length(w))) AS chars,
     len(list_filter(ws, lambda w: w IN ('|', '»', '›', '·', '•'))) AS bars,
     len(list_filter(ws, lambda w: regexp_matches(w, '([#*$%&<>]|!!|\?\?|!\?)$'))) AS marked,
-    regexp_matches(lower(line), '\b(?:cookies?|javascript|privacy policy|terms of (?:use|service)|sign in|log ?in|subscribe|newsletter|click here|read more|share this|all rights reserved|skip to content)\b') AS furniture
+    ws[1] = '|' AND ws[len(ws)] = '|' AND len(ws) > 2 AS in_table,
+    regexp_matches(lower(line), '\b(?:(?:accept|allow|manage|reject|use|uses) (?:all )?cookies|cookie (?:policy|settings|notice|consent)|(?:enable|requires?) javascript|javascript is (?:disabled|required)|privacy policy|terms of (?:use|service)|subscribe (?:to|now|today)|our newsletter|click here|read more|share this|all rights reserved|skip to content)\b') AS furniture,
+    regexp_matches(lower(line), '\b(?:cookies|javascript|sign in|log ?in|subscribe|newsletter)\b') AS button
   FROM lines WHERE len(ws) > 0),
 failing AS (
-  SELECT *, (bars >= 2 AND bars >= 0.15::DOUBLE * n) OR (n >= 5 AND marked > 0.3::DOUBLE * n)
-    OR (n <= 15 AND furniture) AS failed FROM judged),
+  SELECT *, (bars >= 2 AND bars >= 0.15::DOUBLE * n AND NOT in_table) OR (n >= 5 AND marked > 0.3::DOUBLE * n)
+    OR (n <= 15 AND furniture) OR (n <= 3 AND button) AS failed FROM judged),
 per_doc AS (
   SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines, count(*) FILTER (failed) AS n_failed_lines,
     coalesce(sum(chars) FILTER (failed), 0) AS lost FROM failing GROUP BY doc_id),
@@ -185,7 +187,7 @@ def op9(weights: dict[str, float], other: float, seed: str = "mix") -> str:
 WITH RECURSIVE wanted(part, weight) AS (VALUES {named}, (NULL, {other}::DOUBLE)),
 d AS (
   SELECT *, CASE WHEN source IN ({sources}) THEN source END AS p,
-    coalesce(CAST(doc_id AS VARCHAR), 'null') AS name FROM documents),
+    coalesce(CAST(doc_id AS VARCHAR), 'null:' || md5(coalesce(text, ''))) AS name FROM documents),
 sizes AS (SELECT p, sum(coalesce(octet_length(encode(text)), 0)) AS n FROM d GROUP BY p),
 known AS (
   SELECT part, weight, coalesce(n, 0) AS n FROM wanted LEFT JOIN sizes ON p IS NOT DISTINCT FROM part),
