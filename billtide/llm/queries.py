@@ -38,7 +38,7 @@ def op1_repeated_text(spark, sf_dir):
     )
 
 
-def scored(spark, sf_dir, label, folds, held_out, train, score, cut):
+def scored(spark, sf_dir, label, folds, held_out, train, score, cut, *more):
     """Learns from one side of the folds and scores every document."""
     docs = read(spark, sf_dir, "documents", "doc_id", "text")
     labels = read(spark, sf_dir, "labels", "doc_id", label)
@@ -48,6 +48,7 @@ def scored(spark, sf_dir, label, folds, held_out, train, score, cut):
         (labelled.remainder("doc_id", folds) == held_out).alias("held_out"),
         "score",
         F.when(F.col("score") >= cut, 1).otherwise(0).alias("predicted"),
+        *more,
     )
 
 
@@ -58,7 +59,11 @@ def op2_quality_model(spark, sf_dir):
 
 
 def op8_toxicity(spark, sf_dir):
-    return scored(spark, sf_dir, "toxic", 4, 2, toxicity.train, toxicity.score_toxicity, 0.3)
+    # start:end of the sentences that score 0.3 or more, in code points
+    located = F.array_join(F.transform("offending", lambda s: F.concat_ws(":", s["start"], s["end"])), ",")
+    return scored(
+        spark, sf_dir, "toxic", 4, 2, toxicity.train, toxicity.score_toxicity, 0.3, located.alias("offending")
+    )
 
 
 def op4_license_scan(spark, sf_dir):
