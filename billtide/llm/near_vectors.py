@@ -178,8 +178,9 @@ def in_units(points: DataFrame, threshold: float, grid: int) -> DataFrame:
     hot = counted.groupBy(*keys).agg(
         F.count("*").alias("rows"), tiles(F.col("home")).alias("homes"), tiles(~F.col("home")).alias("guests")
     )
-    # one row for more than TILE_ROWS rows of cells, so it can be broadcast, and no cell meets in one join task
-    hot = F.broadcast(hot.where(F.col("rows") > TILE_ROWS).drop("rows"))
+    # one row for more than TILE_ROWS rows of cells; as a table its size is known, so Spark broadcasts it only where it is
+    # small, and otherwise shuffles and splits the crowded cells
+    hot = written(hot.where(F.col("rows") > TILE_ROWS).drop("rows"), "crowded")
     tiled = placed.join(hot, keys, "left").withColumns(
         {"homes": F.coalesce("homes", F.lit(1)), "guests": F.coalesce("guests", F.lit(0))}
     )
