@@ -1,6 +1,7 @@
 """Each operator on awkward tables: nulls, empty and long texts, ties, repeated rows, clashing names."""
 
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -155,22 +156,45 @@ def decoded(ids):
 def test_bpe_like_the_library():
     from tokenizers import Tokenizer
 
-    library, own = Tokenizer.from_file(PATH), bpe.load(PATH)
+    library, encode = Tokenizer.from_file(PATH), bpe.encoder(PATH)
     r = random.Random(9)
-    pieces = ["a", "aa", "ab", "th", "he", " the", "ing", "!!", "..", "--", "é", "ß", "  ", "\n", "'s", "<|endoftext|>", "\x85"]
+    pieces = [" ", " \n", "\x1c", "\u3000", "\u200b", "b.", "a", "aa", "ab", "th", "he", " the", "ing", "!!", "..", "--", "é", "ß", "  ", "\n", "'s", "<|endoftext|>", "\x85"]
     for i in range(1500):
         if i % 3:
             text = "".join(r.choices(pieces, k=40))
         else:
             text = "".join(chr(c) for c in r.choices(range(0x20000), k=30) if not 0xD800 <= c < 0xE000)
         ids = library.encode(text, add_special_tokens=False).ids
-        found = list(own.pieces(text))
-        words = iter(own.encode_words([w.encode() for w in found if isinstance(w, str)]))
-        mine = [t for w in found for t in ([w] if isinstance(w, int) else next(words))]
+        mine = encode([text])[0].as_py()
         assert mine == ids, text
         assert decoded(mine) == library.decode(ids, skip_special_tokens=False)
 
 
+def test_words_taken_together_like_one_by_one(monkeypatch):
+    own = bpe.load(PATH)
+    r = random.Random(4)
+    words = [bytes(r.choices(b" aeinrstxzAE019.,!'\xc3\xa9\x00", k=r.randrange(1, 60))) for _ in range(3000)]
+    words += [b"a" * n for n in range(1, 60)]
+    assert own.encode_words(words) == [own.merge(w) for w in words]
+    for batch in ([w for w in words if len(w) <= n] for n in (1, 3, 40)):
+        width = max(map(len, batch))
+        octets = np.frombuffer(b"".join(w.ljust(width, b"\0") for w in batch), np.uint8).reshape(len(batch), width)
+        tokens, made = own.greedy_together(octets, np.array([len(w) for w in batch]))
+        assert [t[:n] for t, n in zip(tokens.tolist(), made.tolist())] == [own.greedy(w) for w in batch]
+
+
+def test_an_encoder_forgets_and_learns_anew(monkeypatch):
+    monkeypatch.setattr(bpe, "REMEMBERED", 50)
+    bpe.encoder.cache_clear()
+    texts = [f"number {i} of {i * 7} texts, {i}x" for i in range(300)]
+    encode, own = bpe.encoder(PATH), bpe.load(PATH)
+    by_tens = [ids for i in range(0, 300, 10) for ids in encode(texts[i : i + 10]).to_pylist()]
+    bpe.encoder.cache_clear()
+    monkeypatch.undo()
+    assert by_tens == bpe.encoder(PATH)(texts).to_pylist()
+    assert own.encode_words([b""]) == [[]] and encode([None, ""]).to_pylist() == [[], []]
+
+
 def test_only_failing_words_are_merged():
     own = bpe.load(PATH)
     words = [w.encode() for w in " the quick wisest thstouwh erandoned blehaing tionreth".split(" ")]
@@ -241,6 +265,19 @@ def test_repeated_text_by_brute_force(spark):
         assert got == brute.repeated_text(rows, length)
 
 
+@pytest.mark.parametrize("shared", [None, 7])
+def test_thousands_of_texts_under_one_id(spark, shared):
+    """Texts of one id, or of none, are told apart, and come in the order of their hashes."""
+    r = random.Random(12)
+    phrases = ["".join(r.choices("abcdefgh ", k=130)) for _ in range(400)]
+    texts = list({"".join(r.choices("xyz ", k=r.randrange(40))) + r.choice(phrases) + str(i) for i in range(3000)})
+    order = dict(zip(texts, repeated_text.text_tags([t.encode() for t in texts]).tolist()))
+    df = spark.createDataFrame([(shared, t) for t in texts], "doc_id bigint, text string").repartition(6)
+    got = Counter((r.n_bytes, sum(x.end - x.start for x in r.removed), len(r.removed), brute.sha256(bytes(r.kept))) for r in repeated_text.remove_repeated(df).collect())
+    rows = [(i, t) for i, t in enumerate(sorted(texts, key=order.get))]
+    assert got == Counter(brute.repeated_text(rows).values())
+
+
 def test_repeated_rows_and_null_ids(spark, awkward, nothing):
     text = prose(8, 200)[:150]
     rows = [(1, text), (1, text), (None, text), (None, None), (2, text + "!"), (1, text[:110])]
