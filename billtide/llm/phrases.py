@@ -2,9 +2,10 @@
 
 A sample, mined at a lowered threshold, proposes phrases. One pass over all documents then counts exactly the proposed
 phrases and the negative border: phrases that were not proposed though both phrases one word shorter were (and all
-single words). A phrase of the border that turns out frequent is a failure: what it makes possible was never counted, so
-another pass counts all phrases whose two parts are known to be frequent and of which one is new, until a pass finds
-nothing new. No frequent phrase can be missed, whatever the sample was; it decides the number of passes only.
+single words). A phrase of the border that turns out frequent is a failure: the phrases around it were never counted. Every
+frequent phrase that was not counted holds a failure, so a further pass counts all phrases that hold one and whose
+other parts are known to be frequent or hold one, too. What it finds anew holds a failure and so does what is around that, which
+it has counted as well: the border is closed. No frequent phrase can be missed, whatever the sample was.
 
 A pass looks proposals up in a bit table of fixed size (a Bloom filter), built by an aggregate; that is all that is
 broadcast. A false hit makes a pass count a phrase too many, exactly like the others, and changes no result. Phrases are
@@ -18,12 +19,12 @@ rows.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import re
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -92,11 +93,11 @@ def cut(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
 
 def batch_counts(
     lang: str, texts: list[str], known: np.ndarray | None, fresh: np.ndarray | None
-) -> Iterator[tuple[pa.Array, int, np.ndarray]]:
-    """Phrases of one language's texts, their number of words and counts; first the number of all words, as no words.
+) -> Iterator[tuple[pa.Array, np.ndarray]]:
+    """Phrases of one language's texts and their counts; first the number of all words, as the empty phrase.
 
     Without ``known`` all phrases count, otherwise those whose parts without the last and without the first word are
-    ``known``; with ``fresh`` one of the parts must be fresh, and single words don't count.
+    ``known``. With ``fresh``, longer phrases that hold a fresh one count, and parts need not be known that hold one.
     """
     data = UNEVEN.sub(b" ", "\n".join(texts).encode("utf-8", "replace").translate(LOWER))
     data = np.frombuffer(b"\n" + data + b"\n", np.uint8)
@@ -112,32 +113,40 @@ def batch_counts(
     words = runs.take(pa.array(np.arange(0, len(edges), 2))).dictionary_encode()
     codes = words.indices.to_numpy().astype(np.int64)
     if fresh is None:
-        yield pa.array([""]), 0, np.array([len(starts)])
+        yield pa.array([""]), np.array([len(starts)])
         first = first_places(codes, np.arange(len(codes)), len(words.dictionary))
-        yield cut(data, starts[first], ends[first]), 1, np.bincount(codes)
+        yield cut(data, starts[first], ends[first]), np.bincount(codes)
     hashes = of_words = word_hashes(lang, words.dictionary.to_pylist()) if known is not None else None
     places, ids = np.arange(len(codes)), codes
+    around = None  # of each phrase: does it hold a fresh one besides being fresh itself
     for n in range(2, MOST_WORDS + 1):
         # ``places`` hold a phrase of n - 1 words each, ``ids`` say which
-        goes_on = np.ones(len(places), bool) if known is None else held(known, hashes)[ids]
-        is_fresh = held(fresh, hashes)[ids] if fresh is not None else None
+        goes_on = np.ones(len(places), bool)
+        if known is not None:
+            known_part = held(known, hashes)
+            if fresh is not None:
+                around = np.zeros(len(hashes), bool) if around is None else around
+                known_part |= around
+                marked = (around | held(fresh, hashes))[ids]
+            goes_on = known_part[ids]
         both = np.flatnonzero(goes_on[:-1] & goes_on[1:] & (places[1:] == places[:-1] + 1))
         both = both[(n > 2) | (piece[places[both]] == piece[places[both] + 1])]
         if not len(both):
             return
         after = codes[places[both] + n - 1]
         new_ids, pairs = pd.factorize(ids[both] * np.int64(len(words.dictionary)) + after)
-        emitted = np.bincount(new_ids, minlength=len(pairs))
+        counts = np.bincount(new_ids, minlength=len(pairs))
         if known is not None:
             hashes = extended(hashes[pairs // len(words.dictionary)], of_words[pairs % len(words.dictionary)])
-        places, part, ids = places[both], both, new_ids
+        places, ids = places[both], new_ids
         first = first_places(ids, places, len(pairs))
-        wanted = slice(None)
-        if fresh is not None:
-            touched = np.zeros(len(pairs), bool)
-            touched[ids[is_fresh[part] | is_fresh[part + 1]]] = True
-            wanted = np.flatnonzero(touched)
-        yield cut(data, starts[first[wanted]], ends[first[wanted] + n - 1]), n, emitted[wanted]
+        if fresh is None:
+            yield cut(data, starts[first], ends[first + n - 1]), counts
+        else:
+            around = np.zeros(len(pairs), bool)
+            around[ids[marked[both] | marked[both + 1]]] = True
+            wanted = np.flatnonzero(around)
+            yield cut(data, starts[first[wanted]], ends[first[wanted] + n - 1]), counts[wanted]
 
 
 def first_places(ids: np.ndarray, places: np.ndarray, n: int) -> np.ndarray:
@@ -147,7 +156,11 @@ def first_places(ids: np.ndarray, places: np.ndarray, n: int) -> np.ndarray:
     return found
 
 
-COUNTS = "lang string, phrase string, words int, count bigint"
+COUNTS = "lang string, phrase string, count bigint"
+#: Texts are counted so many characters at a time before their phrases go to Spark's aggregate.
+COUNTED_AT_ONCE = 4 * 2**20
+#: Words of a phrase; the empty one stands for all words of its language.
+WORDS = "IF(phrase = '', 0, length(phrase) - length(replace(phrase, ' ', '')) + 1)"
 
 
 def counted(docs: DataFrame, known=None, fresh=None) -> DataFrame:
@@ -155,15 +168,28 @@ def counted(docs: DataFrame, known=None, fresh=None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = [b if b is None else np.frombuffer(b.value, np.uint64) for b in (known, fresh)]
-        for batch in batches:
-            frame = batch.to_pandas()
-            for lang, texts in frame.groupby("lang", sort=False)["text"]:
-                for phrases, n, counts in batch_counts(lang, texts.tolist(), *tables):
-                    columns = [pa.array([lang] * len(phrases), pa.string()), phrases, pa.array(np.full(len(phrases), n, np.int32)), pa.array(counts.astype(np.int64))]
-                    yield pa.RecordBatch.from_arrays(columns, ["lang", "phrase", "words", "count"])
+        for by_lang in gathered(batches):
+            for lang, texts in by_lang.items():
+                for phrases, counts in batch_counts(lang, texts, *tables):
+                    columns = [pa.array([lang] * len(phrases), pa.string()), phrases, pa.array(counts.astype(np.int64))]
+                    yield pa.RecordBatch.from_arrays(columns, ["lang", "phrase", "count"])
 
     found = docs.select("lang", "text").mapInArrow(run, COUNTS)
-    return found.groupBy("lang", "phrase", "words").agg(F.sum("count").alias("count"))
+    return found.groupBy("lang", "phrase").agg(F.sum("count").alias("count")).withColumn("words", F.expr(WORDS))
+
+
+def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, list[str]]]:
+    """Texts by language, of several batches until they have ``COUNTED_AT_ONCE`` characters."""
+    held: dict[str, list[str]] = {}
+    size = 0
+    for batch in batches:
+        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            held.setdefault(lang, []).append(text)
+            size += len(text)
+        if size >= COUNTED_AT_ONCE:
+            yield held
+            held, size = {}, 0
+    yield held
 
 
 def bit_table(phrases: DataFrame):
@@ -213,12 +239,11 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST_COUNT, sample: int = SA
     frequent = written(first, "frequent")
     keys = ["lang", "phrase"]
     failed = written(frequent.where("words > 0").join(proposed, keys, "left_anti"), "failed")
-    while not failed.where(F.col("words") < MOST_WORDS).isEmpty():
-        table.unpersist()
-        table, fresh = bit_table(frequent.where("words > 0")), bit_table(failed)
-        more = counted(texts, table, fresh).where(F.col("count") >= least)
-        failed = written(more.join(frequent, keys, "left_anti"), "failed")
-        frequent = frequent.unionByName(failed)
+    if not failed.where(F.col("words") < MOST_WORDS).isEmpty():
+        known, fresh = bit_table(frequent.where("words > 0")), bit_table(failed)
+        more = counted(texts, known, fresh).where(F.col("count") >= least)
+        frequent = frequent.unionByName(written(more.join(frequent, keys, "left_anti"), "around"))
+        known.unpersist()
         fresh.unpersist()
     table.unpersist()
     return frequent
