@@ -28,6 +28,7 @@ HEADLINE = [
     "kpi_stock_daily",
     "kpi_daily",
     "kpi_daily_incremental",
+    "kpi_by_differences",
     "recon_current_vs_history",
     "recon_kpi_vs_current",
     "dq_bronze_summary",
@@ -38,6 +39,7 @@ HEADLINE = [
     "illegal_transitions",
     "plan_step_mismatches",
     "out_of_order_events",
+    "jobs_kpi_daily",
 ]
 
 

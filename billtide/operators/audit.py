@@ -4,7 +4,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from billtide import schema
-from billtide.functions.catalog import with_catalog
 from billtide.functions.ordering import ARRIVAL_ORDER, EVENT_ORDER
 from billtide.operators.ordered import in_chunks, with_max_before, with_previous
 
@@ -38,59 +37,52 @@ def illegal_transitions(history: DataFrame, chunks: int | None = None) -> DataFr
 
 
 def plan_step_mismatches(history: DataFrame, chunks: int | None = None) -> DataFrame:
-    """Events after which plan, price or status are not what the event implies.
+    """Events after which plan, price, billing cycle or status are not what the event implies.
 
-    An upgrade moves one tier up and a downgrade one down, both ending at the outer tiers, and take
-    the price of the new plan; other events keep plan and price. First events are not judged.
+    An upgrade moves one tier up and a downgrade one down, both ending at the outer tiers, and take price and billing
+    cycle of the new plan; other events keep plan, price and cycle. First events are not judged. After a plan that is not
+    in the catalog nothing is expected of a step to another plan, so every such step is a mismatch with nulls.
     """
-    steps = with_catalog(_steps(history, ["plan_id", "price"], chunks)).withColumnRenamed(
-        "tier", "actual_tier"
-    )
+    steps = _steps(history, ["plan_id", "price", "billing_cycle"], chunks)
     tiers = schema.plan_catalog(history.sparkSession)
     earlier = tiers.select(
         F.col("plan_id").alias("previous_plan_id"), F.col("tier").alias("previous_tier")
     )
-    target = tiers.select(
-        F.col("tier").alias("target_tier"),
-        F.col("plan_id").alias("target_plan_id"),
-        F.col("price").alias("target_price"),
-    )
+    target = tiers.select(*[F.col(c).alias(f"target_{c}") for c in ("tier", "plan_id", "price", "billing_cycle")])
     kind = F.col("event_type")
     up, down = kind == "subscription_upgraded", kind == "subscription_downgraded"
     status = F.create_map(*[F.lit(x) for pair in schema.STATUS_AFTER.items() for x in pair])
-    expected = (
+    expected = lambda c: F.when(up | down, F.col(f"target_{c}")).otherwise(F.col(f"previous.{c}"))
+    judged = (
         steps.where("previous IS NOT NULL")
         .withColumn("previous_plan_id", F.col("previous.plan_id"))
-        .withColumn("previous_price", F.col("previous.price"))
-        .join(F.broadcast(earlier), "previous_plan_id", "inner")
+        .join(F.broadcast(earlier), "previous_plan_id", "left")
         .withColumn(
             "target_tier",
             F.when(up, F.least(F.col("previous_tier") + 1, F.lit(schema.TOP_TIER)))
-            .when(down, F.greatest(F.col("previous_tier") - 1, F.lit(0)))
-            .otherwise(F.col("previous_tier")),
+            .when(down, F.greatest(F.col("previous_tier") - 1, F.lit(0))),
         )
-        .join(F.broadcast(target), "target_tier", "inner")
+        .withColumn("target_tier", F.when(F.col("previous_tier").isNotNull(), F.col("target_tier")))
+        .join(F.broadcast(target), "target_tier", "left")
         .select(
             "event_id",
             "subscription_id",
             "event_type",
             "previous_plan_id",
             "plan_id",
-            F.col("target_plan_id").alias("expected_plan_id"),
+            expected("plan_id").alias("expected_plan_id"),
             "price",
-            F.when(up | down, F.col("target_price"))
-            .otherwise(F.col("previous_price"))
-            .alias("expected_price"),
+            expected("price").alias("expected_price"),
+            "billing_cycle",
+            expected("billing_cycle").alias("expected_billing_cycle"),
             "status",
             F.element_at(status, kind).alias("expected_status"),
         )
     )
-    agrees = (
-        F.col("plan_id").eqNullSafe(F.col("expected_plan_id"))
-        & F.col("price").eqNullSafe(F.col("expected_price"))
-        & F.col("status").eqNullSafe(F.col("expected_status"))
-    )
-    return expected.where(~agrees)
+    agrees = F.lit(True)
+    for column in ("plan_id", "price", "billing_cycle", "status"):
+        agrees = agrees & F.col(column).eqNullSafe(F.col(f"expected_{column}"))
+    return judged.where(~agrees)
 
 
 def out_of_order_events(history: DataFrame, chunks: int | None = None) -> DataFrame:
@@ -116,6 +108,6 @@ def _count_late(df, scope):
 
 
 def _steps(history, columns, chunks):
-    wanted = [*EVENT_ORDER, "subscription_id", "event_type", "plan_id", "price", "status"]
+    wanted = [*EVENT_ORDER, "subscription_id", "event_type", "plan_id", "price", "billing_cycle", "status"]
     kept = history.where("subscription_id IS NOT NULL").select(*wanted)
     return with_previous(kept, "subscription_id", EVENT_ORDER, columns, chunks)

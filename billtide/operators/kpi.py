@@ -15,9 +15,17 @@ from billtide.functions.times import event_date, moment
 METRICS = ["new_subscriptions", "new_cancellations", "active_subscriptions", "mrr"]
 
 
+def day_states(history: DataFrame) -> DataFrame:
+    """End-of-day state of each subscription on each date it has events, and whether it was created or cancelled then.
+
+    Rows without a subscription make one row per date, which keeps the date and counts for nothing.
+    """
+    return _per_subscription_and_date(history, None)
+
+
 def kpi_flow_daily(history: DataFrame) -> DataFrame:
     """Distinct subscriptions created and cancelled per event date."""
-    return _per_date(_per_subscription_and_date(history, None)).select(
+    return per_date(_per_subscription_and_date(history, None)).select(
         "date", "new_subscriptions", "new_cancellations"
     )
 
@@ -42,8 +50,7 @@ def _accumulate(history, start_date):
     so_far = Window.orderBy(F.col("date").asc_nulls_first()).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    per_date = _per_date(_per_subscription_and_date(history, start_date))
-    return per_date.select(
+    return per_date(_per_subscription_and_date(history, start_date)).select(
         "date",
         "new_subscriptions",
         "new_cancellations",
@@ -79,7 +86,8 @@ def _per_subscription_and_date(history, start_date):
     )
 
 
-def _per_date(states):
+def per_date(states: DataFrame) -> DataFrame:
+    """Flows and changes of the stocks per date, from all end-of-day states of some subscriptions."""
     by_date = Window.partitionBy("subscription_id").orderBy(F.col("date").asc_nulls_first())
     # rows without a subscription keep their date in the result but count for nothing
     known = F.col("subscription_id").isNotNull()

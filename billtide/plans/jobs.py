@@ -7,14 +7,15 @@ next job learns of changes from what was announced, not only from what was finis
 check rows, dates and marks. ``now`` stamps rows; no order is taken from it.
 """
 
-from pyspark.sql import DataFrame, SparkSession
+from datetime import date
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from billtide import schema
-from billtide.operators import dedup, incremental, quality, reconcile, state
-from billtide.operators.kpi import kpi_daily
+from billtide.operators import dedup, incremental, kpi, quality, reconcile, state, upkeep
 from billtide.session import staged, utc
-from billtide.sources import control, files, tables
+from billtide.sources import control, files, ids, pointers, tables
 from billtide.sources.tables import Lake
 
 SILVER = "subscription_events_silver"
@@ -62,26 +63,36 @@ def apply_to_silver(new_events: DataFrame, lake: Lake, now, rebuild: bool = Fals
             return None
         history = tables.read_history(spark, lake.history)
         dates = dedup.affected_dates(batch)
-        touched = _dates(dates.union(dedup.redelivered_dates(history, batch)))
+        touched = _dates(dates.union(_stored_dates(spark, lake, history, batch)))
         merged = dedup.merge_events(dedup.restrict_to_dates(history, touched), batch)
-        folder = tables.stage_history(merged, lake.history)
+        # counted while they are written, without a pass of their own
+        counted = Observation("merged")
+        folder = tables.stage_history(merged.observe(counted, F.count(F.lit(1)).alias("rows")), lake.history)
         made = tables.read_staged(spark, lake.history, folder)
+        summary = {"row_count_in": row_count, "row_count_out": _rows(counted), "affected_partitions": _listed(touched)}
         try:
-            _judge(spark, lake, SILVER, now, quality.check_history(made))
+            _judge(spark, lake, SILVER, now, quality.check_history(made), ("silver", "subscription_state_history", summary))
         except ValueError:
             files.delete(spark, f"{lake.history}/{folder}")
             raise
-        control.save_intent(
-            spark, lake.control, SILVER, committed_at=now, affected_start=min(touched, default=None)
-        )
+        # before the history, so that no event of it is ever unknown
+        ids.append_ids(dedup.arrived_versions(made, batch), lake.ids)
+        changes = {"affected_start": min(touched, default=None), "affected_dates": touched}
+        control.save_intent(spark, lake.control, SILVER, committed_at=now, **changes)
         tables.publish_history(spark, lake.history, folder, touched)
         checks = _renew_current(spark, lake, dedup.arrived_versions(made, batch), now, rebuild)
-    control.save_mark(
-        spark, lake.control, SILVER, mark, committed_at=now, affected_start=min(touched, default=None)
-    )
+    control.save_mark(spark, lake.control, SILVER, mark, committed_at=now, **changes)
     return {"mark": mark, "dates": touched, "checks": checks}
 
 
+def _stored_dates(spark, lake, history, batch):
+    """The event dates in force on which the history may hold events of the batch."""
+    if not ids.exists(spark, lake.ids):
+        ids.append_ids(history, lake.ids)
+    in_force = tables.history_dates(spark, lake.history)
+    return ids.dates_of(ids.read_ids(spark, lake.ids), batch).where(F.col("dt").cast("string").isin(in_force))
+
+
 def _renew_current(spark, lake, arrived, now, rebuild):
     """Makes the snapshot, checks it, compares the touched subscriptions with the history, publishes it."""
     history = tables.read_history(spark, lake.history)
@@ -117,31 +128,59 @@ def _renew_current(spark, lake, arrived, now, rebuild):
 def update_gold(spark: SparkSession, lake: Lake, now) -> dict | None:
     """Renews the KPI rows from the earliest date on that silver has changed, or begun to, since gold last ran.
 
+    Of the history only the dates that silver names are read: their end-of-day states are compared with the stored ones,
+    and what the changes amount to is added to the stored KPIs. States and KPIs go into force in one step, so a run that
+    is lost in between finds both as they were. Changes that silver has begun and not finished stay due.
     Returns None when there is nothing to do.
     """
     utc(spark)
     mark = control.load_mark(spark, lake.control, GOLD)
-    # read before the history: a change seen here is surely contained there, or announced again
-    silver = control.earliest_change(
+    # read before the history: a change seen here is contained there, or will be seen here again
+    silver = control.changes_since(
         spark, lake.control, SILVER, mark["upstream_sequence"] if mark else None
     )
     start = silver["affected_start"]
     if start is None:
         return None
-    history = tables.read_history(spark, lake.history)
-    with staged(kpi_daily(history, now, start), "kpis") as kpis:
-        dates = _dates(kpis.select("date"))
-        checks = []
+    in_force = tables.history_dates(spark, lake.history)
+    stored = tables.gold_dates(spark, lake.day_states)
+    due = {d.isoformat() for d in silver["affected_dates"]}
+    # rows that list no dates, and a table of states that isn't there yet, leave nothing to go by
+    unlisted = "" if not stored else silver["unlisted_start"].isoformat() if silver["unlisted_start"] else "~"
+    due = sorted(due | {d for d in {*in_force, *stored} if d >= unlisted})
+    if not due:
+        return None
+    folder = pointers.new_folder()
+    named = [date.fromisoformat(d) for d in due]
+    history = dedup.restrict_to_dates(tables.read_history(spark, lake.history), named)
+    counted = Observation("states")
+    states = kpi.day_states(history.observe(counted, F.count(F.lit(1)).alias("rows")))
+    tables.stage_gold(states, lake.day_states, folder)
+    made = tables.staged_gold_dates(spark, lake.day_states, folder)
+    kept = sorted(({*stored} - {*due}) | {*made})
+    renewed = upkeep.renewed_kpis(
+        tables.read_kpis(spark, lake.kpi), tables.read_day_states(spark, lake.day_states),
+        tables.read_staged_gold(spark, lake.day_states, folder, schema.DAY_STATE), named, kept, now,
+    )
+    tables.stage_gold(renewed, lake.kpi, folder)
+    kpis = tables.read_staged_gold(spark, lake.kpi, folder, schema.KPI)
+    dates = _dates(kpis.select("date"))
+    checks = []
+    try:
         if dates:
             current = tables.read_current(spark, lake.current)
             checks = _judge(
                 spark, lake, GOLD, now,
                 quality.check_kpis(kpis).unionByName(reconcile.check_kpi_vs_current(kpis, current)),
+                ("gold", "kpi_daily", {
+                    "row_count_in": _rows(counted), "row_count_out": len(dates), "affected_partitions": _listed(dates)
+                }),
             )
-            tables.overwrite_kpis(kpis, lake.kpi)
-    made = {d.isoformat() for d in dates}
-    stored = files.partition_dates(spark, lake.kpi)
-    tables.drop_dates(spark, lake.kpi, [d for d in stored if d >= start.isoformat() and d not in made])
+    except ValueError:
+        files.delete(spark, f"{lake.gold}/{folder}")
+        raise
+    old = [d for d in tables.gold_dates(spark, lake.kpi) if d >= due[0]]
+    tables.publish_gold(spark, folder, {lake.day_states: due, lake.kpi: old})
     control.save_mark(
         spark, lake.control, GOLD, silver["mark"], committed_at=now, affected_start=start,
         upstream_sequence=silver["sequence"],
@@ -160,13 +199,32 @@ def reconcile_all(spark: SparkSession, lake: Lake, now) -> list:
     )
 
 
-def _judge(spark, lake, job, now, checks):
-    """Runs checks and keeps their rows, also of those that fail; raises if any did."""
+def _judge(spark, lake, job, now, checks, summary=None):
+    """Runs checks and keeps their rows, also of those that fail; raises if any did.
+
+    ``summary`` (layer, dataset, values) becomes a row ``run_summary``: rows in and out, dates touched, checks failed.
+    """
     results = checks.select(*schema.CHECK.fieldNames()).collect()
-    tables.append_checks(spark, results, lake.checks, job, now)
+    kept = list(results)
+    if summary:
+        layer, dataset, values = summary
+        failed = sum(not r["passed"] for r in results)
+        details = {k: str(v) for k, v in values.items()} | {"failed_checks": str(failed)}
+        kept.append((layer, dataset, "run_summary", not failed, failed, details))
+    tables.append_checks(spark, kept, lake.checks, job, now)
     return quality.judged(results)
 
 
+def _rows(counted):
+    """Rows that were observed; none where nothing had to be run."""
+    return counted.get.get("rows", 0)
+
+
+def _listed(dates):
+    """Dates as text: all of them, one per calendar day."""
+    return ",".join(str(d) for d in dates)
+
+
 def _dates(df):
     """The distinct dates of a one-column frame, sorted: at most one entry per calendar day."""
     return sorted(r[0] for r in df.distinct().collect() if r[0] is not None)

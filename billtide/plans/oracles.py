@@ -144,7 +144,8 @@ CTES = {
     WHERE k = 1""",
     "steps": """
     SELECT *, lag(event_id) OVER w AS previous_event_id, lag(status) OVER w AS previous_status,
-        lag(plan_id) OVER w AS previous_plan_id, lag(price) OVER w AS previous_price
+        lag(plan_id) OVER w AS previous_plan_id, lag(price) OVER w AS previous_price,
+        lag(billing_cycle) OVER w AS previous_billing_cycle
     FROM history
     WINDOW w AS (PARTITION BY subscription_id ORDER BY event_time, ingested_at, event_id)""",
 }
@@ -408,6 +409,13 @@ ALL_HISTORY = with_tables(
 ALL_KPIS = with_tables(["kpi"], f"SELECT {KPI_SHOWN} FROM kpi")
 ALL_CURRENT = with_tables(["current"], f"SELECT {CURRENT_SHOWN} FROM current")
 
+# dates that the second run of the jobs opens again, the rows on them afterwards, and the KPI rows made anew
+REOPENED = """(SELECT CAST(event_time AS DATE) AS dt FROM batch UNION
+    SELECT CAST(event_time AS DATE) FROM stored WHERE event_id IN (SELECT event_id FROM batch))"""
+IN_REOPENED = f"(SELECT count(*) FROM history WHERE CAST(event_time AS DATE) IN {REOPENED})"
+RENEWED = f"""(SELECT count(DISTINCT CAST(event_time AS DATE)) FROM history
+    WHERE CAST(event_time AS DATE) >= (SELECT min(dt) FROM {REOPENED} r))"""
+
 ORACLES = {
     "subscription_events": with_tables(["bronze"], f"SELECT {EVENT_TEXT} FROM bronze"),
     "bronze_json_roundtrip": with_tables(
@@ -505,6 +513,7 @@ ORACLES = {
         f"SELECT {day('date')}, active_subscriptions, CAST(mrr AS DOUBLE) AS mrr FROM stock",
     ),
     "kpi_daily": ALL_KPIS,
+    "kpi_by_differences": ALL_KPIS,
     "kpi_daily_incremental": KPI_FROM_START,
     "latest_kpi": with_tables(
         ["kpi"], f"SELECT {KPI_SHOWN} FROM kpi WHERE date = (SELECT max(date) FROM kpi)"
@@ -626,18 +635,20 @@ ORACLES = {
         ["steps", "catalog", "statuses"],
         """SELECT * FROM (
             SELECT t.event_id, t.subscription_id, t.event_type, t.previous_plan_id, t.plan_id,
-                e.plan_id AS expected_plan_id, CAST(t.price AS DOUBLE) AS price,
-                CAST(CASE WHEN t.event_type IN ('subscription_upgraded', 'subscription_downgraded')
-                    THEN e.price ELSE t.previous_price END AS DOUBLE) AS expected_price,
+                CASE WHEN moves THEN e.plan_id ELSE t.previous_plan_id END AS expected_plan_id,
+                CAST(t.price AS DOUBLE) AS price,
+                CAST(CASE WHEN moves THEN e.price ELSE t.previous_price END AS DOUBLE) AS expected_price,
+                t.billing_cycle,
+                CASE WHEN moves THEN e.billing_cycle ELSE t.previous_billing_cycle END AS expected_billing_cycle,
                 t.status, s.expected_status
-            FROM steps t JOIN catalog p ON p.plan_id = t.previous_plan_id
-            JOIN catalog e ON e.tier = CASE t.event_type
-                WHEN 'subscription_upgraded' THEN least(p.tier + 1, 2)
-                WHEN 'subscription_downgraded' THEN greatest(p.tier - 1, 0) ELSE p.tier END
+            FROM (SELECT *, event_type IN ('subscription_upgraded', 'subscription_downgraded') AS moves FROM steps) t
+            LEFT JOIN catalog p ON p.plan_id = t.previous_plan_id
+            LEFT JOIN catalog e ON p.tier IS NOT NULL AND e.tier = CASE t.event_type
+                WHEN 'subscription_upgraded' THEN least(p.tier + 1, 2) ELSE greatest(p.tier - 1, 0) END
             LEFT JOIN statuses s ON s.event_type = t.event_type
             WHERE t.previous_event_id IS NOT NULL)
-        WHERE plan_id <> expected_plan_id OR price <> expected_price
-            OR status <> expected_status""",
+        WHERE plan_id IS DISTINCT FROM expected_plan_id OR price IS DISTINCT FROM expected_price
+            OR billing_cycle IS DISTINCT FROM expected_billing_cycle OR status IS DISTINCT FROM expected_status""",
     ),
     "out_of_order_events": with_tables(
         ["history"],
@@ -652,6 +663,26 @@ ORACLES = {
     ),
     "jobs_kpi_daily": with_tables(["kpi"], f"SELECT {KPI_SHOWN}, {day('date', 'dt')} FROM kpi"),
     "jobs_replay": with_tables(["kpi"], f"SELECT {KPI_SHOWN}, {day('date', 'dt')} FROM kpi"),
+    "jobs_checks": with_tables(
+        ["bronze", "stored", "batch", "history"],
+        f"""SELECT job, run, layer, dataset, true AS passed, 0 AS violation_count, row_count_in, row_count_out,
+            affected_partitions FROM (
+        SELECT 'subscription_events_silver' AS job, 0 AS run, 'silver' AS layer,
+            'subscription_state_history' AS dataset,
+            (SELECT count(*) FROM bronze WHERE ingested_at <= {MARK}) AS row_count_in,
+            (SELECT count(*) FROM stored) AS row_count_out,
+            (SELECT count(DISTINCT CAST(event_time AS DATE)) FROM bronze WHERE ingested_at <= {MARK})
+                AS affected_partitions
+        UNION ALL
+        SELECT 'subscription_events_silver', 1, 'silver', 'subscription_state_history',
+            (SELECT count(*) FROM batch), {IN_REOPENED}, (SELECT count(*) FROM {REOPENED} r)
+        UNION ALL
+        SELECT 'kpi_daily_gold', 0, 'gold', 'kpi_daily', (SELECT count(*) FROM stored),
+            (SELECT count(DISTINCT CAST(event_time AS DATE)) FROM stored),
+            (SELECT count(DISTINCT CAST(event_time AS DATE)) FROM stored)
+        UNION ALL
+        SELECT 'kpi_daily_gold', 1, 'gold', 'kpi_daily', {IN_REOPENED}, {RENEWED}, {RENEWED})""",
+    ),
     "jobs_current_state": ALL_CURRENT,
     "stream_history": ALL_HISTORY,
 }

@@ -13,10 +13,10 @@ from pyspark.sql import types as T
 from billtide import schema
 from billtide.functions.ordering import sort_columns
 from billtide.functions.times import event_date, iso_text, parsed_or_null
-from billtide.operators import audit, dedup, incremental, kpi, quality, reconcile, state
+from billtide.operators import audit, dedup, incremental, kpi, quality, reconcile, state, upkeep
 from billtide.plans import jobs
 from billtide.session import fresh_dir, utc, written
-from billtide.sources import adapter, control, files, tables
+from billtide.sources import adapter, control, files, ids, tables
 from billtide.streaming import runs
 
 MARK = "2024-01-20 00:00:00"
@@ -166,7 +166,7 @@ def history_partition_overwrite(spark, sf):
 
 def kpi_partition_overwrite(spark, sf):
     """KPIs as of the mark, then the dates from the earliest change on overwritten, read back."""
-    path = fresh_dir(spark, "kpi")
+    path = f"{fresh_dir(spark, 'gold')}/table=kpi_daily"
     stored, batch = written(stored_before(spark, sf), "history"), increment(spark, sf)
     tables.overwrite_kpis(kpi.kpi_daily(stored, SNAPSHOT), path)
     named = dedup.affected_dates(batch).union(dedup.redelivered_dates(stored, batch))
@@ -175,6 +175,18 @@ def kpi_partition_overwrite(spark, sf):
     return _without_stamp(tables.read_kpis(spark, path))
 
 
+def kpi_by_differences(spark, sf):
+    """The KPIs as of the mark, brought up to date by what the increment changes in the end-of-day states."""
+    before, after, batch = written(stored_before(spark, sf), "history"), written_history(spark, sf), increment(spark, sf)
+    named = dedup.affected_dates(batch).union(dedup.redelivered_dates(before, batch))
+    dates = sorted(r.dt for r in named.distinct().collect())
+    stored, states = kpi.kpi_daily(before, SNAPSHOT), written(kpi.day_states(before), "states")
+    made = kpi.day_states(dedup.restrict_to_dates(after, dates))
+    kept = sorted(r.date for r in after.select(event_date().alias("date")).where("date IS NOT NULL").distinct().collect())
+    renewed = upkeep.renewed_kpis(stored, states, made, dates, kept, SNAPSHOT)
+    return _without_stamp(stored.where(F.col("date") < F.lit(dates[0])).unionByName(renewed))
+
+
 def watermark_roundtrip(spark, sf):
     path = fresh_dir(spark, "control")
     at_mark = incremental.next_mark(before_mark(spark, sf)).first()[0]
@@ -217,7 +229,10 @@ def history_affected_scan(spark, sf):
 
 
 def redelivered_dates(spark, sf):
-    return dedup.redelivered_dates(stored_before(spark, sf), increment(spark, sf))
+    """The dates of the history at the mark that hold events of the increment, by the table of ids."""
+    path = fresh_dir(spark, "ids")
+    ids.append_ids(stored_before(spark, sf).select("event_id", event_date().alias("dt")), path)
+    return ids.dates_of(ids.read_ids(spark, path), increment(spark, sf))
 
 
 def affected_partitions(spark, sf):
@@ -354,7 +369,7 @@ def jobs_replay(spark, sf):
         named = dedup.affected_dates(batch).union(dedup.redelivered_dates(history, batch))
         dates = sorted(r.dt for r in named.distinct().collect())
         control.save_intent(
-            spark, lake.control, jobs.SILVER, committed_at=RUN, affected_start=dates[0]
+            spark, lake.control, jobs.SILVER, committed_at=RUN, affected_start=dates[0], affected_dates=dates
         )
         merged = dedup.merge_events(dedup.restrict_to_dates(history, dates), batch)
         tables.overwrite_history(merged, lake.history, dates)
@@ -368,6 +383,22 @@ def jobs_replay(spark, sf):
     return _without_stamp(tables.read_kpis(spark, lake.kpi))
 
 
+def jobs_checks(spark, sf):
+    """What the checks of two runs have left: verdicts, rows in and out and the number of dates touched."""
+
+    def run(lake, step):
+        now = RUN + timedelta(hours=step)
+        jobs.update_silver(spark, lake, now)
+        jobs.update_gold(spark, lake, now)
+
+    lake = _two_runs(spark, sf, run)
+    count = lambda key: F.col("details")[key].cast("bigint").alias(key)
+    dates = F.size(F.split(F.col("details")["affected_partitions"], ",")).cast("bigint").alias("affected_partitions")
+    kept = tables.read_checks(spark, lake.checks).where("check_name = 'run_summary'")
+    run = F.hour("run_time").cast("bigint").alias("run")
+    return kept.select("job", run, "layer", "dataset", "passed", "violation_count", count("row_count_in"), count("row_count_out"), dates)
+
+
 def jobs_current_state(spark, sf):
     """The stored snapshot after two runs, the second one advancing it from the batch."""
 
@@ -428,6 +459,7 @@ QUERIES = {
     "kpi_daily_incremental": lambda spark, sf: _without_stamp(
         kpis_from_start(written_history(spark, sf))
     ),
+    "kpi_by_differences": kpi_by_differences,
     "latest_kpi": lambda spark, sf: _without_stamp(kpi.latest_kpi(kpis(spark, sf))),
     # reconciliation and checks
     "recon_current_vs_history": recon_current_vs_history,
@@ -483,6 +515,7 @@ QUERIES = {
     # jobs and streams
     "jobs_kpi_daily": jobs_kpi_daily,
     "jobs_replay": jobs_replay,
+    "jobs_checks": jobs_checks,
     "jobs_current_state": jobs_current_state,
     "stream_history": stream_history,
 }

@@ -141,6 +141,18 @@ KPI = T.StructType(
     ]
 )
 
+# end-of-day states, one per subscription and date
+DAY_STATE = T.StructType(
+    [
+        T.StructField("subscription_id", T.StringType()),
+        T.StructField("date", T.DateType()),
+        T.StructField("active", T.BooleanType()),
+        T.StructField("price", MONEY),
+        T.StructField("created", T.BooleanType()),
+        T.StructField("cancelled", T.BooleanType()),
+    ]
+)
+
 CONTROL = T.StructType(
     [
         T.StructField("pipeline", T.StringType()),
@@ -148,6 +160,7 @@ CONTROL = T.StructType(
         T.StructField("kind", T.StringType()),
         T.StructField("last_processed_ingested_at", T.TimestampType()),
         T.StructField("affected_start", T.DateType()),
+        T.StructField("affected_dates", T.ArrayType(T.DateType())),
         T.StructField("upstream_sequence", T.LongType()),
         T.StructField("committed_at", T.TimestampType()),
     ]

@@ -40,12 +40,15 @@ def save_intent(spark: SparkSession, path: str, pipeline: str, **more) -> None:
     _append(spark, path, pipeline, INTENT, None, **more)
 
 
-def _append(spark, path, pipeline, kind, mark, committed_at, affected_start=None, upstream_sequence=None):
+def _append(
+    spark, path, pipeline, kind, mark, committed_at, affected_start=None, affected_dates=None, upstream_sequence=None
+):
     own = read_or_empty(spark, path, schema.CONTROL).where(F.col("pipeline") == pipeline)
     sequence = (own.agg(F.max("sequence")).first()[0] or 0) + 1
     values = {
         "pipeline": F.lit(pipeline), "sequence": F.lit(sequence), "kind": F.lit(kind),
         "last_processed_ingested_at": moment(mark), "affected_start": F.lit(affected_start),
+        "affected_dates": F.lit(None) if affected_dates is None else F.array(*map(F.lit, affected_dates)),
         "upstream_sequence": F.lit(upstream_sequence), "committed_at": moment(committed_at),
     }
     row = spark.range(1).select(
@@ -54,13 +57,19 @@ def _append(spark, path, pipeline, kind, mark, committed_at, affected_start=None
     row.coalesce(1).write.mode("append").parquet(path)
 
 
-def earliest_change(spark: SparkSession, path: str, upstream: str, since: int | None):
-    """What ``upstream`` began or committed after number ``since``: the earliest event date it touched, its
-    mark in microseconds and its last number."""
+def changes_since(spark: SparkSession, path: str, upstream: str, since: int | None):
+    """What ``upstream`` began or committed after number ``since``: the earliest event date, the dates it listed, the
+    earliest date of rows that list none, the mark in microseconds and the number of the last commit.
+
+    What was begun and not committed comes again until it is: at the time of reading, it may be done or not.
+    """
     rows = read_or_empty(spark, path, schema.CONTROL).where(F.col("pipeline") == upstream)
+    commit = F.when(F.col("kind") == COMMIT, F.col("sequence"))
+    new = F.col("sequence") > F.lit(since or 0)
     return rows.agg(
-        F.min(F.when(F.col("sequence") > F.lit(since or 0), F.col("affected_start"))).alias("affected_start"),
-        F.unix_micros(F.max_by("last_processed_ingested_at", F.when(F.col("kind") == COMMIT, F.col("sequence"))))
-        .alias("mark"),
-        F.max("sequence").alias("sequence"),
+        F.min(F.when(new, F.col("affected_start"))).alias("affected_start"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.when(new, F.col("affected_dates")))))).alias("affected_dates"),
+        F.min(F.when(new & F.col("affected_dates").isNull(), F.col("affected_start"))).alias("unlisted_start"),
+        F.unix_micros(F.max_by("last_processed_ingested_at", commit)).alias("mark"),
+        F.max(commit).alias("sequence"),
     ).first()

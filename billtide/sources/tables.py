@@ -37,9 +37,21 @@ class Lake:
     def current(self):
         return f"{self.root}/silver/subscription_state_current"
 
+    @property
+    def gold(self):
+        return f"{self.root}/gold/tables"
+
     @property
     def kpi(self):
-        return f"{self.root}/gold/kpi_daily"
+        return f"{self.gold}/table=kpi_daily"
+
+    @property
+    def day_states(self):
+        return f"{self.gold}/table=day_states"
+
+    @property
+    def ids(self):
+        return f"{self.root}/silver/event_ids"
 
     @property
     def checks(self):
@@ -118,6 +130,11 @@ def read_history(spark: SparkSession, path: str) -> DataFrame:
     return _published(spark, path, pointers.in_force(spark, path)).drop("publish")
 
 
+def history_dates(spark: SparkSession, path: str) -> list[str]:
+    """The event dates in force."""
+    return sorted(part.rsplit("dt=", 1)[1] for part in pointers.in_force(spark, path))
+
+
 def _published(spark, path, in_force):
     columns = T.StructType([*schema.EVENT, PARTITION])
     if not in_force:
@@ -161,12 +178,6 @@ def overwrite_history(history: DataFrame, path: str, touched=()) -> None:
     publish_history(history.sparkSession, path, stage_history(history, path), touched)
 
 
-def drop_dates(spark: SparkSession, path: str, dates) -> None:
-    """Removes whole ``dt=`` folders: an overwrite by date cannot empty one."""
-    for date in dates:
-        files.delete(spark, f"{path}/dt={date}")
-
-
 def stored_order_violations(spark: SparkSession, path: str) -> DataFrame:
     """One row: stored rows that come before the row they should follow in their file.
 
@@ -232,20 +243,63 @@ def read_checks(spark: SparkSession, path: str) -> DataFrame:
     return read_or_empty(spark, path, T.StructType([*stamp, *schema.CHECK]))
 
 
-# ---- KPIs ----
+# ---- gold: KPIs and end-of-day states, put in force together ----
+
+
+def gold_dates(spark: SparkSession, path: str) -> dict[str, str]:
+    """Date -> folder of one gold table, given by its path below the common folder: ``.../table=name``."""
+    base, table = path.rsplit("/", 1)
+    in_force = pointers.in_force(spark, base)
+    return {part.rsplit("dt=", 1)[1]: folder for part, folder in in_force.items() if part.startswith(f"{table}/")}
+
+
+def _read_gold(spark, path, columns, folders):
+    base, table = path.rsplit("/", 1)
+    if not folders:
+        return spark.createDataFrame([], T.StructType([*columns, PARTITION]))
+    paths = [f"{base}/{folder}/{table}/dt={date}" for date, folder in sorted(folders.items())]
+    rows = spark.read.schema(T.StructType([*columns, PARTITION])).option("basePath", base).parquet(*paths)
+    return rows.drop("publish", "table")
 
 
 def read_kpis(spark: SparkSession, path: str) -> DataFrame:
-    return read_or_empty(spark, path, T.StructType([*schema.KPI, PARTITION]))
+    return _read_gold(spark, path, schema.KPI, gold_dates(spark, path))
 
 
-def overwrite_kpis(kpis: DataFrame, path: str) -> None:
-    """Replaces the KPI rows of the dates in ``kpis``: one row and one file per date."""
-    (
-        kpis.withColumn("dt", F.col("date"))
-        .repartition("dt")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("dt")
-        .parquet(path)
-    )
+def read_day_states(spark: SparkSession, path: str) -> DataFrame:
+    """The stored states; ``date`` is the partition's, so a filter on it opens no other date's files."""
+    rows = _read_gold(spark, path, schema.DAY_STATE, gold_dates(spark, path))
+    return rows.withColumn("date", F.col("dt")).drop("dt")
+
+
+def stage_gold(rows: DataFrame, path: str, folder: str) -> None:
+    """Writes rows of a gold table by their ``date`` beside what is in force."""
+    base, table = path.rsplit("/", 1)
+    dated = rows.withColumn("dt", F.col("date")).hint("rebalance", "dt")
+    dated.write.partitionBy("dt").parquet(f"{base}/{folder}/{table}")
+
+
+def read_staged_gold(spark: SparkSession, path: str, folder: str, columns: T.StructType) -> DataFrame:
+    return _read_gold(spark, path, columns, {d: folder for d in staged_gold_dates(spark, path, folder)}).drop("dt")
+
+
+def staged_gold_dates(spark: SparkSession, path: str, folder: str) -> list[str]:
+    base, table = path.rsplit("/", 1)
+    return files.partition_dates(spark, f"{base}/{folder}/{table}")
+
+
+def publish_gold(spark: SparkSession, folder: str, gone: dict[str, list]) -> None:
+    """Puts what is staged of all gold tables in force in one step; ``gone`` has the dates that each path loses."""
+    folders = {}
+    for path, dates in gone.items():
+        base, table = path.rsplit("/", 1)
+        made = staged_gold_dates(spark, path, folder)
+        folders |= {f"{table}/dt={d}": None for d in dates} | {f"{table}/dt={d}": folder for d in made}
+    pointers.publish(spark, base, folders)
+
+
+def overwrite_kpis(kpis: DataFrame, path: str, gone=()) -> None:
+    """Replaces the KPI rows of the dates in ``kpis`` and takes those of ``gone`` away, in one step."""
+    folder = pointers.new_folder()
+    stage_gold(kpis, path, folder)
+    publish_gold(kpis.sparkSession, folder, {path: list(gone)})

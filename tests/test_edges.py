@@ -198,9 +198,18 @@ def test_plan_steps(table):
         event("b3", "b", "renewed", "03-03 10:00", plan_id="pro_monthly", price=Decimal("99.99")),
         event("c1", "c", "created", "03-01 10:00"),
         event("c2", "c", "renewed", "03-02 10:00", status="cancelled"),
+        event("d1", "d", "created", "03-01 10:00"),
+        event("d2", "d", "renewed", "03-02 10:00", billing_cycle="yearly"),
+        event("d3", "d", "renewed", "03-03 10:00", billing_cycle="yearly"),
+        event("e1", "e", "created", "03-01 10:00", plan_id="gold"),
+        event("e2", "e", "renewed", "03-02 10:00", plan_id="gold"),
+        event("e3", "e", "upgraded", "03-03 10:00", plan_id="pro_monthly"),
+        event("f1", "f", "created", "03-01 10:00"),
+        event("f2", "f", "upgraded", "03-02 10:00", plan_id="pro_monthly", billing_cycle="yearly"),
     )
-    found = sorted(r["event_id"] for r in audit.plan_step_mismatches(history).collect())
-    assert found == ["b2", "b3", "c2"]
+    found = {r["event_id"]: r for r in audit.plan_step_mismatches(history).collect()}
+    assert sorted(found) == ["b2", "b3", "c2", "d2", "e3", "f2"]
+    assert found["e3"]["expected_plan_id"] is None and found["f2"]["expected_billing_cycle"] == "monthly"
 
 
 def test_empty_tables_reconcile_unchecked(spark, table):
@@ -290,5 +299,5 @@ def test_parse_landing_is_strict(spark, table):
     text = table(*BASE).selectExpr(*[f"CAST({c} AS STRING) AS {c}" for c in schema.EVENT_COLUMNS])
     assert tables.parse_landing(text).schema == schema.EVENT
     broken = text.withColumn("event_time", F.lit("soon"))
-    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+    with pytest.raises(Exception, match="USER_RAISED_EXCEPTION"):
         tables.parse_landing(broken).collect()

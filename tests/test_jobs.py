@@ -1,11 +1,12 @@
 """The jobs end to end: late data, replays, moved events, failures, restarts."""
 
+from contextlib import suppress
 from datetime import timedelta
 
 import pytest
 
 from billtide import schema
-from billtide.operators import kpi, state
+from billtide.operators import dedup, kpi, state, upkeep
 from billtide.plans import jobs
 from billtide.plans.queries import as_text
 from billtide.sources import control, files, pointers, tables
@@ -58,6 +59,9 @@ def consistent(spark, lake):
     kept = tables.read_current(spark, lake.current).drop("snapshot_time")
     assert full.exceptAll(kept).isEmpty() and kept.exceptAll(full).isEmpty()
     assert kpi_rows(tables.read_kpis(spark, lake.kpi)) == kpi_rows(kpi.kpi_daily(history, NOW))
+    states = tables.read_day_states(spark, lake.day_states).select(*upkeep.STATE)
+    made = kpi.day_states(history).select(*upkeep.STATE)
+    assert states.exceptAll(made).isEmpty() and made.exceptAll(states).isEmpty()
     assert tables.stored_order_violations(spark, lake.history).first()[0] == 0
 
 
@@ -67,7 +71,7 @@ def test_late_event(spark, lake, step):
     assert before[2] == [
         ("03-01", 1, 0, 1, "9.99"), ("03-02", 1, 0, 2, "19.98"), ("03-03", 0, 1, 1, "9.99"),
     ]
-    first_day = files.matching(spark, lake.kpi, "dt=2024-03-01/*.parquet")
+    first_day = tables.gold_dates(spark, lake.kpi)["2024-03-01"]
     silver, gold = step(*LATE)
     assert [str(d) for d in silver["dates"]] == ["2024-03-02"]
     assert [str(d) for d in gold["dates"]] == ["2024-03-02", "2024-03-03"]
@@ -77,7 +81,7 @@ def test_late_event(spark, lake, step):
     assert kpis == [
         ("03-01", 1, 0, 1, "9.99"), ("03-02", 1, 0, 1, "9.99"), ("03-03", 0, 1, 1, "9.99"),
     ]
-    assert files.matching(spark, lake.kpi, "dt=2024-03-01/*.parquet") == first_day
+    assert tables.gold_dates(spark, lake.kpi)["2024-03-01"] == first_day
     consistent(spark, lake)
 
 
@@ -122,7 +126,8 @@ def test_event_moved_to_a_later_date(spark, lake, step):
     ]
     # the emptied date is gone from both tables
     assert "dt=2024-03-03" not in pointers.in_force(spark, lake.history)
-    assert "2024-03-03" not in files.partition_dates(spark, lake.kpi)
+    assert "2024-03-03" not in tables.gold_dates(spark, lake.kpi)
+    assert "2024-03-03" not in tables.gold_dates(spark, lake.day_states)
     consistent(spark, lake)
 
 
@@ -203,7 +208,9 @@ STEPS = [
     ("tables", "publish_history", True),
     ("tables", "publish_current", True),
     ("control", "save_mark", False),
-    ("tables", "overwrite_kpis", True),
+    ("tables", "stage_gold", True),
+    ("tables", "publish_gold", False),
+    ("tables", "publish_gold", True),
 ]
 
 
@@ -233,6 +240,80 @@ def test_a_job_that_died_is_repeated(spark, lake, step, monkeypatch, module, nam
     ]
 
 
+@pytest.mark.parametrize(("module", "name", "after"), STEPS[:5])
+def test_gold_between_a_lost_silver_run_and_its_repeat(spark, lake, step, monkeypatch, module, name, after):
+    """Gold may run on what a lost run has begun, before or after any of its steps; nothing is forgotten for it."""
+    step(*FIRST)
+    call = getattr(getattr(jobs, module), name)
+
+    def die(*args, **kwargs):
+        if after:
+            call(*args, **kwargs)
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(getattr(jobs, module), name, die)
+        with pytest.raises(RuntimeError):
+            step(*MOVED)
+    # where the new history stands beside the old snapshot, gold refuses to go on
+    with suppress(ValueError):
+        jobs.update_gold(spark, lake, NOW + timedelta(days=1))
+    step()
+    consistent(spark, lake)
+
+
+def test_gold_between_announcement_and_publication(spark, lake, step, monkeypatch):
+    """Silver says that an event moves, gold runs, silver publishes and is lost, and only then is repeated."""
+    step(*FIRST)
+    publish = tables.publish_history
+
+    def gold_first(*args, **kwargs):
+        jobs.update_gold(spark, lake, NOW + timedelta(days=1))
+        publish(*args, **kwargs)
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(tables, "publish_history", gold_first)
+        with pytest.raises(RuntimeError):
+            step(event("b", "s1", "cancelled", "03-05 09:00", "03-05 09:01"))
+    step()
+    consistent(spark, lake)
+
+
+def test_gold_reads_only_the_named_dates(spark, lake, step, monkeypatch):
+    step(*FIRST)
+    step(event("y", "s7", "created", "03-07 09:00", "03-07 09:01"))
+    plans = []
+    make = kpi.day_states
+
+    def watched(history):
+        plans.append(history._jdf.queryExecution().executedPlan().toString())
+        return make(history)
+
+    monkeypatch.setattr(kpi, "day_states", watched)
+    step(*LATE)
+    assert len(plans) == 1 and "PartitionFilters: [isnotnull(dt" in plans[0] and "2024-03-02" in plans[0]
+    monkeypatch.undo()
+    consistent(spark, lake)
+
+
+def test_states_that_are_gone_are_made_anew(spark, lake, step):
+    step(*FIRST)
+    pointers.publish(spark, lake.gold, {f"table=day_states/dt={d}": None for d in tables.gold_dates(spark, lake.day_states)})
+    step(event("y", "s7", "created", "03-07 09:00", "03-07 09:01"))
+    consistent(spark, lake)
+
+
+def test_changes_that_list_no_dates_count_from_their_start_on(spark, table, lake, step):
+    step(*FIRST)
+    history = tables.read_history(spark, lake.history)
+    moved = dedup.merge_events(history, table(event("b", "s1", "cancelled", "03-01 20:00", "03-05 09:01")))
+    tables.overwrite_history(moved, lake.history, ["2024-03-03"])
+    control.save_mark(spark, lake.control, jobs.SILVER, at("03-05 09:01"), committed_at=NOW, affected_start=at("03-01 00:00").date())
+    jobs.update_gold(spark, lake, NOW)
+    assert kpi_rows(tables.read_kpis(spark, lake.kpi)) == kpi_rows(kpi.kpi_daily(moved, NOW))
+
+
 def test_no_order_is_taken_from_the_clock(spark, table, lake, step):
     step(*FIRST)
     for row in MOVED:
@@ -252,6 +333,17 @@ def test_checks_are_kept_also_of_failed_runs(spark, table, lake, step):
     assert all(r.passed for r in jobs.reconcile_all(spark, lake, NOW))
 
 
+def test_a_run_says_how_much_it_has_done(spark, lake, step):
+    step(*FIRST, FIRST[0])
+    step(*LATE)
+    rows = tables.read_checks(spark, lake.checks).where("check_name = 'run_summary'").orderBy("run_time", "layer").collect()
+    assert [(r["layer"], r["details"]["row_count_in"], r["details"]["row_count_out"], r["details"]["affected_partitions"]) for r in rows] == [
+        ("gold", "3", "3", "2024-03-01,2024-03-02,2024-03-03"), ("silver", "4", "3", "2024-03-01,2024-03-02,2024-03-03"),
+        ("gold", "2", "2", "2024-03-02,2024-03-03"), ("silver", "1", "2", "2024-03-02"),
+    ]
+    assert all(r["passed"] and r["details"]["failed_checks"] == "0" for r in rows)
+
+
 def test_a_time_of_day_is_no_time(spark, table, lake):
     for wrong in ("12:30", "T12:30", "2024-03", "2024-03-05 10"):
         events = as_text(table(*FIRST)).selectExpr(

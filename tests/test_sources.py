@@ -125,14 +125,18 @@ def test_marks_are_kept_per_pipeline(spark, tmp_path):
     assert control.load_mark(spark, path, "b")["last_processed_ingested_at"] == first
     assert control.load_mark(spark, path, "c") is None
     assert control.read_marks(spark, path).count() == 2
-    assert control.earliest_change(spark, path, "a", 1)["affected_start"] == date(2024, 2, 1)
-    assert control.earliest_change(spark, path, "a", 2)["affected_start"] is None
+    assert control.changes_since(spark, path, "a", 1)["affected_start"] == date(2024, 2, 1)
+    assert control.changes_since(spark, path, "a", 1)["unlisted_start"] == date(2024, 2, 1)
+    assert control.changes_since(spark, path, "a", 2)["affected_start"] is None
     # an earlier clock does not hide a commit, an intent is no mark but a change
     control.save_mark(spark, path, "a", first, committed_at=first - timedelta(days=9))
-    control.save_intent(spark, path, "a", committed_at=first, affected_start=date(2024, 1, 1))
+    days = [date(2024, 1, 1), date(2024, 1, 5)]
+    control.save_intent(spark, path, "a", committed_at=first, affected_start=days[0], affected_dates=days)
     assert control.load_mark(spark, path, "a")["last_processed_ingested_at"] == first
-    found = control.earliest_change(spark, path, "a", 3)
-    assert (found["affected_start"], found["sequence"]) == (date(2024, 1, 1), 4)
+    found = control.changes_since(spark, path, "a", 3)
+    # it stays due until it is committed: the number to go on from is that of the last commit
+    assert (found["affected_start"], found["affected_dates"], found["unlisted_start"]) == (days[0], days, None)
+    assert found["sequence"] == 3
 
 
 def test_marks_do_not_pass_through_local_time(spark, tmp_path, monkeypatch):
