@@ -158,8 +158,10 @@ def update_gold(spark: SparkSession, lake: Lake, now) -> dict | None:
     tables.stage_gold(states, lake.day_states, folder)
     made = tables.staged_gold_dates(spark, lake.day_states, folder)
     kept = sorted(({*stored} - {*due}) | {*made})
+    kpis = tables.read_kpis(spark, lake.kpi)
     renewed = upkeep.renewed_kpis(
-        tables.read_kpis(spark, lake.kpi), tables.read_day_states(spark, lake.day_states),
+        # without the states that they were made from, stored KPIs are no base for differences
+        kpis if stored else kpis.limit(0), tables.read_day_states(spark, lake.day_states),
         tables.read_staged_gold(spark, lake.day_states, folder, schema.DAY_STATE), named, kept, now,
     )
     tables.stage_gold(renewed, lake.kpi, folder)
@@ -179,7 +181,7 @@ def update_gold(spark: SparkSession, lake: Lake, now) -> dict | None:
     except ValueError:
         files.delete(spark, f"{lake.gold}/{folder}")
         raise
-    old = [d for d in tables.gold_dates(spark, lake.kpi) if d >= due[0]]
+    old = [d for d in tables.gold_dates(spark, lake.kpi) if d >= due[0] or not stored]
     tables.publish_gold(spark, folder, {lake.day_states: due, lake.kpi: old})
     control.save_mark(
         spark, lake.control, GOLD, silver["mark"], committed_at=now, affected_start=start,

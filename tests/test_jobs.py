@@ -291,7 +291,7 @@ def test_gold_reads_only_the_named_dates(spark, lake, step, monkeypatch):
         return make(history)
 
     monkeypatch.setattr(kpi, "day_states", watched)
-    step(*LATE)
+    step(event("d", "s1", "payment_failed", "03-02 08:00", "03-08 00:00"))
     assert len(plans) == 1 and "PartitionFilters: [isnotnull(dt" in plans[0] and "2024-03-02" in plans[0]
     monkeypatch.undo()
     consistent(spark, lake)
