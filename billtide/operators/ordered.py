@@ -55,3 +55,19 @@ def with_max_before(chunked: DataFrame, keys: list[str], order: list[str], value
         .withColumn("max_before", F.greatest("max_before", "carried"))
         .drop("carried")
     )
+
+
+def with_last(df: DataFrame, key: str, order: list[str], value: str, chunks: int | None = None) -> DataFrame:
+    """Adds ``last``, the last ``value`` that is not null of the key's rows up to and with this one."""
+    cut = in_chunks(df, [key, *order], chunks)
+    place = F.when(F.col(value).isNotNull(), F.struct(*order))
+    ends = cut.groupBy(key, "chunk").agg(F.max_by(value, place).alias("end"))
+    earlier = Window.partitionBy(key).orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.select(key, "chunk", F.last("end", ignorenulls=True).over(earlier).alias("carried"))
+    so_far = Window.partitionBy(key, "chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    return (
+        cut.withColumn("last", F.last(value, ignorenulls=True).over(so_far))
+        .join(carried.where("carried IS NOT NULL"), [key, "chunk"], "left")
+        .withColumn("last", F.coalesce("last", "carried"))
+        .drop("chunk", "carried")
+    )

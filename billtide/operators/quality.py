@@ -8,7 +8,7 @@ rows themselves come from the listing functions, which stay distributed.
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from billtide import schema
@@ -16,17 +16,22 @@ from billtide.functions.catalog import with_catalog, with_expected_status
 from billtide.functions.times import parsed_or_null
 
 MISSING = "-1"
+OFFENDERS = 10
+# characters of an offending value that are shown
+SHOWN = 200
 
 
 @dataclass(frozen=True)
 class Check:
     """``counts`` are named SQL aggregates. ``violations`` names those that add up to the violation
-    count, by default all. The check passes when that is zero and every count in ``needed`` is not."""
+    count, by default all. The check passes when that is zero and every count in ``needed`` is not.
+    ``offending`` is SQL for what is wrong with a row, as text, and null for a row that is right."""
 
     name: str
     counts: dict[str, str]
     violations: tuple[str, ...] | None = None
     needed: tuple[str, ...] = ()
+    offending: str | None = None
 
 
 # ---- single checks ----
@@ -50,7 +55,8 @@ def non_null(df: DataFrame, columns) -> Check:
 def datetime_parseable(df: DataFrame, columns) -> Check:
     """Every value is a time; null counts as bad."""
     counts = {f"invalid_{c}": _count(df, [c], f"{parsed_or_null(c)} IS NULL") for c in columns}
-    return Check("datetime_parseable", counts)
+    wrong = [_text(df, [c], f"{parsed_or_null(c)} IS NULL", c) for c in columns]
+    return Check("datetime_parseable", counts, offending=f"coalesce({', '.join([*wrong, 'NULL'])})")
 
 
 def allowed_values(df: DataFrame, column, allowed) -> Check:
@@ -58,6 +64,7 @@ def allowed_values(df: DataFrame, column, allowed) -> Check:
     return Check(
         f"{column}_allowed_values",
         {"invalid_rows": _count(df, [column], _outside(column, allowed))},
+        offending=_text(df, [column], _outside(column, allowed), column),
     )
 
 
@@ -76,7 +83,8 @@ def non_negative(df: DataFrame, column, name=None) -> Check:
         "not_numeric": _count(df, [column], f"{column} IS NOT NULL AND {number} IS NULL"),
         "negative": _count(df, [column], f"{number} < 0"),
     }
-    return Check(name or f"{column}_non_negative", counts)
+    wrong = f"{column} IS NOT NULL AND {number} IS NULL OR {number} < 0"
+    return Check(name or f"{column}_non_negative", counts, offending=_text(df, [column], wrong, column))
 
 
 def finite_or_null(column: str) -> str:
@@ -92,7 +100,8 @@ def schema_version_expected(df: DataFrame) -> Check:
         "expected_rows": _count(df, ["schema_version"], f"schema_version = {expected}"),
         "other_rows": _count(df, ["schema_version"], f"schema_version <> {expected}"),
     }
-    return Check("schema_version_expected", counts, ("other_rows",), ("expected_rows",))
+    other = _text(df, ["schema_version"], f"schema_version <> {expected}", "schema_version")
+    return Check("schema_version_expected", counts, ("other_rows",), ("expected_rows",), other)
 
 
 def plan_in_catalog(df: DataFrame) -> Check:
@@ -100,6 +109,7 @@ def plan_in_catalog(df: DataFrame) -> Check:
     return Check(
         "plan_id_exists_in_catalog",
         {"invalid_rows": _count(df, ["plan_id"], _outside("plan_id", known))},
+        offending=_text(df, ["plan_id"], _outside("plan_id", known), "plan_id"),
     )
 
 
@@ -107,16 +117,18 @@ def plan_attributes_match(df: DataFrame) -> Check:
     """Price and cycle equal the catalog's; null is a mismatch, an unknown plan is skipped."""
     needs = ["plan_id", "price", "billing_cycle"]
     return Check(
-        "plan_attributes_match_catalog", {"invalid_rows": _count(df, needs, ATTRIBUTES_DIFFER)}
-    )
+        "plan_attributes_match_catalog", {"invalid_rows": _count(df, needs, ATTRIBUTES_DIFFER)},
+        offending=_text(df, needs, ATTRIBUTES_DIFFER, *needs),
+    )
 
 
 def status_matches_event_type(df: DataFrame) -> Check:
     """The status is the one the event type leads to; null is a mismatch, unknown types pass."""
+    needs = ["event_type", "status"]
     return Check(
-        "event_type_status_consistency",
-        {"invalid_rows": _count(df, ["event_type", "status"], STATUS_DIFFERS)},
-    )
+        "event_type_status_consistency", {"invalid_rows": _count(df, needs, STATUS_DIFFERS)},
+        offending=_text(df, needs, STATUS_DIFFERS, *needs),
+    )
 
 
 # needs ``with_catalog``; prices are compared as numbers whatever type the table keeps them in
@@ -132,6 +144,14 @@ def _count(df, needs, condition):
     return f"count_if({condition})" if set(needs) <= set(df.columns) else MISSING
 
 
+def _text(df, needs, condition, *columns):
+    """The columns of a row that is wrong as text joined by slashes, a missing one as ``-``."""
+    if not set(needs) <= set(df.columns):
+        return None
+    parts = ", ".join(f"coalesce(CAST({c} AS STRING), '-')" for c in columns)
+    return f"if({condition}, left(concat_ws('/', {parts}), {SHOWN}), NULL)"
+
+
 def _outside(column, allowed):
     return f"{column} NOT IN ({', '.join(repr(v) for v in allowed)})"
 
@@ -166,14 +186,55 @@ def run_checks(df: DataFrame, checks: list[Check], layer: str, dataset: str) ->
     )
 
 
+def offenders(df: DataFrame, checks: list[Check], limit: int = OFFENDERS) -> DataFrame:
+    """(check_name, value): the first few distinct offending values of each check, in order.
+
+    Equal values are counted down to one and ranks beyond the limit dropped by each task before a shuffle, so
+    however many there are, a check's task sees a few from each.
+    """
+    found = ", ".join(
+        f"if(({c.offending}) IS NULL, NULL, named_struct('check_name', '{c.name}', 'value', {c.offending}))"
+        for c in checks
+        if c.offending
+    )
+    values = df.selectExpr(f"inline(array_compact(array({found})))").distinct()
+    rank = F.row_number().over(Window.partitionBy("check_name").orderBy("value"))
+    return values.withColumn("_rank", rank).where(F.col("_rank") <= limit).drop("_rank")
+
+
+def with_offenders(results: DataFrame, found: DataFrame) -> DataFrame:
+    """Check rows whose details also hold their ``offenders``, sorted and joined by commas."""
+    listed = found.groupBy("check_name").agg(
+        F.array_join(F.array_sort(F.collect_list("value")), ",").alias("_offenders")
+    )
+    details = "if(_offenders IS NULL, details, map_concat(details, map('offenders', _offenders)))"
+    joined = results.join(listed, "check_name", "left").withColumn("details", F.expr(details))
+    return joined.select(*results.columns)
+
+
+def event_offenders(events: DataFrame) -> DataFrame:
+    """What ``check_events`` counts, by value."""
+    return offenders(_looked_up(events), event_checks(events))
+
+
+def history_offenders(history: DataFrame) -> DataFrame:
+    """What ``check_history`` counts, by value; event ids that occur twice are in ``duplicate_keys``."""
+    return offenders(history, history_checks(history))
+
+
 def check_events(events: DataFrame) -> DataFrame:
     """The contract of incoming events, parsed or still as text."""
-    looked_up = events
+    return run_checks(_looked_up(events), event_checks(events), "bronze", "subscription_events")
+
+
+def _looked_up(events):
     if "plan_id" in events.columns:
-        looked_up = with_catalog(looked_up)
-    if "event_type" in events.columns:
-        looked_up = with_expected_status(looked_up)
-    checks = [
+        events = with_catalog(events)
+    return with_expected_status(events) if "event_type" in events.columns else events
+
+
+def event_checks(events: DataFrame) -> list[Check]:
+    return [
         not_empty(),
         required_columns(events, schema.EVENT_COLUMNS),
         non_null(events, schema.EVENT_COLUMNS),
@@ -190,12 +251,17 @@ def check_events(events: DataFrame) -> DataFrame:
         plan_attributes_match(events),
         status_matches_event_type(events),
     ]
-    return run_checks(looked_up, checks, "bronze", "subscription_events")
 
 
 def check_history(history: DataFrame) -> DataFrame:
     layer, dataset = "silver", "subscription_state_history"
-    checks = [
+    return run_checks(history, history_checks(history), layer, dataset).unionByName(
+        key_unique(history, ["event_id"], "event_id_unique", layer, dataset)
+    )
+
+
+def history_checks(history: DataFrame) -> list[Check]:
+    return [
         not_empty(),
         required_columns(history, schema.HISTORY_COLUMNS),
         non_null(history, schema.HISTORY_COLUMNS),
@@ -203,9 +269,12 @@ def check_history(history: DataFrame) -> DataFrame:
         allowed_values(history, "status", schema.STATUSES),
         not_after(history, "event_time", "ingested_at"),
     ]
-    return run_checks(history, checks, layer, dataset).unionByName(
-        key_unique(history, ["event_id"], "event_id_unique", layer, dataset)
-    )
+
+
+def check_stored_order(out_of_place: DataFrame) -> DataFrame:
+    """The check of the order in which history files hold their rows, from their count of those out of place."""
+    check = Check("sorted_by_event_order", {"out_of_place": "sum(out_of_place)"})
+    return run_checks(out_of_place, [check], "silver", "subscription_state_history")
 
 
 def check_current(current: DataFrame) -> DataFrame:

@@ -5,8 +5,11 @@ from pyspark.sql import functions as F
 
 from billtide import schema
 from billtide.functions.ordering import EVENT_ORDER
+from billtide.operators import digest
+from billtide.session import cut_lineage, written
 
 SAMPLE_ROWS = 10
+MATCHES_HISTORY = "current_matches_latest_history"
 
 
 def expected_current(history: DataFrame) -> DataFrame:
@@ -32,13 +35,17 @@ def compare_current(current: DataFrame, history: DataFrame) -> DataFrame:
     compared column differs, null counting as different. Equal rows of the snapshot are counted
     into ``copies`` before the join.
     """
+    return _compare(current, expected_current(history))
+
+
+def _compare(current, expected):
     compared = list(schema.CURRENT_FROM_HISTORY)
     ours = (
         current.groupBy("subscription_id", *compared)
         .agg(F.count(F.lit(1)).alias("copies"))
         .withColumn("_current", F.lit(True))
     )
-    theirs = expected_current(history).withColumn("_history", F.lit(True))
+    theirs = expected.withColumn("_history", F.lit(True))
     same = F.lit(True)
     for ours_column, source in schema.CURRENT_FROM_HISTORY.items():
         same = same & F.coalesce(F.col(ours_column) == F.col(f"expected_{source}"), F.lit(False))
@@ -58,12 +65,46 @@ def compare_current(current: DataFrame, history: DataFrame) -> DataFrame:
 
 def current_vs_history(current: DataFrame, history: DataFrame) -> DataFrame:
     """One row: missing in current, missing in history, mismatched."""
+    return _counts(compare_current(current, history))
+
+
+def current_vs_history_by_digests(current: DataFrame, history: DataFrame) -> DataFrame:
+    """The same row, for tables that are expected to agree.
+
+    Digests of buckets of subscriptions are compared first and only the rows of buckets that differ are joined.
+    The last events of the history are written once, because both steps read them.
+    """
+    expected = written(expected_current(history), "expected")
+    wrong = cut_lineage(unequal_buckets(current, expected))
+    if wrong.isEmpty():
+        return _counts(_compare(current.limit(0), expected.limit(0)))
+    key = "subscription_id"
+    return _counts(_compare(digest.within(current, key, wrong), digest.within(expected, key, wrong)))
+
+
+def unequal_buckets(current: DataFrame, expected: DataFrame) -> DataFrame:
+    """The buckets of subscriptions in which the snapshot and ``expected_current`` differ."""
+    ours, key = list(schema.CURRENT_FROM_HISTORY), "subscription_id"
+    # hashes depend on types
+    theirs = expected.select(
+        key,
+        *[
+            F.col(f"expected_{source}").cast(current.schema[name].dataType).alias(name)
+            for name, source in schema.CURRENT_FROM_HISTORY.items()
+        ],
+    )
+    return digest.differing_buckets(
+        digest.bucket_digests(current, key, ours, 1), digest.bucket_digests(theirs, key, ours, 2)
+    )
+
+
+def _counts(compared):
     copies = F.col("copies")
 
     def counted(condition):
         return F.coalesce(F.sum(F.when(condition, copies)), F.lit(0))
 
-    return compare_current(current, history).agg(
+    return compared.agg(
         counted(F.col("origin") == "history_only").alias("missing_in_current"),
         counted(F.col("origin") == "current_only").alias("missing_in_history"),
         counted(F.col("mismatch")).alias("mismatched"),
@@ -79,12 +120,19 @@ def mismatch_sample(current: DataFrame, history: DataFrame, rows=SAMPLE_ROWS) ->
     return compared.select("subscription_id", *shown).orderBy("subscription_id", *shown).limit(rows)
 
 
-def check_current_vs_history(current: DataFrame, history: DataFrame) -> DataFrame:
-    counts = current_vs_history(current, history)
+def differing_subscriptions(current: DataFrame, history: DataFrame, rows=SAMPLE_ROWS) -> DataFrame:
+    """(check_name, value): the first few subscriptions that are missing on a side or mismatched, by id."""
+    wrong = compare_current(current, history).where("mismatch OR origin <> 'both'")
+    first = wrong.select("subscription_id").distinct().orderBy("subscription_id").limit(rows)
+    return first.select(F.lit(MATCHES_HISTORY).alias("check_name"), F.col("subscription_id").alias("value"))
+
+
+def check_current_vs_history(current: DataFrame, history: DataFrame, by_digests: bool = False) -> DataFrame:
+    counts = (current_vs_history_by_digests if by_digests else current_vs_history)(current, history)
     names = counts.columns
     total = sum((F.col(c) for c in names), F.lit(0).cast("bigint"))
     return _check_row(
-        counts, "silver", "subscription_state_current", "current_matches_latest_history",
+        counts, "silver", "subscription_state_current", MATCHES_HISTORY,
         total == 0, total, {c: F.col(c) for c in names},
     )
 

@@ -31,11 +31,27 @@ def ingest(events: DataFrame, lake: Lake, now) -> list:
     with staged(events, "landed") as landed:
         if landed.isEmpty():
             return []
-        results = _judge(spark, lake, "ingest", now, quality.check_events(landed))
+        results = _judge(
+            spark, lake, "ingest", now, quality.check_events(landed), offenders=quality.event_offenders(landed)
+        )
         tables.append_bronze(tables.parse_landing(landed), lake.bronze)
     return results
 
 
+def ingest_lines(lines: DataFrame, lake: Lake, now) -> list:
+    """``ingest`` of JSON lines (column ``value``) of which some may be broken: these are kept aside.
+
+    The rejected lines are stored first, also when the others fail their checks; a batch that is repeated leaves
+    them once more. Returns the check rows.
+    """
+    utc(lines.sparkSession)
+    with staged(tables.split_lines(lines), "lines") as split:
+        rejected = split.where("rejected IS NOT NULL").selectExpr("rejected AS line")
+        if not rejected.isEmpty():
+            tables.append_rejects(rejected, lake.rejects, now)
+        return ingest(split.where("rejected IS NULL").select("event.*"), lake, now)
+
+
 def update_silver(spark: SparkSession, lake: Lake, now, from_start: bool = False) -> dict | None:
     """Processes the bronze rows that are newer than the silver mark.
 
@@ -71,7 +87,11 @@ def apply_to_silver(new_events: DataFrame, lake: Lake, now, rebuild: bool = Fals
         made = tables.read_staged(spark, lake.history, folder)
         summary = {"row_count_in": row_count, "row_count_out": _rows(counted), "affected_partitions": _listed(touched)}
         try:
-            _judge(spark, lake, SILVER, now, quality.check_history(made), ("silver", "subscription_state_history", summary))
+            in_order = quality.check_stored_order(tables.stored_order_violations(spark, lake.history, folder))
+            _judge(
+                spark, lake, SILVER, now, quality.check_history(made).unionByName(in_order),
+                ("silver", "subscription_state_history", summary), quality.history_offenders(made),
+            )
         except ValueError:
             files.delete(spark, f"{lake.history}/{folder}")
             raise
@@ -109,14 +129,11 @@ def _renew_current(spark, lake, arrived, now, rebuild):
         made = spark.read.schema(schema.STORED_CURRENT).parquet(f"{lake.current}/{folder}")
         touched = arrived.select("subscription_id").union(state.withdrawn(old, arrived)).distinct()
         try:
+            both = [t.join(touched, "subscription_id", "left_semi") for t in (made, history)]
             results = _judge(
                 spark, lake, SILVER, now,
-                quality.check_current(made).unionByName(
-                    reconcile.check_current_vs_history(
-                        made.join(touched, "subscription_id", "left_semi"),
-                        history.join(touched, "subscription_id", "left_semi"),
-                    )
-                ),
+                quality.check_current(made).unionByName(reconcile.check_current_vs_history(*both)),
+                offenders=reconcile.differing_subscriptions(*both),
             )
         except ValueError:
             files.delete(spark, f"{lake.current}/{folder}")
@@ -191,22 +208,27 @@ def update_gold(spark: SparkSession, lake: Lake, now) -> dict | None:
 
 
 def reconcile_all(spark: SparkSession, lake: Lake, now) -> list:
-    """Compares the whole snapshot with the whole history, and looks for event ids that occur twice."""
+    """Compares the whole snapshot with the whole history by digests, and looks for event ids that occur twice."""
     utc(spark)
     history, current = tables.read_history(spark, lake.history), tables.read_current(spark, lake.current)
     checks = quality.check_history(history).unionByName(quality.check_current(current))
     return _judge(
         spark, lake, "reconcile", now,
-        checks.unionByName(reconcile.check_current_vs_history(current, history)),
+        checks.unionByName(reconcile.check_current_vs_history(current, history, by_digests=True)),
+        offenders=reconcile.differing_subscriptions(current, history),
     )
 
 
-def _judge(spark, lake, job, now, checks, summary=None):
+def _judge(spark, lake, job, now, checks, summary=None, offenders=None):
     """Runs checks and keeps their rows, also of those that fail; raises if any did.
 
     ``summary`` (layer, dataset, values) becomes a row ``run_summary``: rows in and out, dates touched, checks failed.
+    ``offenders`` are looked for only when a check has failed, and join its details.
     """
     results = checks.select(*schema.CHECK.fieldNames()).collect()
+    if offenders is not None and any(not r["passed"] for r in results):
+        found = spark.createDataFrame(offenders.collect(), "check_name string, value string")
+        results = quality.with_offenders(spark.createDataFrame(results, schema.CHECK), found).collect()
     kept = list(results)
     if summary:
         layer, dataset, values = summary

@@ -295,6 +295,49 @@ def history_checks(table):
     ]
 
 
+def offending(table, check_name, where, *columns):
+    """(check_name, value) of the rows that a check counts."""
+    text = " || '/' || ".join(f"coalesce(CAST({c} AS VARCHAR), '-')" for c in columns)
+    return f"SELECT '{check_name}' AS check_name, left({text}, 200) AS value FROM {table} d WHERE {where}"
+
+
+def event_offenders(table):
+    looked_up = f"(SELECT d.*, c.price AS listed, c.billing_cycle AS cycle, s.expected_status FROM {table} d " \
+        "LEFT JOIN catalog c USING (plan_id) LEFT JOIN statuses s USING (event_type))"
+    price = as_number("price")
+    return [
+        offending(table, "datetime_parseable", f"{as_time('event_time')} IS NULL", "event_time"),
+        *[
+            offending(table, f"{c}_allowed_values", f"{c} NOT IN ({quoted(allowed)})", c)
+            for c, allowed in DOMAINS.items()
+            if c != "schema_version"
+        ],
+        offending(table, "schema_version_expected", "schema_version <> '1.0'", "schema_version"),
+        offending(table, "price_non_negative", f"price IS NOT NULL AND {price} IS NULL OR {price} < 0", "price"),
+        offending(looked_up, "plan_id_exists_in_catalog", "listed IS NULL", "plan_id"),
+        offending(
+            looked_up, "plan_attributes_match_catalog",
+            """listed IS NOT NULL AND (try_cast(price AS DOUBLE) IS DISTINCT FROM CAST(listed AS DOUBLE)
+            OR billing_cycle IS DISTINCT FROM cycle)""",
+            "plan_id", "price", "billing_cycle",
+        ),
+        offending(
+            looked_up, "event_type_status_consistency",
+            "expected_status IS NOT NULL AND status IS DISTINCT FROM expected_status", "event_type", "status",
+        ),
+    ]
+
+
+def with_first_values(checks, values):
+    """Check rows beside the first ten of their offending values."""
+    return f"""SELECT layer, dataset, c.check_name, passed, violation_count, offenders
+        FROM ({union(checks)}) c LEFT JOIN (
+            SELECT check_name, string_agg(value, ',' ORDER BY value) AS offenders FROM (
+                SELECT *, row_number() OVER (PARTITION BY check_name ORDER BY value) AS k
+                FROM (SELECT DISTINCT * FROM ({union(values)})))
+            WHERE k <= 10 GROUP BY 1) o ON o.check_name = c.check_name"""
+
+
 def union(selects):
     return "\nUNION ALL\n".join(selects)
 
@@ -416,6 +459,23 @@ IN_REOPENED = f"(SELECT count(*) FROM history WHERE CAST(event_time AS DATE) IN
 RENEWED = f"""(SELECT count(DISTINCT CAST(event_time AS DATE)) FROM history
     WHERE CAST(event_time AS DATE) >= (SELECT min(dt) FROM {REOPENED} r))"""
 
+RECONCILED = with_tables(
+    ["current", "state", "tampered", "dirty_state"],
+    union(
+        [
+            reconciled("current", "state", "true"),
+            reconciled("tampered", "state", "tampered"),
+            reconciled(
+                """(SELECT subscription_id, plan_id AS current_plan_id,
+                billing_cycle AS current_billing_cycle, price AS current_price,
+                status AS current_status, event_type AS last_event_type,
+                event_time AS last_event_time FROM dirty_state)""",
+                "dirty_state", "dirty",
+            ),
+        ]
+    ),
+)
+
 ORACLES = {
     "subscription_events": with_tables(["bronze"], f"SELECT {EVENT_TEXT} FROM bronze"),
     "bronze_json_roundtrip": with_tables(
@@ -431,6 +491,28 @@ ORACLES = {
     ),
     "history_partition_overwrite": ALL_HISTORY,
     "history_stored_order": "SELECT 0 AS out_of_place",
+    "order_in_files": with_tables(
+        ["history"],
+        check(
+            "silver", "subscription_state_history", "sorted_by_event_order",
+            """(SELECT count(*) FROM (SELECT event_time, ingested_at, event_id,
+                lag((event_time, ingested_at, event_id)) OVER (
+                    PARTITION BY CAST(event_time AS DATE), CAST(substr(event_id, 5) AS BIGINT) % 8
+                    ORDER BY event_id) AS before FROM history)
+            WHERE before > (event_time, ingested_at, event_id))""",
+        ),
+    ),
+    "ingest_good_lines": with_tables(
+        ["numbered_bronze"],
+        f"""SELECT {EVENT_TEXT}, {day('ingested_at', 'dt')} FROM numbered_bronze
+        WHERE n % 83 <> 0 AND n % 89 <> 0""",
+    ),
+    "ingest_rejects": with_tables(
+        ["numbered_bronze"],
+        """SELECT CASE WHEN n % 83 = 0 THEN '{"event_id":"' || event_id || '"'
+            ELSE 'no json: ' || event_id END AS line, count(*) AS row_count FROM numbered_bronze
+        WHERE n % 83 = 0 OR n % 89 = 0 GROUP BY 1""",
+    ),
     "kpi_partition_overwrite": with_tables(
         ["kpi"], f"SELECT {KPI_SHOWN}, {day('date', 'dt')} FROM kpi"
     ),
@@ -494,6 +576,14 @@ ORACLES = {
         f"""SELECT {day('date')}, subscription_id, status, plan_id, CAST(price AS DOUBLE) AS price,
         event_id AS last_event_id FROM as_of""",
     ),
+    "state_at_times": with_tables(
+        ["bronze", "history"],
+        f"""SELECT b.event_id AS ask_id, b.subscription_id, strftime(b.ingested_at, {ISO}) AS asked_at,
+            h.status, h.plan_id, CAST(h.price AS DOUBLE) AS price, h.event_id AS last_event_id
+        FROM bronze b ASOF LEFT JOIN (SELECT *, row_number() OVER (PARTITION BY subscription_id, event_time
+                ORDER BY ingested_at DESC, event_id DESC) AS k FROM history QUALIFY k = 1) h
+            ON b.subscription_id = h.subscription_id AND b.ingested_at >= h.event_time""",
+    ),
     "state_intervals": with_tables(
         ["history"],
         f"""SELECT subscription_id, {day('date', 'valid_from')},
@@ -518,22 +608,8 @@ ORACLES = {
     "latest_kpi": with_tables(
         ["kpi"], f"SELECT {KPI_SHOWN} FROM kpi WHERE date = (SELECT max(date) FROM kpi)"
     ),
-    "recon_current_vs_history": with_tables(
-        ["current", "state", "tampered", "dirty_state"],
-        union(
-            [
-                reconciled("current", "state", "true"),
-                reconciled("tampered", "state", "tampered"),
-                reconciled(
-                    """(SELECT subscription_id, plan_id AS current_plan_id,
-                    billing_cycle AS current_billing_cycle, price AS current_price,
-                    status AS current_status, event_type AS last_event_type,
-                    event_time AS last_event_time FROM dirty_state)""",
-                    "dirty_state", "dirty",
-                ),
-            ]
-        ),
-    ),
+    "recon_current_vs_history": RECONCILED,
+    "recon_by_digests": RECONCILED,
     "recon_kpi_vs_current": with_tables(
         ["kpi", "current", "tampered"],
         union([kpi_beside(("true", "current")), kpi_beside(("tampered", "tampered"))]),
@@ -554,6 +630,21 @@ ORACLES = {
     "dq_history_summary": with_tables(["dirty_history"], union(history_checks("dirty_history"))),
     "dq_current_summary": with_tables(["tampered", "state"], union(current_checks("tampered"))),
     "dq_kpi_summary": with_tables(["kpi", "tampered"], union(kpi_checks("tampered"))),
+    "dq_bronze_details": with_tables(
+        ["dirty", "catalog", "statuses"], with_first_values(event_checks("dirty"), event_offenders("dirty"))
+    ),
+    "dq_current_details": with_tables(
+        ["tampered", "state"],
+        with_first_values(
+            current_checks("tampered")[-1:],
+            [
+                f"""SELECT 'current_matches_latest_history' AS check_name,
+                coalesce(c.subscription_id, s.subscription_id) AS value
+                FROM tampered c FULL JOIN state s ON c.subscription_id = s.subscription_id
+                WHERE c.subscription_id IS NULL OR s.subscription_id IS NULL OR NOT ({SAME})"""
+            ],
+        ),
+    ),
     "dq_verdict": with_tables(
         ["dirty", "history"],
         f"""SELECT layer, dataset, bool_and(passed) AS passed, count(*) AS check_count,

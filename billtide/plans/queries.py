@@ -13,10 +13,10 @@ from pyspark.sql import types as T
 from billtide import schema
 from billtide.functions.ordering import sort_columns
 from billtide.functions.times import event_date, iso_text, parsed_or_null
-from billtide.operators import audit, dedup, incremental, kpi, quality, reconcile, state, upkeep
+from billtide.operators import asof, audit, dedup, incremental, kpi, quality, reconcile, state, upkeep
 from billtide.plans import jobs
 from billtide.session import fresh_dir, utc, written
-from billtide.sources import adapter, control, files, ids, tables
+from billtide.sources import adapter, control, file_order, files, ids, tables
 from billtide.streaming import runs
 
 MARK = "2024-01-20 00:00:00"
@@ -151,6 +151,46 @@ def history_stored_order(spark, sf):
     return tables.stored_order_violations(spark, path)
 
 
+FILE_PARTS = 8
+
+
+def order_in_files(spark, sf):
+    """The check of the order on files that are sorted by event id instead: one file per date and part."""
+    path = fresh_dir(spark, "history")
+    part = f"CAST(substring(event_id, 5) AS BIGINT) % {FILE_PARTS} AS part"
+    dated = history(spark, sf).selectExpr("*", "to_date(event_time) AS dt", part).repartition("dt", "part")
+    dated.sortWithinPartitions("dt", "part", "event_id").write.partitionBy("dt", "part").parquet(path)
+    return _check_rows(quality.check_stored_order(file_order.out_of_place(spark.read.parquet(path))))
+
+
+def _with_broken_lines(spark, sf):
+    """Events as JSON lines; some are cut off, some no JSON at all."""
+    n = "CAST(substring(event_id, 5) AS BIGINT)"
+    return as_text(bronze(spark, sf)).selectExpr(
+        f"""CASE WHEN {n} % 83 = 0 THEN concat('{{"event_id":"', event_id, '"')
+            WHEN {n} % 89 = 0 THEN concat('no json: ', event_id)
+            ELSE to_json(struct(*)) END AS value"""
+    )
+
+
+def _ingested_lines(spark, sf):
+    landing, lake = fresh_dir(spark, "landing"), tables.Lake(fresh_dir(spark, "lake"))
+    _with_broken_lines(spark, sf).write.text(landing)
+    jobs.ingest_lines(spark.read.text(landing), lake, RUN)
+    return lake
+
+
+def ingest_good_lines(spark, sf):
+    """Bronze after an ingest of lines of which some are broken."""
+    return tables.read_bronze(spark, _ingested_lines(spark, sf).bronze)
+
+
+def ingest_rejects(spark, sf):
+    """What that ingest has put aside."""
+    rejects = tables.read_rejects(spark, _ingested_lines(spark, sf).rejects)
+    return rejects.groupBy("line").agg(F.count(F.lit(1)).alias("row_count"))
+
+
 def history_partition_overwrite(spark, sf):
     """A stored history, then a merge that rewrites only the touched dates, read back whole."""
     path = fresh_dir(spark, "history")
@@ -225,7 +265,11 @@ def history_full(spark, sf):
 
 
 def history_affected_scan(spark, sf):
-    return dedup.restrict_to_affected(stored_before(spark, sf), increment(spark, sf))
+    """The stored event dates that the increment touches; the others are pruned while the query runs."""
+    path = fresh_dir(spark, "history")
+    tables.overwrite_history(stored_before(spark, sf), path)
+    stored = tables.read_history(spark, path)
+    return dedup.restrict_to_affected(stored, increment(spark, sf)).select(*schema.EVENT_COLUMNS, "dt")
 
 
 def redelivered_dates(spark, sf):
@@ -244,6 +288,12 @@ def state_as_of(spark, sf):
     return state.state_as_of(events, events.select(event_date().alias("date")))
 
 
+def state_at_times(spark, sf):
+    """The state of its subscription at the moment each delivery arrived."""
+    asks = bronze(spark, sf).selectExpr("event_id AS ask_id", "subscription_id", "ingested_at AS asked_at")
+    return asof.state_at(history(spark, sf), asks)
+
+
 def refresh_current(spark, sf):
     """The snapshot at the mark, advanced by the events in the increment."""
     old = written(state.current_with_order(stored_before(spark, sf), SNAPSHOT), "current")
@@ -257,7 +307,7 @@ def refresh_current(spark, sf):
 # ---- checks ----
 
 
-def recon_current_vs_history(spark, sf):
+def recon_current_vs_history(spark, sf, compare=reconcile.current_vs_history):
     """The true snapshot, a tampered one, and one with null columns against their histories."""
     events, dirty = written_history(spark, sf), written(dirty_history(spark, sf), "dirty")
     true = state.current_state(events, SNAPSHOT)
@@ -268,7 +318,7 @@ def recon_current_vs_history(spark, sf):
     }
     result = None
     for name, (snapshot, source) in cases.items():
-        row = reconcile.current_vs_history(snapshot, source).withColumn("snapshot", F.lit(name))
+        row = compare(snapshot, source).withColumn("snapshot", F.lit(name))
         result = row if result is None else result.unionByName(row)
     return result
 
@@ -296,6 +346,26 @@ def _check_rows(checks):
     return checks.select("layer", "dataset", "check_name", "passed", "violation_count")
 
 
+def _with_values(checks):
+    return checks.selectExpr(
+        "layer", "dataset", "check_name", "passed", "violation_count", "details['offenders'] AS offenders"
+    )
+
+
+def dq_bronze_details(spark, sf):
+    """The checks of events with the first values that offend them."""
+    events = adapter.dirty_events(spark, sf)
+    return _with_values(quality.with_offenders(quality.check_events(events), quality.event_offenders(events)))
+
+
+def dq_current_details(spark, sf):
+    """The comparison of a tampered snapshot with the first subscriptions that differ."""
+    events = written_history(spark, sf)
+    snapshot = adapter.tampered_snapshot(state.current_state(events, SNAPSHOT))
+    checks = reconcile.check_current_vs_history(snapshot, events, by_digests=True)
+    return _with_values(quality.with_offenders(checks, reconcile.differing_subscriptions(snapshot, events)))
+
+
 def dq_current_summary(spark, sf):
     events = written_history(spark, sf)
     snapshot = adapter.tampered_snapshot(state.current_state(events, SNAPSHOT))
@@ -430,6 +500,9 @@ QUERIES = {
     "bronze_append": bronze_append,
     "history_partition_overwrite": history_partition_overwrite,
     "history_stored_order": history_stored_order,
+    "order_in_files": order_in_files,
+    "ingest_good_lines": ingest_good_lines,
+    "ingest_rejects": ingest_rejects,
     "kpi_partition_overwrite": kpi_partition_overwrite,
     "watermark_roundtrip": watermark_roundtrip,
     # history and increments
@@ -451,6 +524,7 @@ QUERIES = {
     "current_state": lambda spark, sf: _without_stamp(current(spark, sf)),
     "refresh_current": refresh_current,
     "state_as_of": state_as_of,
+    "state_at_times": state_at_times,
     "state_intervals": lambda spark, sf: state.state_intervals(history(spark, sf)),
     # KPIs
     "kpi_flow_daily": lambda spark, sf: kpi.kpi_flow_daily(history(spark, sf)),
@@ -463,6 +537,9 @@ QUERIES = {
     "latest_kpi": lambda spark, sf: _without_stamp(kpi.latest_kpi(kpis(spark, sf))),
     # reconciliation and checks
     "recon_current_vs_history": recon_current_vs_history,
+    "recon_by_digests": lambda spark, sf: recon_current_vs_history(
+        spark, sf, reconcile.current_vs_history_by_digests
+    ),
     "recon_kpi_vs_current": recon_kpi_vs_current,
     "mismatch_sample": mismatch_sample,
     "dq_bronze_summary": lambda spark, sf: _check_rows(
@@ -473,6 +550,8 @@ QUERIES = {
     ),
     "dq_current_summary": dq_current_summary,
     "dq_kpi_summary": dq_kpi_summary,
+    "dq_bronze_details": dq_bronze_details,
+    "dq_current_details": dq_current_details,
     "dq_verdict": dq_verdict,
     "dq_null_counts": lambda spark, sf: quality.null_counts(
         adapter.dirty_events(spark, sf), schema.EVENT_COLUMNS

@@ -7,14 +7,14 @@ works.
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from billtide import schema
-from billtide.functions.ordering import EVENT_ORDER, sort_columns
+from billtide.functions.ordering import sort_columns
 from billtide.functions.times import ISO_MICROS, event_date, moment, parsed
-from billtide.sources import files, pointers
+from billtide.sources import file_order, files, pointers
 
 PARTITION = T.StructField("dt", T.DateType())
 
@@ -29,6 +29,10 @@ class Lake:
     def bronze(self):
         return f"{self.root}/bronze/subscription_events"
 
+    @property
+    def rejects(self):
+        return f"{self.root}/bronze/rejected_lines"
+
     @property
     def history(self):
         return f"{self.root}/silver/subscription_state_history"
@@ -95,6 +99,32 @@ def read_landing(spark: SparkSession, path: str) -> DataFrame:
     return read_or_empty(spark, path, schema.EVENT_TEXT, "json", mode="FAILFAST")
 
 
+def split_lines(lines: DataFrame) -> DataFrame:
+    """Landed lines (``value``) as ``event``, the record as text, and ``rejected``: the line where it is no JSON
+    object, else null. Blank lines are left out."""
+    columns = T.StructType([*schema.EVENT_TEXT, T.StructField("_corrupt_record", T.StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
+    read = lines.where("trim(value) <> ''").select(
+        F.col("value"), F.from_json("value", columns, options).alias("read")
+    )
+    # null, true, 1 and the like are JSON, but no events
+    bad = F.col("read").isNull() | F.col("read._corrupt_record").isNotNull() | ~F.ltrim("value").startswith("{")
+    return read.select(
+        F.struct(*[F.col(f"read.{c}").alias(c) for c in schema.EVENT_COLUMNS]).alias("event"),
+        F.when(bad, F.col("value")).alias("rejected"),
+    )
+
+
+def append_rejects(lines: DataFrame, path: str, now) -> None:
+    """Adds rejected lines (``line``) with the time of the run."""
+    lines.select("line", moment(now).alias("rejected_at")).write.mode("append").parquet(path)
+
+
+def read_rejects(spark: SparkSession, path: str) -> DataFrame:
+    columns = [T.StructField("line", T.StringType()), T.StructField("rejected_at", T.TimestampType())]
+    return read_or_empty(spark, path, T.StructType(columns))
+
+
 def parse_landing(events: DataFrame) -> DataFrame:
     """Checked text to typed columns; a value that does not parse raises."""
     return events.selectExpr(
@@ -178,25 +208,12 @@ def overwrite_history(history: DataFrame, path: str, touched=()) -> None:
     publish_history(history.sparkSession, path, stage_history(history, path), touched)
 
 
-def stored_order_violations(spark: SparkSession, path: str) -> DataFrame:
-    """One row: stored rows that come before the row they should follow in their file.
-
-    The position in the file comes from the Parquet reader, which numbers the rows it reads.
-    """
-    rows = _published(spark, path, pointers.in_force(spark, path))
-    if "publish" not in rows.columns:
-        return spark.sql("SELECT 0L AS out_of_place")
-    order = F.struct(*EVENT_ORDER)
-    # a file holds what one task wrote, so no window partition is larger than that
-    in_file = Window.partitionBy("file").orderBy("position")
-    placed = rows.select(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.row_index").alias("position"),
-        order.alias("place"),
-    )
-    return placed.withColumn("before", F.lag("place").over(in_file)).agg(
-        F.count_if(F.col("before") > F.col("place")).alias("out_of_place")
-    )
+def stored_order_violations(spark: SparkSession, path: str, folder: str | None = None) -> DataFrame:
+    """One row: stored rows that come before the row they should follow in their file, of what is in force or of
+    a staged folder."""
+    parts = staged_parts(spark, path, folder) if folder else pointers.in_force(spark, path)
+    rows = _published(spark, path, parts)
+    return file_order.out_of_place(rows) if parts else spark.sql("SELECT 0L AS out_of_place")
 
 
 # ---- current snapshot ----

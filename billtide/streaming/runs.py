@@ -16,12 +16,23 @@ from billtide.sources.tables import PARTITION, Lake
 
 
 def stream_ingest(
-    spark: SparkSession, landing: str, lake: Lake, checkpoint: str, now, files_per_batch: int | None = None
+    spark: SparkSession,
+    landing: str,
+    lake: Lake,
+    checkpoint: str,
+    now,
+    files_per_batch: int | None = None,
+    keep_rejects: bool = False,
 ) -> StreamingQuery:
     """Landed files to bronze; a batch that fails its checks stops the stream before it is written.
 
-    All files that are there are one batch; ``files_per_batch`` cuts it, for a first run on a long log.
+    All files that are there are one batch; ``files_per_batch`` cuts it, for a first run on a long log. A broken
+    line stops the stream too, unless ``keep_rejects`` puts it aside.
     """
+    if keep_rejects:
+        reader = utc(spark).readStream
+        lines = (reader.option("maxFilesPerTrigger", files_per_batch) if files_per_batch else reader).text(landing)
+        return _run(lines, lambda batch, _: jobs.ingest_lines(batch, lake, now) and None, checkpoint)
     source = _lines(utc(spark), schema.EVENT_TEXT, files_per_batch).json(landing)
     return _run(source, lambda batch, _: jobs.ingest(batch, lake, now) and None, checkpoint)
 
