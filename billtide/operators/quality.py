@@ -10,6 +10,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from billtide import schema
 from billtide.functions.catalog import with_catalog, with_expected_status
@@ -17,6 +18,8 @@ from billtide.functions.times import parsed_or_null
 
 MISSING = "-1"
 OFFENDERS = 10
+# times between them have four digits for the year, and so are what their text says
+FIRST_TIME, LAST_TIME = "0001-01-02 00:00:00", "9999-12-30 00:00:00"
 # characters of an offending value that are shown
 SHOWN = 200
 
@@ -54,8 +57,8 @@ def non_null(df: DataFrame, columns) -> Check:
 
 def datetime_parseable(df: DataFrame, columns) -> Check:
     """Every value is a time; null counts as bad."""
-    counts = {f"invalid_{c}": _count(df, [c], f"{parsed_or_null(c)} IS NULL") for c in columns}
-    wrong = [_text(df, [c], f"{parsed_or_null(c)} IS NULL", c) for c in columns]
+    counts = {f"invalid_{c}": _count(df, [c], f"{_time(df, c)} IS NULL") for c in columns}
+    wrong = [_text(df, [c], f"{_time(df, c)} IS NULL", c) for c in columns]
     return Check("datetime_parseable", counts, offending=f"coalesce({', '.join([*wrong, 'NULL'])})")
 
 
@@ -70,7 +73,7 @@ def allowed_values(df: DataFrame, column, allowed) -> Check:
 
 def not_after(df: DataFrame, left, right, name=None) -> Check:
     """``left`` is no later than ``right`` wherever both are times."""
-    later = f"{parsed_or_null(left)} > {parsed_or_null(right)}"
+    later = f"{_time(df, left)} > {_time(df, right)}"
     return Check(
         name or f"{left}_le_{right}", {"failed_rows": _count(df, [left, right], later)}
     )
@@ -140,6 +143,14 @@ ATTRIBUTES_DIFFER = """expected_price IS NOT NULL
 STATUS_DIFFERS = "expected_status IS NOT NULL AND NOT (status <=> expected_status)"
 
 
+def _time(df, column):
+    """``parsed_or_null``, without a look at the text of what is a time already."""
+    parsed = parsed_or_null(column)
+    if column not in df.columns or not isinstance(df.schema[column].dataType, T.TimestampType):
+        return parsed
+    return f"if({column} BETWEEN TIMESTAMP'{FIRST_TIME}' AND TIMESTAMP'{LAST_TIME}', {column}, {parsed})"
+
+
 def _count(df, needs, condition):
     return f"count_if({condition})" if set(needs) <= set(df.columns) else MISSING
 

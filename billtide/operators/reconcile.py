@@ -14,13 +14,14 @@ MATCHES_HISTORY = "current_matches_latest_history"
 
 def expected_current(history: DataFrame) -> DataFrame:
     """What the snapshot should say, by aggregating instead of ranking, so that the two forms check
-    each other. The last event travels inside the aggregate: one row per key and map task.
+    each other. The last event travels inside the aggregate: one row per key and map task. Rows are sorted for
+    it, by a hash of the key first.
     """
     compared = schema.CURRENT_FROM_HISTORY.values()
     row = F.struct(*EVENT_ORDER, *[c for c in compared if c not in EVENT_ORDER])
     return (
         history.where("subscription_id IS NOT NULL")
-        .groupBy("subscription_id")
+        .groupBy(F.xxhash64("subscription_id").alias("_hash"), "subscription_id")
         .agg(F.max(row).alias("last"))
         .select(
             "subscription_id", *[F.col(f"last.{c}").alias(f"expected_{c}") for c in compared]

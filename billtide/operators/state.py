@@ -7,7 +7,7 @@ from billtide import schema
 from billtide.functions.ordering import EVENT_ORDER
 from billtide.functions.times import event_date, moment
 from billtide.operators.dedup import last_per_key
-from billtide.session import cut_lineage
+from billtide.session import written
 
 STATE_COLUMNS = [
     "subscription_id",
@@ -77,14 +77,17 @@ def withdrawn(old: DataFrame, arrived: DataFrame) -> DataFrame:
 
 
 def refresh_current(
-    old: DataFrame, arrived: DataFrame, history: DataFrame, snapshot_time
+    old: DataFrame, arrived: DataFrame, history: DataFrame, snapshot_time, undecided: DataFrame | None = None
 ) -> DataFrame:
     """The snapshot (with order) brought up to date at the cost of what arrived.
 
-    The history is read only when there are withdrawn subscriptions, and only for these.
+    The history is read only when there are withdrawn subscriptions, and only for these. ``undecided`` are the
+    withdrawn ones where the caller has stored them: of a stored table Spark knows the size, and while it is small
+    the history is not shuffled to meet it.
     """
     advanced = advance_current(old, arrived, snapshot_time)
-    undecided = cut_lineage(withdrawn(old, arrived))
+    if undecided is None:
+        undecided = written(withdrawn(old, arrived), "withdrawn")
     if undecided.isEmpty():
         return advanced
     again = current_with_order(

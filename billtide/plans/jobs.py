@@ -95,12 +95,14 @@ def apply_to_silver(new_events: DataFrame, lake: Lake, now, rebuild: bool = Fals
         except ValueError:
             files.delete(spark, f"{lake.history}/{folder}")
             raise
-        # before the history, so that no event of it is ever unknown
-        ids.append_ids(dedup.arrived_versions(made, batch), lake.ids)
         changes = {"affected_start": min(touched, default=None), "affected_dates": touched}
-        control.save_intent(spark, lake.control, SILVER, committed_at=now, **changes)
-        tables.publish_history(spark, lake.history, folder, touched)
-        checks = _renew_current(spark, lake, dedup.arrived_versions(made, batch), now, rebuild)
+        arrived = dedup.arrived_versions(made, batch).select("dt", *state.STATE_COLUMNS, *state.TIES)
+        with staged(arrived, "arrived") as arrived:
+            # before the history, so that no event of it is ever unknown
+            ids.append_ids(arrived, lake.ids)
+            control.save_intent(spark, lake.control, SILVER, committed_at=now, **changes)
+            tables.publish_history(spark, lake.history, folder, touched)
+            checks = _renew_current(spark, lake, arrived.drop("dt"), now, rebuild)
     control.save_mark(spark, lake.control, SILVER, mark, committed_at=now, **changes)
     return {"mark": mark, "dates": touched, "checks": checks}
 
@@ -117,17 +119,19 @@ def _renew_current(spark, lake, arrived, now, rebuild):
     """Makes the snapshot, checks it, compares the touched subscriptions with the history, publishes it."""
     history = tables.read_history(spark, lake.history)
     old = tables.read_current(spark, lake.current, schema.STORED_CURRENT)
-    columns = [*state.STATE_COLUMNS, *state.TIES]
-    with staged(arrived.select(*columns), "arrived") as arrived:
+    # stored, because of stored tables Spark knows while they are small enough to be sent to the history
+    with (
+        staged(state.withdrawn(old, arrived), "withdrawn") as withdrawn,
+        staged(arrived.select("subscription_id").union(withdrawn).distinct(), "touched") as touched,
+    ):
         if rebuild or old.isEmpty():
             current = state.current_with_order(history, now)
         else:
-            current = state.refresh_current(old, arrived, history, now)
+            current = state.refresh_current(old, arrived, history, now, withdrawn)
         folder = tables.stage_current(
             current.select(*schema.STORED_CURRENT.fieldNames()), lake.current
         )
         made = spark.read.schema(schema.STORED_CURRENT).parquet(f"{lake.current}/{folder}")
-        touched = arrived.select("subscription_id").union(state.withdrawn(old, arrived)).distinct()
         try:
             both = [t.join(touched, "subscription_id", "left_semi") for t in (made, history)]
             results = _judge(

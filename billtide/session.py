@@ -10,8 +10,13 @@ from billtide.sources import files
 
 
 def utc(spark: SparkSession) -> SparkSession:
-    """Pin the session to UTC: event dates and text times depend on it."""
+    """Pin the session to UTC: event dates and text times depend on it.
+
+    Times are stored as microseconds, not as the twelve bytes that Spark keeps for old readers: these cost a third more
+    processor time to write, and have no minimum and maximum.
+    """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
     return spark
 
 

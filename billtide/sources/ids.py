@@ -37,7 +37,8 @@ def _defined(spark: SparkSession, path: str, buckets: int | None = None) -> tupl
 def append_ids(events: DataFrame, path: str, buckets: int | None = None) -> None:
     """Adds where events are stored (``event_id``, ``dt``), one file per bucket; ``buckets`` counts for a new table."""
     name, buckets = _defined(events.sparkSession, path, buckets)
-    dealt = events.select("event_id", "dt").distinct().repartition(buckets, "event_id")
+    # once dealt by id, equal rows lie together and no second shuffle is needed
+    dealt = events.select("event_id", "dt").repartition(buckets, "event_id").distinct()
     dealt.sortWithinPartitions("event_id").write.insertInto(name)
 
 
