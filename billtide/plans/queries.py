@@ -434,7 +434,8 @@ def jobs_replay(spark, sf):
             jobs.update_gold(spark, lake, RUN)
             return
         # what a run does until it is lost between the history and its mark
-        batch = increment(spark, sf)
+        # stored, because it is read five times
+        batch = written(increment(spark, sf), "batch")
         history = tables.read_history(spark, lake.history)
         named = dedup.affected_dates(batch).union(dedup.redelivered_dates(history, batch))
         dates = sorted(r.dt for r in named.distinct().collect())

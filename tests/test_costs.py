@@ -4,9 +4,10 @@ from datetime import datetime, timedelta, timezone
 
 import pyarrow.parquet as pq
 
+from billtide import schema
 from billtide.functions.times import event_date, parsed_or_null
 from billtide.operators import dedup, quality, state
-from billtide.plans import jobs
+from billtide.plans import jobs, queries
 from billtide.session import fresh_dir, written
 from billtide.sources import files, ids, tables
 from billtide.sources.tables import Lake
@@ -81,3 +82,18 @@ def test_times_are_judged_without_their_text(spark):
     assert quality._time(text, "t") == parsed_or_null("t")
     counted = quality.run_checks(rows, [quality.datetime_parseable(rows, ["t"])], "a", "b").first()
     assert counted.violation_count == both.where("slow IS NULL").count()
+
+
+def test_a_replayed_batch_is_made_once(spark, table, monkeypatch):
+    made, applied = table(*FIRST), []
+    lake = Lake(fresh_dir(spark, "lake"))
+    tables.overwrite_history(made, lake.history)
+    monkeypatch.setattr(queries, "_two_runs", lambda spark, sf, run: run(lake, 1) or lake)
+    monkeypatch.setattr(queries, "increment", lambda spark, sf: made)
+    monkeypatch.setattr(jobs, "update_silver", lambda *a: None)
+    monkeypatch.setattr(jobs, "update_gold", lambda *a: None)
+    monkeypatch.setattr(jobs, "apply_to_silver", lambda batch, *a: applied.append(batch))
+    queries.jobs_replay(spark, "nowhere")
+    # read from a stored table, not from the tables that it comes from
+    assert len(applied) == 2 and all(batch.inputFiles() for batch in applied)
+    assert {tuple(r) for r in applied[0].select(*schema.EVENT_COLUMNS).collect()} == set(FIRST)
