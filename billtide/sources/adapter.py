@@ -93,7 +93,7 @@ def tampered_snapshot(current: DataFrame) -> DataFrame:
             for c in current.columns
         ]
     )
-    invented = current.sparkSession.sql("SELECT 'sub_99999' AS subscription_id")
+    invented = current.sparkSession.sql("SELECT * FROM VALUES ('sub_99999') AS invented (subscription_id)")
     return kept.unionByName(invented, allowMissingColumns=True)
 
 
