@@ -6,6 +6,9 @@ from pyspark.sql import functions as F
 from billtide import schema
 from billtide.functions.times import event_date
 
+# rows of a batch whose ids Spark may broadcast; it guesses their size from compressed files, many times too low
+BROADCAST_ROWS = 200_000
+
 
 def last_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """One row per key: the one with the largest ``order``, ties broken by the rest of the row.
@@ -47,9 +50,19 @@ def redelivered_dates(history: DataFrame, new_events: DataFrame) -> DataFrame:
     )
 
 
-def arrived_versions(merged: DataFrame, new_events: DataFrame) -> DataFrame:
-    """The rows that merging has left for the events of the batch."""
+def arrived_versions(
+    merged: DataFrame, new_events: DataFrame, batch_rows: int = 0, alone: bool = False
+) -> DataFrame:
+    """The rows that merging has left for the events of the batch.
+
+    ``batch_rows`` is the size of the batch where it is known: the ids of a large one are shuffled, never collected
+    and broadcast. ``alone`` says that the batch was merged with nothing, so what has an id is the batch's.
+    """
+    if alone:
+        return merged.where("event_id IS NOT NULL")
     ids = new_events.select("event_id").distinct()
+    if batch_rows > BROADCAST_ROWS:
+        ids = ids.hint("shuffle_hash")
     return merged.join(ids, "event_id", "left_semi")
 
 

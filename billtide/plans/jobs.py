@@ -7,6 +7,7 @@ next job learns of changes from what was announced, not only from what was finis
 check rows, dates and marks. ``now`` stamps rows; no order is taken from it.
 """
 
+from contextlib import nullcontext
 from datetime import date
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -78,8 +79,9 @@ def apply_to_silver(new_events: DataFrame, lake: Lake, now, rebuild: bool = Fals
         if row_count == 0:
             return None
         history = tables.read_history(spark, lake.history)
+        in_force = tables.history_dates(spark, lake.history)
         dates = dedup.affected_dates(batch)
-        touched = _dates(dates.union(_stored_dates(spark, lake, history, batch)))
+        touched = _dates(dates.union(_stored_dates(spark, lake, history, batch, in_force)))
         merged = dedup.merge_events(dedup.restrict_to_dates(history, touched), batch)
         # counted while they are written, without a pass of their own
         counted = Observation("merged")
@@ -96,8 +98,11 @@ def apply_to_silver(new_events: DataFrame, lake: Lake, now, rebuild: bool = Fals
             files.delete(spark, f"{lake.history}/{folder}")
             raise
         changes = {"affected_start": min(touched, default=None), "affected_dates": touched}
-        arrived = dedup.arrived_versions(made, batch).select("dt", *state.STATE_COLUMNS, *state.TIES)
-        with staged(arrived, "arrived") as arrived:
+        alone = not {d.isoformat() for d in touched} & {*in_force}
+        arrived = dedup.arrived_versions(made, batch, row_count, alone)
+        arrived = arrived.select("dt", *state.STATE_COLUMNS, *state.TIES)
+        # what was merged with nothing has just been stored
+        with nullcontext(arrived) if alone else staged(arrived, "arrived") as arrived:
             # before the history, so that no event of it is ever unknown
             ids.append_ids(arrived, lake.ids)
             control.save_intent(spark, lake.control, SILVER, committed_at=now, **changes)
@@ -107,11 +112,10 @@ def apply_to_silver(new_events: DataFrame, lake: Lake, now, rebuild: bool = Fals
     return {"mark": mark, "dates": touched, "checks": checks}
 
 
-def _stored_dates(spark, lake, history, batch):
+def _stored_dates(spark, lake, history, batch, in_force):
     """The event dates in force on which the history may hold events of the batch."""
     if not ids.exists(spark, lake.ids):
         ids.append_ids(history, lake.ids)
-    in_force = tables.history_dates(spark, lake.history)
     return ids.dates_of(ids.read_ids(spark, lake.ids), batch).where(F.col("dt").cast("string").isin(in_force))
 
 

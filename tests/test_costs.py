@@ -97,3 +97,46 @@ def test_a_replayed_batch_is_made_once(spark, table, monkeypatch):
     # read from a stored table, not from the tables that it comes from
     assert len(applied) == 2 and all(batch.inputFiles() for batch in applied)
     assert {tuple(r) for r in applied[0].select(*schema.EVENT_COLUMNS).collect()} == set(FIRST)
+
+
+def test_what_is_merged_with_nothing_has_arrived_whole(spark, table, monkeypatch):
+    lake, named, staged = Lake(fresh_dir(spark, "lake")), [], jobs.staged
+
+    def noted(df, name):
+        named.append(name)
+        return staged(df, name)
+
+    monkeypatch.setattr(jobs, "staged", noted)
+    jobs.apply_to_silver(table(*FIRST), lake, NOW)
+    # another date, so again nothing to merge with, but a snapshot to advance
+    later = [event("e4", "s2", "cancelled", "01-09 10:00")]
+    jobs.apply_to_silver(table(*later), lake, NOW + timedelta(hours=1))
+    assert "arrived" not in named
+    jobs.apply_to_silver(table(*AGAIN), lake, NOW + timedelta(hours=2))
+    assert named.count("arrived") == 1
+    current = tables.read_current(spark, lake.current, schema.STORED_CURRENT).collect()
+    current = {r.subscription_id: (r.current_status, r.last_event_id) for r in current}
+    assert current == {"s1": ("active", "e1"), "s2": ("cancelled", "e4"), "s3": ("cancelled", "e3")}
+    known = sorted((r.event_id, r.dt.day) for r in ids.read_ids(spark, lake.ids).collect())
+    assert known == [("e1", 1), ("e2", 1), ("e3", 2), ("e3", 2), ("e4", 9)]
+
+
+def test_ids_of_a_large_batch_are_not_broadcast(spark, table, monkeypatch):
+    lake, plans, found = Lake(fresh_dir(spark, "lake")), [], dedup.arrived_versions
+
+    def planned(*args):
+        plans.append(plan_of(found(*args)))
+        return found(*args)
+
+    monkeypatch.setattr(dedup, "arrived_versions", planned)
+    monkeypatch.setattr(dedup, "BROADCAST_ROWS", 2, raising=False)
+    again = [*AGAIN, event("e4", "s1", "renewed", "01-01 12:00"), event("e5", "s1", "renewed", "01-02 12:00")]
+    for batch in (FIRST, again):
+        jobs.apply_to_silver(table(*batch), lake, NOW)
+    assert "ShuffledHashJoin" in plans[1] and "Broadcast" not in plans[1]
+    # as many as may be broadcast
+    jobs.apply_to_silver(table(*again[:2]), lake, NOW)
+    assert "BroadcastHashJoin" in plans[2]
+    current = tables.read_current(spark, lake.current, schema.STORED_CURRENT).collect()
+    current = {r.subscription_id: (r.current_status, r.last_event_id) for r in current}
+    assert current == {"s1": ("active", "e5"), "s2": ("active", "e2"), "s3": ("cancelled", "e3")}
